@@ -34,7 +34,8 @@ def _threshold(df: DataFrame) -> int:
 
 def planned_size(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan (bytes, no job is run)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
