@@ -146,3 +146,74 @@ def signed_ppm_sql(num: str, den: str) -> str:
     """half-up ppm for a signed integer numerator and positive denominator."""
     return (f"CASE WHEN ({den}) <> 0 THEN CAST(sign({num}) * ((2 * abs(CAST({num} AS HUGEINT)) * 1000000 + ({den})) "
             f"// (2 * ({den}))) AS BIGINT) END")
+
+
+# Measure SQL: same names and exact semantics as operators/measures.py.
+_N = "count(*)"
+_DECL = "count(*) FILTER (WHERE is_declined = 1)"
+_FX = "count(*) FILTER (WHERE is_fx = 1)"
+MEASURE_SQL = {
+    "transaction_count": _N,
+    "gross_volume": "CAST(sum(abs_amount_egp) AS DECIMAL(38,2))",
+    "net_flow": "CAST(sum(amount_egp) AS DECIMAL(38,2))",
+    "average_ticket": avg_money_sql("sum(abs_amount_egp)", _N),
+    "declined_transactions": _DECL,
+    "approved_transactions": f"{_N} - {_DECL}",
+    "decline_rate_ppm": ppm_sql(_DECL, _N),
+    "fx_transactions": _FX,
+    "fx_share_ppm": ppm_sql(_FX, _N),
+    "fx_volume": "CAST(sum(CASE WHEN is_fx = 1 THEN abs_amount_egp END) AS DECIMAL(38,2))",
+    "avg_exchange_rate": ("CAST(CASE WHEN count(CASE WHEN is_fx = 1 THEN exchange_rate_e6 END) > 0 THEN "
+                          "((2 * sum(CASE WHEN is_fx = 1 THEN exchange_rate_e6 END) "
+                          "+ count(CASE WHEN is_fx = 1 THEN exchange_rate_e6 END)) "
+                          "// (2 * count(CASE WHEN is_fx = 1 THEN exchange_rate_e6 END))) * 0.000001 END "
+                          "AS DECIMAL(24,6))"),
+    "outbound_volume": "CAST(sum(CASE WHEN is_outbound = 1 THEN abs_amount_egp END) AS DECIMAL(38,2))",
+    "inbound_volume": "CAST(sum(CASE WHEN is_outbound = 0 THEN abs_amount_egp END) AS DECIMAL(38,2))",
+    "active_accounts": "count(DISTINCT account_key)",
+    "distinct_merchants": "count(DISTINCT merchant_key)",
+    "avg_txn_per_account_ppm": ppm_sql(_N, "count(DISTINCT account_key)"),
+    "weekend_volume": "CAST(sum(CASE WHEN is_weekend = 1 THEN abs_amount_egp END) AS DECIMAL(38,2))",
+    "weekday_volume": "CAST(sum(CASE WHEN is_weekend = 0 THEN abs_amount_egp END) AS DECIMAL(38,2))",
+    "daytime_transactions": "count(*) FILTER (WHERE is_daytime = 1)",
+    "declined_volume": "CAST(sum(CASE WHEN is_declined = 1 THEN abs_amount_egp END) AS DECIMAL(38,2))",
+    "total_surcharge": "CAST(sum(abs_amount_egp * CAST(0.005 AS DECIMAL(4,3))) AS DECIMAL(38,5))",
+    "p2p_transactions": "count(peer_account_key)",
+}
+
+
+def measures_sql(names) -> str:
+    return ", ".join(f"{MEASURE_SQL[n]} AS {n}" for n in names)
+
+
+# The joined star (all roles) for oracle queries; nullable roles show (Blank).
+STAR_SQL = """
+star AS (
+  SELECT f.*, d.full_date, d.day, d.month, d.quarter, d.year, d.is_weekend,
+         t.hour_of_day, t.time_bucket, t.is_daytime, t.hour_label,
+         a.account_id, a.age_band, a.acquisition_channel, a.customer_tier, a.account_status,
+         a.signup_date_key, a.location_key AS customer_location_key,
+         cl.city AS customer_city, cl.governorate AS customer_governorate,
+         coalesce(pa.customer_tier, '(Blank)') AS peer_customer_tier,
+         coalesce(pa.account_id, '(Blank)') AS peer_account_id,
+         tt.transaction_type_name, tt.transaction_group,
+         coalesce(dr.decline_reason_name, '(Blank)') AS decline_reason_name,
+         coalesce(m.merchant_id, '(Blank)') AS merchant_id, coalesce(m.merchant_name, '(Blank)') AS merchant_name,
+         coalesce(m.merchant_category, '(Blank)') AS merchant_category,
+         coalesce(m.merchant_size, '(Blank)') AS merchant_size, m.opened_date_key,
+         m.location_key AS merchant_location_key,
+         coalesce(ml.city, '(Blank)') AS merchant_city, coalesce(ml.governorate, '(Blank)') AS merchant_governorate
+  FROM fact_transactions f
+  JOIN dim_date d ON d.date_key = f.date_key
+  JOIN dim_time t ON t.time_key = f.time_key
+  JOIN dim_account a ON a.account_key = f.account_key
+  JOIN dim_location cl ON cl.location_key = a.location_key
+  LEFT JOIN dim_account pa ON pa.account_key = f.peer_account_key
+  JOIN dim_transaction_type tt ON tt.transaction_type_key = f.transaction_type_key
+  LEFT JOIN dim_decline_reason dr ON dr.decline_reason_key = f.decline_reason_key
+  LEFT JOIN dim_merchant m ON m.merchant_key = f.merchant_key
+  LEFT JOIN dim_location ml ON ml.location_key = m.location_key)"""
+
+
+def star_query(sql: str) -> str:
+    return with_adapter(STAR_SQL, sql)
