@@ -68,3 +68,17 @@ def numbered_names(df: DataFrame, group_cols: list[str], order_col: str, base: C
     e.g. ``<brand> - <city> #2``."""
     w = Window.partitionBy(*group_cols).orderBy(order_col)
     return df.withColumn(out, F.concat(base, F.lit(" #"), F.row_number().over(w).cast("string")))
+
+
+def derive_amounts(df: DataFrame, abs_col: str = "abs_amount_egp", outbound: str = "is_outbound",
+                   rate_e6: str = "exchange_rate_e6") -> DataFrame:
+    """Signed amount, minor units and foreign minor amount from the
+    absolute amount, the direction flag and the x1e6 exchange rate."""
+    from ..functions import exact as X
+    signed = X.signed_amount(abs_col, outbound)
+    abs_minor = (F.col(abs_col).cast(X.MONEY) * 100).cast("bigint")
+    return df.withColumns({
+        "amount_egp": signed,
+        "amount_minor": (signed * 100).cast("bigint"),
+        "fx_amount_minor": F.when(F.col(rate_e6).isNotNull(), X.fx_minor(abs_minor, F.col(rate_e6))),
+    })

@@ -96,7 +96,7 @@ def raw_type_checks(contract: TableContract) -> list[RowCheck]:
         if wt in INT_RANGES:
             lo, hi = INT_RANGES[wt]
             as_int = v.try_cast("decimal(38,0)")
-            bad_int = as_int.isNull() | ~v.rlike(r"^\s*[-+]?[0-9]+\s*$")
+            bad_int = ~v.rlike(r"^\s*[-+]?[0-9]+\s*$")
             out.append(RowCheck("integer_parse", col.name, present & bad_int))
             out.append(RowCheck("integer_range", col.name, present & ~bad_int & ~as_int.between(lo, hi)))
         elif wt == "bit":
