@@ -35,15 +35,16 @@ def from_minor(c) -> Column:
 
 
 def half_up_div(num, den) -> Column:
-    """round_half_up(num / den) for integers; sign-safe; NULL when den is 0 or NULL."""
+    """round_half_up(num / den) for integers; sign-safe; NULL when den is 0 or
+    NULL.  Uses Spark's integral ``div`` (exact, bigint result), so no decimal
+    quotient is ever rounded and the expression stays small for codegen."""
     n, d = _c(num).cast("decimal(38,0)"), _c(den).cast("decimal(38,0)")
-    q = (F.abs(n) * 2 + F.abs(d)).cast("decimal(38,0)")
-    m = (F.abs(d) * 2).cast("decimal(38,0)")
-    # exact integer division: subtract the remainder so the decimal quotient
-    # never rounds (a rounded decimal quotient can cross an integer boundary)
-    mag = ((q - F.pmod(q, m)) / m).cast("decimal(38,0)")
-    signed = F.when((n < 0) != (d < 0), -mag).otherwise(mag)
-    return F.when(d != 0, signed)
+    mag = F.call_function("div", F.abs(n) * 2 + F.abs(d), F.abs(d) * 2)
+    sign = F.when((n < 0) != (d < 0), F.lit(-1)).otherwise(F.lit(1))
+    # ``div`` wraps silently past the bigint range: fail loudly instead
+    fits = (F.abs(n).cast("double") / F.abs(d).cast("double")) < F.lit(9.0e18)
+    return F.when(d != 0, F.when(fits, mag * sign).otherwise(
+        F.raise_error(F.lit("half_up_div: quotient exceeds the bigint range"))))
 
 
 def ratio_ppm(num, den) -> Column:

@@ -25,10 +25,22 @@ def _order_struct(order_by: list[str | Column]) -> list[Column]:
     return out
 
 
-def keep_first(df: DataFrame, keys: list[str], order_by: list[str | Column], latest: bool = False) -> DataFrame:
+def keep_first(df: DataFrame, keys: list[str], order_by: list[str | Column], latest: bool = False,
+               order_unique: bool = False) -> DataFrame:
     """One row per key, the smallest (``latest=False``) or largest row by
     ``order_by`` then by all columns.  Rows with a NULL key are dropped here:
-    route them to quarantine first (X4)."""
+    route them to quarantine first (X4).
+
+    ``order_unique=True`` declares that a single order column is unique within
+    a key (e.g. a Kafka offset within one id); then the survivor is found with
+    a hash aggregate of that column and a semi join back on (key, value), which
+    is cheaper than the struct minimum and still skew-safe (partial aggregate;
+    AQE splits a skewed semi-join partition)."""
+    if order_unique and len(order_by) == 1 and isinstance(order_by[0], str):
+        o = order_by[0]
+        nn = df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+        best = nn.groupBy(*keys).agg((F.max(o) if latest else F.min(o)).alias(o))
+        return nn.join(best, [*keys, o], "left_semi").select(*df.columns)
     payload = [c for c in df.columns if c not in keys]
     agg = F.max if latest else F.min
     pick = agg(F.struct(*_order_struct(order_by), F.struct(*payload).alias("_row"))).alias("_w")

@@ -59,8 +59,7 @@ def _txn_columns() -> list:
     is_peer = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F")
     abs_amt = F.col("l_extendedprice").cast(X.MONEY)
     amt = F.when(outbound == 1, -abs_amt).otherwise(abs_amt).cast(X.MONEY)
-    rate = F.when(fx == 1, F.element_at(F.array(*[F.lit(r).cast("bigint") for r in FX_RATES_E6]),
-                                         (ln % 4 + 1).cast("int")))
+    rate = F.col("__rate")
     abs_minor = (abs_amt * 100).cast("bigint")
     type_key = F.substring("o_orderpriority", 1, 1).cast("int")
     return [
@@ -88,13 +87,22 @@ def _txn_columns() -> list:
     ]
 
 
+def _with_rate(df: DataFrame) -> DataFrame:
+    """Stage the exchange rate as its own column so the amount expressions
+    reference it instead of repeating the lookup."""
+    rates = F.array(*[F.lit(r).cast("bigint") for r in FX_RATES_E6])
+    return df.withColumn("__rate", F.when(F.col("l_discount") > 0.085,
+                                          F.element_at(rates, (F.col("l_linenumber") % 4 + 1).cast("int"))))
+
+
 def raw_txn(t: DriverTables) -> DataFrame:
     """Fact columns + Kafka lineage at event grain (natural duplicate ids)."""
-    return raw_join(t).select(*_txn_columns())
+    return _with_rate(raw_join(t)).select(*_txn_columns())
 
 
 def txn(t: DriverTables) -> DataFrame:
     """raw_txn de-duplicated on transaction_id, earliest offset wins."""
+    # offsets are not unique within an id in every fixture: use the total order
     return keep_first(raw_txn(t), ["transaction_id"], ["_kafka_offset"])
 
 
@@ -104,7 +112,7 @@ def fact(t: DriverTables) -> DataFrame:
 
 def dirty_raw_txn(t: DriverTables) -> DataFrame:
     """All-string event rows with injected faults (I6 / Q10-Q15 inputs)."""
-    base = raw_join(t).select(*_txn_columns(), "l_quantity")
+    base = _with_rate(raw_join(t)).select(*_txn_columns(), "l_quantity")
     q = F.col("l_quantity")
     cols = []
     for c in [*FACT_TRANSACTIONS.names, "_kafka_topic", "_kafka_partition", "_kafka_offset"]:
@@ -138,6 +146,15 @@ def first_sale_dates(t: DriverTables) -> DataFrame:
         F.min(K.date_key("o_orderdate")).alias("opened_date_key"))
 
 
+def _with_default_date(df: DataFrame, t: DriverTables, col: str) -> DataFrame:
+    """Members without any order get the first order date of the data set.
+    The default comes from a one-row aggregate joined on a constant key (a
+    bounded broadcast lookup, not a pairing of rows)."""
+    first = t["orders"].agg(F.min(K.date_key("o_orderdate")).alias("__first")).withColumn("__k", F.lit(1))
+    return (df.withColumn("__k", F.lit(1)).join(F.broadcast(first), "__k", "left")
+              .withColumn(col, F.coalesce(F.col(col), F.col("__first"))).drop("__k", "__first"))
+
+
 def dim_account(t: DriverTables) -> DataFrame:
     c = t["customer"]
     bal = F.col("c_acctbal")
@@ -153,7 +170,7 @@ def dim_account(t: DriverTables) -> DataFrame:
         F.when(bal < 0, "Dormant").otherwise("Active").alias("account_status"),
     )
     first = first_order_dates(t)
-    return (base.join(first, "account_key", "left")
+    return (_with_default_date(base.join(first, "account_key", "left"), t, "signup_date_key")
                 .select("account_key", "account_id", "location_key", "currency", "age_band", "acquisition_channel",
                         "signup_date_key", "customer_tier", "account_status"))
 
@@ -169,7 +186,7 @@ def dim_merchant(t: DriverTables) -> DataFrame:
         F.concat(F.lit("CAT_"), (F.col("s_suppkey") % 8).cast("string")).alias("merchant_category"),
         F.when(bal >= 9000, "Enterprise").when(bal >= 5000, "Mid-Market").otherwise("SME").alias("merchant_size"),
     )
-    return (base.join(first_sale_dates(t), "merchant_key", "left")
+    return (_with_default_date(base.join(first_sale_dates(t), "merchant_key", "left"), t, "opened_date_key")
                 .select("merchant_key", "location_key", "merchant_id", "merchant_name", "merchant_category",
                         "merchant_size", "opened_date_key"))
 

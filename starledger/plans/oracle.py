@@ -59,7 +59,8 @@ raw_txn AS (
   FROM raw_base),
 txn AS (
   SELECT * EXCLUDE (_rn, _l_quantity) FROM (
-    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY _kafka_offset) AS _rn FROM raw_txn)
+    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY _kafka_offset, date_key, time_key, account_key, peer_account_key NULLS FIRST, transaction_type_key, decline_reason_key NULLS FIRST, merchant_key NULLS FIRST, mc_transaction_id NULLS FIRST, ach_transfer_id NULLS FIRST, amount_minor, amount_egp, abs_amount_egp, fx_amount_minor NULLS FIRST, exchange_rate_e6 NULLS FIRST, is_outbound, is_declined, is_fx, _kafka_topic, _kafka_partition) AS _rn
+    FROM raw_txn)
   WHERE _rn = 1),
 fact_transactions AS (SELECT {_FACT_COLS} FROM txn),
 dim_date AS (
@@ -84,7 +85,7 @@ dim_account AS (
   SELECT CAST(c_custkey AS INTEGER) AS account_key, 'ACC' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS account_id,
          CAST(c_nationkey AS INTEGER) AS location_key, 'EGP' AS currency,
          CASE c_custkey % 6 {_age_case} END AS age_band, c_mktsegment AS acquisition_channel,
-         fo.signup_date_key,
+         coalesce(fo.signup_date_key, (SELECT min(CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER)) FROM orders)) AS signup_date_key,
          CASE WHEN c_acctbal >= 9000 THEN 'Business' WHEN c_acctbal >= 7000 THEN 'Premium' ELSE 'Standard' END
            AS customer_tier,
          CASE WHEN c_acctbal < 0 THEN 'Dormant' ELSE 'Active' END AS account_status
@@ -99,7 +100,7 @@ dim_merchant AS (
          'CAT_' || CAST(s_suppkey % 8 AS VARCHAR) AS merchant_category,
          CASE WHEN s_acctbal >= 9000 THEN 'Enterprise' WHEN s_acctbal >= 5000 THEN 'Mid-Market' ELSE 'SME' END
            AS merchant_size,
-         fs.opened_date_key
+         coalesce(fs.opened_date_key, (SELECT min(CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER)) FROM orders)) AS opened_date_key
   FROM supplier LEFT JOIN (
     SELECT CAST(l_suppkey AS INTEGER) AS mk,
            min(CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER))

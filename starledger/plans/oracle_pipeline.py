@@ -106,7 +106,8 @@ ORACLE["conform_txn"] = P(f"SELECT {', '.join(FACT_COLS)} FROM conf")
 ORACLE["conform_lineage"] = P("SELECT * FROM conf")
 ORACLE["dedupe_earliest"] = with_adapter("""
 SELECT transaction_id, _kafka_partition, _kafka_offset FROM (
-  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY _kafka_offset) AS rn FROM raw_txn) WHERE rn = 1""")
+  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY _kafka_offset, _kafka_topic, _kafka_partition)
+    AS rn FROM raw_txn) WHERE rn = 1""")
 ORACLE["dedupe_natural_key"] = with_adapter("""
 SELECT transaction_id, _kafka_offset FROM (
   SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY _kafka_offset DESC) AS rn FROM raw_txn)
