@@ -90,3 +90,8 @@ def month_index(d) -> Column:
     """Dense month number (year*12 + month - 1): gap-safe month arithmetic."""
     d = _c(d)
     return (F.year(d) * 12 + F.month(d) - 1).cast("int")
+
+
+def month_key(date_key_col) -> Column:
+    """YYYYMM of a YYYYMMDD key (integral division, stays an int)."""
+    return F.call_function("div", _c(date_key_col), F.lit(100)).cast("int")

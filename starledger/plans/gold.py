@@ -19,19 +19,15 @@ from ..operators import quality
 from ..operators.surrogate import assign_surrogate
 from ..session import work_path
 from ..sources import fs
-from ..sources.store import VersionedStore
+from ..functions.keys import month_key
+from ..sources.store import Partitioned, VersionedStore
 from .adapter import Star
 
 ADAPTER_VERSION = "adapter-1"
 STAR_INPUTS = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
 _MEMO: dict[tuple, tuple[str, dict[str, DataFrame]]] = {}
-
-
-def _write_fact(df: DataFrame, path: str) -> None:
-    # date-clustered files: row-group min/max stats prune date-range slicers
-    df.repartitionByRange("date_key").sortWithinPartitions("date_key", "transaction_id") \
-      .write.mode("overwrite").parquet(path)
+FACT_PARTITION = "date_month"
 
 
 def _write_dim(df: DataFrame, path: str) -> None:
@@ -47,8 +43,10 @@ def reload_gold(spark: SparkSession, tables: dict[str, DataFrame], store: Versio
                 meta: dict | None = None, gate: bool = True) -> int:
     """Atomic full reload of all star tables (all-or-nothing)."""
     frames = dict(tables)
-    frames["fact_transactions"] = gold_fact(tables["fact_transactions"])
-    writers = {name: (_write_fact if name == "fact_transactions" else _write_dim) for name in frames}
+    # month folders let an upsert rewrite only the months it touches
+    fact = gold_fact(tables["fact_transactions"]).withColumn(FACT_PARTITION, month_key("date_key"))
+    frames["fact_transactions"] = Partitioned(fact, FACT_PARTITION, None, ("date_key", "transaction_id"))
+    writers = {name: _write_dim for name in frames if name != "fact_transactions"}
 
     def check(written: dict[str, DataFrame]) -> None:
         if gate:

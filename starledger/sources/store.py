@@ -18,12 +18,27 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from . import fs
 
 
+@dataclass
+class Partitioned:
+    """A partitioned table write.  ``df`` holds the rows of the partitions being
+    written and carries ``column`` (a derived value such as the month of a date
+    key; it is kept in folder names, not in the files).  ``replace`` lists the
+    partition values this write replaces; ``None`` rewrites the whole table.
+    Partitions not replaced are carried from the previous version by reference."""
+    df: DataFrame
+    column: str
+    replace: list | None = None
+    sort_by: tuple = ()
+
+
 class CommitConflict(RuntimeError):
     pass
 
@@ -61,15 +76,46 @@ class VersionedStore:
             raise FileNotFoundError(f"table {table!r} not in store {self.root} version {m['version']}")
         return m["tables"][table]
 
-    def read(self, table: str, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(self.table_path(table, version))
+    def _read_entry(self, entry, parts: list | None = None) -> DataFrame:
+        if isinstance(entry, str):
+            return self.spark.read.parquet(entry)
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        paths = [p for v, p in sorted(entry["parts"].items()) if parts is None or v in {str(x) for x in parts}]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def read(self, table: str, version: int | None = None, parts: list | None = None) -> DataFrame:
+        """A table of a version; for partitioned tables ``parts`` restricts the
+        read to those partition values (only their folders are listed)."""
+        return self._read_entry(self.table_path(table, version), parts)
 
     def tables(self, version: int | None = None) -> dict[str, DataFrame]:
         m = self.manifest(version)
-        return {t: self.spark.read.parquet(p) for t, p in m["tables"].items()}
+        return {t: self._read_entry(e) for t, e in m["tables"].items()}
+
+    def partitions(self, table: str, version: int | None = None) -> list[str]:
+        e = self.table_path(table, version)
+        return [] if isinstance(e, str) else sorted(e["parts"])
+
+    def _write_partitioned(self, spec: Partitioned, path: str, previous) -> dict:
+        df = spec.df
+        if spec.sort_by:
+            # range clustering: several tasks per partition value, few files each
+            df = df.repartitionByRange(*spec.sort_by).sortWithinPartitions(*spec.sort_by)
+        df.write.mode("overwrite").partitionBy(spec.column).parquet(path)
+        prefix = f"{spec.column}="
+        written = {d[len(prefix):]: f"{path}/{d}" for d in fs.list_dirs(self.spark, path) if d.startswith(prefix)}
+        parts = {}
+        if spec.replace is not None and isinstance(previous, dict):
+            dropped = {str(v) for v in spec.replace}
+            parts = {v: p for v, p in previous["parts"].items() if v not in dropped}
+        parts.update(written)
+        schema = T.StructType([f for f in spec.df.schema.fields if f.name != spec.column])
+        return {"partition_column": spec.column, "parts": parts, "schema": schema.json()}
 
     # -- writing -----------------------------------------------------------
-    def commit(self, frames: dict[str, DataFrame], meta: dict | None = None,
+    def commit(self, frames: dict[str, DataFrame | Partitioned], meta: dict | None = None,
                writers: dict[str, Callable[[DataFrame, str], None]] | None = None,
                check: Callable[[dict[str, DataFrame]], None] | None = None,
                expected_version: int | None = None) -> int:
@@ -83,10 +129,13 @@ class VersionedStore:
         paths = dict(self.manifest(base)["tables"])
         for name, df in frames.items():
             path = f"{self.root}/v{new:06d}/{name}"
-            (writers or {}).get(name, _default_writer)(df, path)
-            paths[name] = path
+            if isinstance(df, Partitioned):
+                paths[name] = self._write_partitioned(df, path, paths.get(name))
+            else:
+                (writers or {}).get(name, _default_writer)(df, path)
+                paths[name] = path
         if check is not None:
-            check({t: self.spark.read.parquet(p) for t, p in paths.items()})
+            check({t: self._read_entry(e) for t, e in paths.items()})
         record = {"version": new, "parent": base, "tables": paths, "meta": meta or {},
                   "committed_at_utc": dt.datetime.now(dt.timezone.utc).isoformat(timespec="milliseconds")}
         try:

@@ -17,10 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import FACT_TRANSACTIONS
-from ..operators.merge import merge_fact
+from ..functions.keys import month_key
+from ..operators.merge import merge_fact, merge_rows
+from ..operators.star import broadcast_if_small
+from ..operators.surrogate import assign_surrogate
 from ..operators.validate import validate_batch
 from ..sources.layers import list_batches, read_batch, write_batch_partition
-from ..sources.store import VersionedStore
+from ..sources.store import Partitioned, VersionedStore
 
 COMPARE_COLS = [c for c in FACT_TRANSACTIONS.names if c != "transaction_id"]
 BATCH_COLS = [*FACT_TRANSACTIONS.names, "_kafka_partition", "_kafka_offset", "_silver_processed_at_utc"]
@@ -30,6 +33,34 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+KEY, SK = "transaction_id", "transaction_sk"
+
+
+def upsert_partitions(store: VersionedStore, version: int, valid: DataFrame, part_col: str = "date_month"):
+    """I13 with a partition-scoped rewrite of a month-partitioned fact.
+
+    Only the batch's keys are looked up in the fact (a scan of the key column,
+    semi-joined with the batch keys); only months holding the old or the new
+    version of an inserted/updated row are rewritten, every other month folder
+    is carried by reference.  Returns (Partitioned spec, merged batch rows)."""
+    target = store.read("fact_transactions", version)
+    keys = broadcast_if_small(valid.select(KEY).distinct())
+    existing = target.join(keys, KEY, "left_semi")
+    merged = merge_rows(existing, valid, KEY, COMPARE_COLS, [SK]).persist()
+    changed = merged.where(F.col("_action").isin("INSERT", "UPDATE"))
+    old_months = existing.join(changed.where(F.col("_action") == "UPDATE").select(KEY), KEY, "left_semi") \
+                         .select(month_key("date_key").alias("m"))
+    new_months = changed.select(month_key("date_key").alias("m"))
+    touched = sorted({r["m"] for r in old_months.union(new_months).distinct().collect()})  # <= number of months
+    current_max = target.agg(F.coalesce(F.max(SK), F.lit(0)).alias("m")).collect()[0]["m"]
+    inserts = assign_surrogate(changed.where(F.col("_action") == "INSERT").drop(SK, "_action"), KEY, SK,
+                               int(current_max) + 1)
+    updates = changed.where(F.col("_action") == "UPDATE").drop("_action")
+    kept = store.read("fact_transactions", version, parts=touched).join(changed.select(KEY), KEY, "left_anti")
+    rows = kept.unionByName(updates).unionByName(inserts).withColumn(part_col, month_key("date_key"))
+    return Partitioned(rows, part_col, touched, ("date_key", KEY)), merged
+
+
 def loaded_batches(store: VersionedStore) -> set[str]:
     """Batches with a SUCCESS commit."""
     out = set()
@@ -47,7 +78,7 @@ def merge_batch(spark: SparkSession, store: VersionedStore, silver_root: str, ba
         return {"silver_batch_id": batch_id, "status": "SKIPPED"}
     started, t0 = _now(), time.time()
     base_version = store.current_version()
-    validated = None
+    validated = merged = None
     try:
         batch = read_batch(spark, silver_root, batch_id, BATCH_COLS)
         tables = store.tables(base_version)
@@ -57,7 +88,10 @@ def merge_batch(spark: SparkSession, store: VersionedStore, silver_root: str, ba
                             .withColumn("rejected_at_utc", F.lit(rejected_at).cast("timestamp")))
         write_batch_partition(rejects, reject_root)
         valid = validated.where(F.col("reject_reason").isNull()).select(*FACT_TRANSACTIONS.names)
-        new_fact, merged = merge_fact(tables["fact_transactions"], valid, "transaction_id", COMPARE_COLS)
+        if store.partitions("fact_transactions", base_version):
+            new_fact, merged = upsert_partitions(store, base_version, valid)
+        else:  # an unpartitioned fact is rewritten whole
+            new_fact, merged = merge_fact(tables["fact_transactions"], valid, KEY, COMPARE_COLS)
         counts = (validated.select(F.when(F.col("reject_reason").isNull(), "valid").otherwise("rejected").alias("k"))
                   .unionByName(merged.select(F.col("_action").alias("k")))
                   .groupBy("k").count().collect())      # <= 6 rows: one per category
@@ -78,6 +112,8 @@ def merge_batch(spark: SparkSession, store: VersionedStore, silver_root: str, ba
     finally:
         if validated is not None:
             validated.unpersist()
+        if merged is not None:
+            merged.unpersist()
 
 
 def run_merge(spark: SparkSession, store: VersionedStore, silver_root: str, reject_root: str) -> dict:

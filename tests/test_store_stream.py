@@ -87,3 +87,45 @@ def test_stream_and_merge_runner(spark, scratch):
     assert skipped["status"] == "SKIPPED"
     log = audit_log(spark, store).collect()
     assert sorted(r.status for r in log) == ["SUCCESS", "SUCCESS"]
+
+
+def test_partition_scoped_upsert(spark, scratch):
+    """Only months holding the old or new version of a changed row are rewritten."""
+    from decimal import Decimal
+
+    from starledger.functions.keys import month_key
+    from starledger.sources.store import Partitioned
+    from starledger.streaming.merge_runner import upsert_partitions
+
+    cols = FACT_TRANSACTIONS.names
+
+    def fact_row(tid, date_key, amount="10.00"):
+        r = {c: None for c in cols}
+        r.update(date_key=date_key, time_key=1200, account_key=1, transaction_type_key=1, transaction_id=tid,
+                 amount_minor=1000, amount_egp=Decimal(amount), abs_amount_egp=Decimal(amount), is_outbound=0,
+                 is_declined=0, is_fx=0)
+        return tuple(r[c] for c in cols)
+
+    base = spark.createDataFrame([fact_row("A", 20240105), fact_row("B", 20240210), fact_row("C", 20240315),
+                                  fact_row("D", 20240420)], FACT_TRANSACTIONS.schema())
+    base = base.withColumn("transaction_sk", F.monotonically_increasing_id() + 1)
+    st = VersionedStore(spark, f"{scratch}/gold")
+    v1 = st.commit({"fact_transactions": Partitioned(base.withColumn("date_month", month_key("date_key")),
+                                                     "date_month")})
+    old_parts = st.manifest(v1)["tables"]["fact_transactions"]["parts"]
+    batch = spark.createDataFrame([fact_row("B", 20240312),              # moves Feb -> Mar
+                                   fact_row("C", 20240315, "11.00"),     # update in place (Mar)
+                                   fact_row("D", 20240420),              # identical replay
+                                   fact_row("E", 20240601)], FACT_TRANSACTIONS.schema())   # new month
+    spec, merged = upsert_partitions(st, v1, batch)
+    assert sorted(spec.replace) == [202402, 202403, 202406]
+    v2 = st.commit({"fact_transactions": spec})
+    parts = st.manifest(v2)["tables"]["fact_transactions"]["parts"]
+    assert parts["202401"] == old_parts["202401"] and parts["202404"] == old_parts["202404"]   # carried
+    assert "202402" not in parts and parts["202403"] != old_parts["202403"]
+    rows = {r.transaction_id: (r.date_key, str(r.amount_egp), r.transaction_sk)
+            for r in st.read("fact_transactions").collect()}
+    sk_before = {r.transaction_id: r.transaction_sk for r in base.collect()}
+    assert rows["B"] == (20240312, "10.00", sk_before["B"]) and rows["C"][1] == "11.00"
+    assert rows["E"][2] == max(sk_before.values()) + 1 and len(rows) == 5
+    assert {r._action: 1 for r in merged.collect()}.keys() == {"UPDATE", "NOOP", "INSERT"}
