@@ -254,3 +254,24 @@ def assert_contracts(tables: dict[str, DataFrame], contracts: dict[str, TableCon
            if r.severity == "error" and r.violations > 0]
     if bad:
         raise GateFailed("; ".join(f"{r.table_name}.{r.check_name}({r.column_name})={r.violations}" for r in bad))
+
+
+def reconcile_kpis(actual: DataFrame, expected: DataFrame, keys: list[str], tolerance: float = 0.0) -> DataFrame:
+    """Q21: compare measure values with expected benchmark values.
+
+    ``actual`` / ``expected`` are long frames ``(*keys, measure, value)``; the
+    result has one row per (keys, measure) with both values and ``status``
+    OK / MISMATCH / MISSING (relative tolerance, exact when 0)."""
+    a = actual.withColumnRenamed("value", "actual")
+    e = expected.withColumnRenamed("value", "expected")
+    j = e.join(a, [*keys, "measure"], "left")
+    diff = F.abs(F.col("actual").cast("double") - F.col("expected").cast("double"))
+    bound = F.abs(F.col("expected").cast("double")) * F.lit(tolerance)
+    return j.withColumn("status", F.when(F.col("actual").isNull(), "MISSING")
+                        .when(diff <= bound, "OK").otherwise("MISMATCH"))
+
+
+def measures_long(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """Unpivot measure columns to (keys, measure, value) for reconciliation."""
+    return df.unpivot(keys, measures, "measure", "value") if keys else \
+        df.withColumn("__k", F.lit(1)).unpivot(["__k"], measures, "measure", "value").drop("__k")

@@ -42,10 +42,16 @@ def classify_value(value) -> F.Column:
             .otherwise(F.lit(None).cast("string")))
 
 
+def value_text(messages: DataFrame) -> F.Column:
+    """message value as text; invalid UTF-8 bytes are replaced (U+FFFD)
+    so the raw value can always be kept in the dead-letter table."""
+    return F.make_valid_utf8(F.col("value").cast("string"))
+
+
 def split_dead_letters(messages: DataFrame, consumed_at: str,
                        contract: TableContract = FACT_TRANSACTIONS) -> tuple[DataFrame, DataFrame]:
     """(bronze envelopes, dead letters) from one message frame."""
-    text = F.col("value").cast("string")
+    text = value_text(messages)
     flagged = messages.withColumn("__err", classify_value(text)).withColumn("__text", text)
     lineage = [*_lineage(), F.lit(consumed_at).alias("_consumed_at_utc")]
     good = flagged.where(F.col("__err").isNull()).select(

@@ -47,3 +47,15 @@ def read_batch(spark: SparkSession, root: str, batch_id: str, columns: list[str]
                partition_col: str = "silver_batch_id") -> DataFrame:
     """Exactly one batch, only the needed columns (partition pruning)."""
     return spark.read.parquet(root).where(F.col(partition_col) == batch_id).select(*columns, partition_col)
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None, batch_size: int = 50000,
+               truncate: bool = True) -> None:
+    """Optional load of a layer table into an external warehouse table
+    (overwrite keeps the table definition via TRUNCATE; rows go in batches).
+    The Parquet gold store stays the system of record."""
+    w = (df.write.format("jdbc").option("url", url).option("dbtable", table)
+         .option("batchsize", batch_size).option("truncate", truncate).mode("overwrite"))
+    for k, v in (properties or {}).items():
+        w = w.option(k, v)
+    w.save()

@@ -13,3 +13,12 @@ def test_poison_values(spark):
     flat = flatten_envelope(good).collect()
     assert len(flat) == 1 and flat[0].transaction_id == "T1" and flat[0].amount_egp == "10.00"
     assert flat[0]._kafka_offset == 0
+
+
+def test_invalid_utf8_kept_in_dead_letters(spark):
+    from pyspark.sql import functions as F
+    msgs = spark.createDataFrame([(bytearray(b"\xff\xfe{bad"), 7)], "value binary, offset long") \
+        .select(F.lit("k").alias("key"), "value", F.lit("t").alias("topic"), F.lit(0).alias("partition"), "offset")
+    good, dlq = split_dead_letters(msgs, "ts")
+    r = dlq.collect()
+    assert good.count() == 0 and len(r) == 1 and r[0].error == "invalid_json" and "�" in r[0].raw_value

@@ -129,3 +129,18 @@ def test_partition_scoped_upsert(spark, scratch):
     assert rows["B"] == (20240312, "10.00", sk_before["B"]) and rows["C"][1] == "11.00"
     assert rows["E"][2] == max(sk_before.values()) + 1 and len(rows) == 5
     assert {r._action: 1 for r in merged.collect()}.keys() == {"UPDATE", "NOOP", "INSERT"}
+
+
+def test_failed_batch_is_logged_and_reraised(spark, scratch):
+    """A failing batch leaves no commit, records FAILED, stops the loop."""
+    src, ck = f"{scratch}/src", f"{scratch}/ck"
+    roots = {k: f"{scratch}/{k}" for k in ("silver", "quarantine", "dlq")}
+    _messages(src, 0, 5)
+    run_silver_stream(spark, src, roots, ck)
+    store = VersionedStore(spark, f"{scratch}/gold")
+    store.commit({"dim_date": spark.createDataFrame([(20240101,)], "date_key int")})   # no fact, no dims
+    res = run_merge(spark, store, roots["silver"], f"{scratch}/reject")
+    assert not res["ok"] and res["failed"] is not None and res["batches"] == []
+    assert store.current_version() == 1
+    log = audit_log(spark, store).collect()
+    assert [r.status for r in log] == ["FAILED"] and log[0].error_message
