@@ -37,6 +37,34 @@ def _q(spark, sf_dir, roles, measures, **kw) -> DataFrame:
     return M.query(M.star(t, roles), measures, **kw)
 
 
+def _account_dim(t, with_location: bool = False) -> DataFrame:
+    a = t["dim_account"]
+    if not with_location:
+        return a
+    return ST.join_dim(a, t["dim_location"], "location_key", "location_key",
+                       {"city": "customer_city", "governorate": "customer_governorate"})
+
+
+def _merchant_dim(t) -> DataFrame:
+    return ST.join_dim(t["dim_merchant"], t["dim_location"], "location_key", "location_key",
+                       {"city": "merchant_city", "governorate": "merchant_governorate"}, "left")
+
+
+def _by_account(spark, sf_dir, attrs, measures, with_location=False, **kw) -> DataFrame:
+    """Reports over account attributes: eager aggregation on account_key."""
+    t = star_tables(spark, sf_dir)
+    return M.query_eager(t["fact_transactions"], _account_dim(t, with_location), "account_key", "account_key",
+                         attrs, measures, **kw)
+
+
+def _by_merchant(spark, sf_dir, attrs, measures, **kw) -> DataFrame:
+    """Reports over merchant attributes: eager aggregation on merchant_key,
+    left join so facts without a merchant form the (Blank) member."""
+    t = star_tables(spark, sf_dir)
+    return M.query_eager(t["fact_transactions"], _merchant_dim(t), "merchant_key", "merchant_key", attrs,
+                         measures, how="left", blank=ST.BLANK, **kw)
+
+
 # -- reporting views (R1, R2, S17) ---------------------------------------------
 @register("rpt_daily")
 def q_rpt_daily(spark, sf_dir):
@@ -141,37 +169,35 @@ def q_account_status_mix(spark, sf_dir):
 
 @register("category_size")
 def q_category_size(spark, sf_dir):
-    return _q(spark, sf_dir, ["merchant"], ["gross_volume", "transaction_count"],
-              by=["merchant_category", "merchant_size"])
+    return _by_merchant(spark, sf_dir, ["merchant_category", "merchant_size"], ["gross_volume", "transaction_count"])
 
 
 @register("city_drill")
 def q_city_drill(spark, sf_dir):
-    return _q(spark, sf_dir, ["customer_location"], ["gross_volume", "transaction_count"],
-              by=["customer_governorate", "customer_city"])
+    return _by_account(spark, sf_dir, ["customer_governorate", "customer_city"],
+                       ["gross_volume", "transaction_count"], with_location=True)
 
 
 @register("count_by_channel")
 def q_count_by_channel(spark, sf_dir):
-    return _q(spark, sf_dir, ["account"], ["transaction_count"], by=["acquisition_channel"])
+    return _by_account(spark, sf_dir, ["acquisition_channel"], ["transaction_count"])
 
 
 @register("customer_geo")
 def q_customer_geo(spark, sf_dir):
-    return _q(spark, sf_dir, ["customer_location"], ["gross_volume", "active_accounts"],
-              by=["customer_governorate"])
+    return _by_account(spark, sf_dir, ["customer_governorate"], ["gross_volume", "active_accounts"],
+                       with_location=True)
 
 
 @register("merchant_geo")
 def q_merchant_geo(spark, sf_dir):
-    return _q(spark, sf_dir, ["merchant_location"], ["gross_volume", "distinct_merchants"],
-              by=["merchant_governorate"])
+    return _by_merchant(spark, sf_dir, ["merchant_governorate"], ["gross_volume", "distinct_merchants"])
 
 
 @register("decline_by_category")
 def q_decline_by_category(spark, sf_dir):
-    return _q(spark, sf_dir, ["merchant"], ["decline_rate_ppm", "declined_transactions", "gross_volume"],
-              by=["merchant_category"])
+    return _by_merchant(spark, sf_dir, ["merchant_category"],
+                        ["decline_rate_ppm", "declined_transactions", "gross_volume"])
 
 
 @register("decline_rate_by_month")
@@ -194,13 +220,13 @@ def q_direction_by_group(spark, sf_dir):
 
 @register("engagement_by_tier")
 def q_engagement_by_tier(spark, sf_dir):
-    return _q(spark, sf_dir, ["account"], ["active_accounts", "transaction_count", "avg_txn_per_account_ppm"],
-              by=["customer_tier"])
+    return _by_account(spark, sf_dir, ["customer_tier"],
+                       ["active_accounts", "transaction_count", "avg_txn_per_account_ppm"])
 
 
 @register("fx_by_category")
 def q_fx_by_category(spark, sf_dir):
-    return _q(spark, sf_dir, ["merchant"], ["fx_transactions", "fx_volume"], by=["merchant_category"])
+    return _by_merchant(spark, sf_dir, ["merchant_category"], ["fx_transactions", "fx_volume"])
 
 
 @register("fx_by_month")
@@ -230,19 +256,19 @@ def q_type_by_declined(spark, sf_dir):
 
 @register("volume_by_category")
 def q_volume_by_category(spark, sf_dir):
-    return _q(spark, sf_dir, ["merchant"], ["gross_volume"], by=["merchant_category"],
-              order=[F.desc("gross_volume"), F.asc("merchant_category")])
+    return _by_merchant(spark, sf_dir, ["merchant_category"], ["gross_volume"]) \
+        .orderBy(F.desc("gross_volume"), F.asc("merchant_category"))
 
 
 @register("volume_by_governorate")
 def q_volume_by_governorate(spark, sf_dir):
-    return _q(spark, sf_dir, ["customer_location"], ["gross_volume"], by=["customer_governorate"],
-              order=[F.desc("gross_volume"), F.asc("customer_governorate")])
+    return _by_account(spark, sf_dir, ["customer_governorate"], ["gross_volume"], with_location=True) \
+        .orderBy(F.desc("gross_volume"), F.asc("customer_governorate"))
 
 
 @register("volume_by_tier")
 def q_volume_by_tier(spark, sf_dir):
-    return _q(spark, sf_dir, ["account"], ["gross_volume", "transaction_count"], by=["customer_tier"])
+    return _by_account(spark, sf_dir, ["customer_tier"], ["gross_volume", "transaction_count"])
 
 
 @register("size_by_month")
@@ -279,7 +305,9 @@ def q_p2p_by_month(spark, sf_dir):
 
 @register("p2p_by_tier")
 def q_p2p_by_tier(spark, sf_dir):
-    g = _q(spark, sf_dir, ["peer"], ["gross_volume"], by=["peer_customer_tier"])
+    t = star_tables(spark, sf_dir)
+    g = M.query_eager(t["fact_transactions"], t["dim_account"], "peer_account_key", "account_key",
+                      {"customer_tier": "peer_customer_tier"}, ["gross_volume"], how="left", blank=ST.BLANK)
     return g.withColumnRenamed("gross_volume", "p2p_volume_to_peer")
 
 
@@ -353,7 +381,7 @@ def q_inactive_accounts(spark, sf_dir):
 
 @register("merchants_blank")
 def q_merchants_blank(spark, sf_dir):
-    return _q(spark, sf_dir, ["merchant"], ["transaction_count"], by=["merchant_name"])
+    return _by_merchant(spark, sf_dir, ["merchant_name"], ["transaction_count"])
 
 
 @register("signups_by_month")

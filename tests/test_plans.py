@@ -26,3 +26,21 @@ def test_pushdown_and_pruning(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "avg_ticket_egp" in df.columns
+
+
+def test_eager_aggregation_below_dimension_join(spark):
+    """Reports over account attributes aggregate the fact per account before
+    joining the (data-sized) account dimension."""
+    df = E.queries()["engagement_by_tier"](spark, SF)
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    join_at = p.find("Join")
+    agg_below = p.find("Aggregate [account_key", join_at)
+    assert join_at >= 0 and agg_below > join_at, p
+
+
+def test_register_views(spark):
+    from starledger.plans.gold import star_tables
+    from starledger.plans.reports import register_views
+    names = register_views(spark, star_tables(spark, SF), "gold_")
+    assert "gold_rpt_daily_transactions" in names
+    assert spark.sql("SELECT count(*) AS n FROM gold_rpt_warehouse_health").collect()[0].n == 1
