@@ -54,6 +54,14 @@ def time_of_day(spark: SparkSession) -> DataFrame:
     )
 
 
+def clock_attributes(df: DataFrame, ts_col: str) -> DataFrame:
+    """D2 derivations (F3, F6, F7) for the minute of day of a timestamp column."""
+    h, mi = F.hour(ts_col), F.minute(ts_col)
+    return df.withColumns({
+        "time_key": K.time_key(h, mi), "hour_of_day": h.cast("int"), "time_bucket": K.time_bucket(h),
+        "is_daytime": K.is_daytime(h), "hour_label": K.hour_label(h, mi)})
+
+
 def assign_lookup_keys(values: DataFrame, value_col: str, key_col: str, order: list[Column] | None = None) -> DataFrame:
     """D3: key 1..n for the distinct values of a small lookup, by the given
     order (default: the value itself).  The distinct set is small by

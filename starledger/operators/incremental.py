@@ -53,3 +53,10 @@ def batch_bounds(df: DataFrame) -> DataFrame:
     return agg.select("lo", "hi", F.when(F.col("parts") <= 1, batch_id_label("lo", "hi"))
                       .otherwise(F.concat(batch_id_label("lo", "hi"), F.lit("_"),
                                           F.substring(F.sha1(F.col("spec")), 1, 8))).alias("batch_id"))
+
+
+def partition_bounds(df: DataFrame) -> DataFrame:
+    """I3/F8 per topic partition: offset range and ``b_<lo>_<hi>`` id of the
+    rows each partition contributes (one aggregate row per partition)."""
+    per = df.groupBy(*MARK_KEYS).agg(F.min("_kafka_offset").alias("lo"), F.max("_kafka_offset").alias("hi"))
+    return per.withColumn("batch_id", batch_id_label("lo", "hi"))

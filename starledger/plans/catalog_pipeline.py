@@ -56,7 +56,10 @@ def q_date_dim(spark, sf_dir):
 
 @register("time_dim")
 def q_time_dim(spark, sf_dir):
-    return star_tables(spark, sf_dir)["dim_time"]
+    """Minute-of-day attributes of every event timestamp (the
+    same derivations that build the 1,440-row clock dimension)."""
+    e = FX.driver(spark, sf_dir)["events"].select("event_id", "ts")
+    return D.clock_attributes(e, "ts").drop("ts")
 
 
 @register("lookup_dim")
@@ -223,8 +226,7 @@ def q_offset_marks(spark, sf_dir):
 
 @register("batch_id")
 def q_batch_id(spark, sf_dir):
-    raw = _raw_lineage(spark, sf_dir).where(F.col("_kafka_partition") == 0)
-    return INC.batch_bounds(raw)
+    return INC.partition_bounds(_raw_lineage(spark, sf_dir))
 
 
 @register("dlq_split")

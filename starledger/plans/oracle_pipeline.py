@@ -115,7 +115,14 @@ WHERE rn = 1""")
 
 # -- dimension builders ----------------------------------------------------------
 ORACLE["date_dim"] = with_adapter("SELECT * FROM dim_date")
-ORACLE["time_dim"] = with_adapter("SELECT * FROM dim_time")
+ORACLE["time_dim"] = with_adapter("""
+SELECT event_id, CAST(h * 100 + m AS INTEGER) AS time_key, CAST(h AS INTEGER) AS hour_of_day,
+       CASE WHEN h BETWEEN 5 AND 11 THEN 'Morning' WHEN h BETWEEN 12 AND 16 THEN 'Afternoon'
+            WHEN h BETWEEN 17 AND 20 THEN 'Evening' ELSE 'Night' END AS time_bucket,
+       CAST(CASE WHEN h BETWEEN 6 AND 18 THEN 1 ELSE 0 END AS INTEGER) AS is_daytime,
+       lpad(CAST((h + 11) % 12 + 1 AS VARCHAR), 2, '0') || ':' || lpad(CAST(m AS VARCHAR), 2, '0')
+         || CASE WHEN h < 12 THEN ' AM' ELSE ' PM' END AS hour_label
+FROM (SELECT event_id, hour(ts) AS h, minute(ts) AS m FROM events)""")
 ORACLE["lookup_dim"] = with_adapter("""
 SELECT CAST(row_number() OVER (ORDER BY acquisition_channel) AS INTEGER) AS channel_key, acquisition_channel
 FROM (SELECT DISTINCT c_mktsegment AS acquisition_channel FROM customer WHERE c_mktsegment IS NOT NULL)""")
@@ -295,9 +302,9 @@ SELECT _kafka_topic, _kafka_partition, max(o) AS _kafka_offset FROM (
   SELECT _kafka_topic, _kafka_partition, m AS o FROM marks
   UNION ALL SELECT _kafka_topic, _kafka_partition, _kafka_offset FROM newr) GROUP BY 1, 2""")
 ORACLE["batch_id"] = with_adapter("""
-SELECT min(_kafka_offset) AS lo, max(_kafka_offset) AS hi,
+SELECT _kafka_topic, _kafka_partition, min(_kafka_offset) AS lo, max(_kafka_offset) AS hi,
        printf('b_%09d_%09d', min(_kafka_offset), max(_kafka_offset)) AS batch_id
-FROM raw_txn WHERE _kafka_partition = 0""")
+FROM raw_txn GROUP BY _kafka_topic, _kafka_partition""")
 ORACLE["dlq_split"] = with_adapter("""
 msgs AS (
   SELECT event_id, CASE
