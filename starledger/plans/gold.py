@@ -20,7 +20,7 @@ from ..operators.surrogate import assign_surrogate
 from ..session import work_path
 from ..sources import fs
 from ..functions.keys import month_key
-from ..sources.store import Partitioned, VersionedStore
+from ..sources.store import CommitConflict, Partitioned, VersionedStore
 from .adapter import Star
 
 ADAPTER_VERSION = "adapter-1"
@@ -90,7 +90,12 @@ def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         return dict(hit[1])
     store = gold_store(spark, sf_dir)
     if store.manifest()["meta"].get("fingerprint") != fp:
-        reload_gold(spark, Star(spark, sf_dir).tables(), store, meta={"fingerprint": fp, "source": sf_dir})
+        try:
+            reload_gold(spark, Star(spark, sf_dir).tables(), store, meta={"fingerprint": fp, "source": sf_dir})
+        except CommitConflict:
+            # another session published the same inputs first: use its version
+            if store.manifest()["meta"].get("fingerprint") != fp:
+                raise
     tables = store.tables()
     _MEMO[memo_key] = (fp, tables)
     return dict(tables)
