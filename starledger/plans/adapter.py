@@ -147,12 +147,10 @@ def first_sale_dates(t: DriverTables) -> DataFrame:
 
 
 def _with_default_date(df: DataFrame, t: DriverTables, col: str) -> DataFrame:
-    """Members without any order get the first order date of the data set.
-    The default comes from a one-row aggregate joined on a constant key (a
-    bounded broadcast lookup, not a pairing of rows)."""
-    first = t["orders"].agg(F.min(K.date_key("o_orderdate")).alias("__first")).withColumn("__k", F.lit(1))
-    return (df.withColumn("__k", F.lit(1)).join(F.broadcast(first), "__k", "left")
-              .withColumn(col, F.coalesce(F.col(col), F.col("__first"))).drop("__k", "__first"))
+    """Members without any order get the first order date of the data set
+    (a scalar subquery: evaluated once, no join)."""
+    first = t["orders"].agg(F.min(K.date_key("o_orderdate"))).scalar()
+    return df.withColumn(col, F.coalesce(F.col(col), first))
 
 
 def dim_account(t: DriverTables) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Catalog entries of the pipeline side: conform, dedupe, dimension builders,
+"""Catalog entries of the ingest side: conform, dedupe, dimension builders,
 quality gate, incremental event path, validation and merge."""
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Derived fixture frames for the pipeline queries (FIXTURES.md §3).
+"""Derived fixture frames for the ingest-side queries (FIXTURES.md §3).
 
 All are plans over the driver tables or the gold star: the dirty string
 events, the conformed silver candidates, FK-reduced dimensions, the merge

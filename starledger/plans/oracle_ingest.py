@@ -1,4 +1,4 @@
-"""Oracle SQL (DuckDB) for the pipeline-side catalog entries."""
+"""Oracle SQL (DuckDB) for the ingest-side catalog entries."""
 
 from __future__ import annotations
 
