@@ -127,13 +127,20 @@ class VersionedStore:
             raise CommitConflict(f"store moved from {expected_version} to {base}")
         new = base + 1
         paths = dict(self.manifest(base)["tables"])
-        for name, df in frames.items():
+
+        def write(item):
+            name, df = item
             path = f"{self.root}/v{new:06d}/{name}"
             if isinstance(df, Partitioned):
-                paths[name] = self._write_partitioned(df, path, paths.get(name))
-            else:
-                (writers or {}).get(name, _default_writer)(df, path)
-                paths[name] = path
+                return name, self._write_partitioned(df, path, paths.get(name))
+            (writers or {}).get(name, _default_writer)(df, path)
+            return name, path
+
+        # the tables of one version are independent jobs: submit them together
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=max(1, min(8, len(frames)))) as pool:
+            for name, entry in pool.map(write, list(frames.items())):
+                paths[name] = entry
         if check is not None:
             check({t: self._read_entry(e) for t, e in paths.items()})
         record = {"version": new, "parent": base, "tables": paths, "meta": meta or {},
