@@ -52,10 +52,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a per-application uuid folder: use its parent
         return current.rstrip("/").rsplit("/", 1)[0]
+    # unset (local tests): register a scratch folder; spark.checkpoint.dir is a
+    # core setting and cannot be changed on a running session, so only the
+    # context's checkpoint folder is set (its parent is returned next time)
     scratch = tempfile.mkdtemp(prefix="starledger-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    return spark.sparkContext.getCheckpointDir().rstrip("/").rsplit("/", 1)[0]
 
 
 def work_path(spark: SparkSession, *parts: str) -> str:
