@@ -18,3 +18,20 @@ def con():
 def test_matches_oracle(spark, con, key):
     r = compare(spark, con, key, E.queries()[key], E.oracle_sql().get(key), SF)
     assert r["status"] in ("OK",), r
+
+
+NO_BROADCAST_KEYS = ["rpt_daily", "measures_by_group", "customer_geo", "merchant_geo", "p2p_by_tier", "detail_table",
+                     "dq_summary", "fk_orphans", "fk_reject", "merge_summary", "quarantine_all", "volume_last_month"]
+
+
+@pytest.mark.parametrize("key", NO_BROADCAST_KEYS)
+def test_matches_oracle_without_broadcast(spark, con, key):
+    """The path beyond the broadcast size check (shuffle joins, eager
+    aggregated FK checks) gives the same results."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = compare(spark, con, key, E.queries()[key], E.oracle_sql().get(key), SF)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert r["status"] == "OK", r
