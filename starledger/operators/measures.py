@@ -153,7 +153,8 @@ _DISTINCT_COL = {"accounts": "account_key", "merchants": "merchant_key"}
 
 def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[str] | dict[str, str],
                 measures: list[str], fact_by: list[str] = (), where: Column | None = None,
-                how: str = "inner", blank: str | None = None) -> DataFrame:
+                how: str = "inner", blank: str | None = None, dates: DataFrame | None = None,
+                date_attrs: list[str] = ()) -> DataFrame:
     """Measures grouped by attributes of one (possibly large) dimension, with
     the fact aggregated by the foreign key *before* the join (eager
     aggregation): the join then sees one row per member instead of one per
@@ -172,11 +173,14 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
         if b in _DISTINCT_COL and _DISTINCT_COL[b] != fk:
             raise ValueError(f"measure base {b!r} is not decomposable when pre-aggregating on {fk!r}")
     src = fact.where(where) if where is not None else fact
+    fact_keys = [*fact_by, *(["date_key"] if date_attrs else [])]
     partial = [BASE[b]().alias(f"__p_{b}") for b in needs if b not in _DISTINCT_COL]
-    pre = src.groupBy(fk, *fact_by).agg(*partial) if partial else src.select(fk, *fact_by).distinct()
+    pre = src.groupBy(fk, *fact_keys).agg(*partial) if partial else src.select(fk, *fact_keys).distinct()
     mapping = {a: a for a in attrs} if isinstance(attrs, list) else dict(attrs)
     joined = join_dim(pre, dim, fk, pk, mapping, how, blank)
-    by = [*mapping.values(), *fact_by]
+    if date_attrs:  # calendar attributes: a bounded dimension joined after the pre-aggregation
+        joined = join_dim(joined, dates, "date_key", "date_key", list(date_attrs))
+    by = [*date_attrs, *mapping.values(), *fact_by]
     final_aggs = []
     for b in needs:
         if b in _DISTINCT_COL:

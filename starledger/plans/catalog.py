@@ -122,7 +122,7 @@ def q_high_value_accounts(spark, sf_dir):
 
 @register("volume_band")
 def q_volume_band(spark, sf_dir):
-    g = _q(spark, sf_dir, ["merchant"], ["average_ticket"], by=["merchant_size"])
+    g = _by_merchant(spark, sf_dir, ["merchant_size"], ["average_ticket"])
     return g.withColumn("volume_band", M.volume_band(F.col("average_ticket")))
 
 
@@ -136,13 +136,13 @@ def q_selected_value(spark, sf_dir):
 
 @register("category_share")
 def q_category_share(spark, sf_dir):
-    g = _q(spark, sf_dir, ["merchant"], ["gross_volume"], by=["merchant_category"])
-    total = F.sum("gross_volume").over(ST_window_all())
+    g = _by_merchant(spark, sf_dir, ["merchant_category"], ["gross_volume"])
+    total = F.sum("gross_volume").over(_window_all())
     return g.withColumn("total_volume", total.cast(X.MONEY_SUM)) \
             .withColumn("volume_share_ppm", X.money_ratio_ppm("gross_volume", "total_volume"))
 
 
-def ST_window_all():
+def _window_all():
     from pyspark.sql import Window
     # over the grouped result only: one row per group, never per fact
     return Window.partitionBy()
@@ -151,7 +151,7 @@ def ST_window_all():
 @register("all_dates_share")
 def q_all_dates_share(spark, sf_dir):
     g = _q(spark, sf_dir, ["date"], ["gross_volume"], by=["year"])
-    return g.withColumn("total_volume_all_dates", F.sum("gross_volume").over(ST_window_all()).cast(X.MONEY_SUM)) \
+    return g.withColumn("total_volume_all_dates", F.sum("gross_volume").over(_window_all()).cast(X.MONEY_SUM)) \
             .withColumn("share_ppm", X.money_ratio_ppm("gross_volume", "total_volume_all_dates"))
 
 
@@ -273,21 +273,27 @@ def q_volume_by_tier(spark, sf_dir):
 
 @register("size_by_month")
 def q_size_by_month(spark, sf_dir):
-    return _q(spark, sf_dir, ["date", "merchant"], ["gross_volume"], by=["year", "month", "merchant_size"])
+    t = star_tables(spark, sf_dir)
+    return M.query_eager(t["fact_transactions"], _merchant_dim(t), "merchant_key", "merchant_key",
+                         ["merchant_size"], ["gross_volume"], how="left", blank=ST.BLANK,
+                         dates=t["dim_date"], date_attrs=["year", "month"])
 
 
 @register("top20_merchants")
 def q_top20_merchants(spark, sf_dir):
-    return _q(spark, sf_dir, ["merchant"], ["gross_volume"], by=["merchant_key", "merchant_name"],
-              where=F.col("merchant_key").isNotNull(),
-              order=[F.desc("gross_volume"), F.asc("merchant_key")], top=20)
+    g = _by_merchant(spark, sf_dir, {"merchant_key": "merchant_key_", "merchant_name": "merchant_name"},
+                     ["gross_volume"], where=F.col("merchant_key").isNotNull())
+    return (g.withColumnRenamed("merchant_key_", "merchant_key")
+             .orderBy(F.desc("gross_volume"), F.asc("merchant_key")).limit(20))
 
 
 @register("top10_merchants")
 def q_top10_merchants(spark, sf_dir):
-    return _q(spark, sf_dir, ["merchant"], ["gross_volume", "transaction_count", "average_ticket"],
-              by=["merchant_key", "merchant_name"], where=F.col("merchant_key").isNotNull(),
-              order=[F.desc("gross_volume"), F.asc("merchant_key")], top=10)
+    g = _by_merchant(spark, sf_dir, {"merchant_key": "merchant_key_", "merchant_name": "merchant_name"},
+                     ["gross_volume", "transaction_count", "average_ticket"],
+                     where=F.col("merchant_key").isNotNull())
+    return (g.withColumnRenamed("merchant_key_", "merchant_key")
+             .orderBy(F.desc("gross_volume"), F.asc("merchant_key")).limit(10))
 
 
 @register("top_p2p")
