@@ -44,3 +44,34 @@ def assign_surrogate(df: DataFrame, order_by: str, out: str = "transaction_sk",
     return (tagged.join(F.broadcast(offsets), "_pid", "inner")
                   .withColumn(out, (start_col + F.col("_off") + F.col("_pos")).cast("bigint"))
                   .drop("_pid", "_mid", "_pos", "_off"))
+
+
+def positions(df: DataFrame, order_by: str, num_partitions: int | None = None,
+              pid: str = "_sk_pid", pos: str = "_sk_pos") -> DataFrame:
+    """Tag rows with (range partition, position in partition) of ``order_by``
+    in one pass.  Within one job the tags are deterministic, also when tasks or
+    stages are retried: the range bounds are fixed when the exchange is
+    planned and each partition is sorted by a unique key.  The partition
+    offsets are computed afterwards from what was written (``offsets_of``)."""
+    n = num_partitions or _partitions_for(df)
+    ranged = df.repartitionByRange(n, order_by).sortWithinPartitions(order_by)
+    tagged = ranged.withColumn(pid, F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id())
+    return tagged.withColumn(pos, F.col("__mid") - F.shiftleft(F.col(pid).cast("bigint"), 33)).drop("__mid")
+
+
+def offsets_of(written: DataFrame, pid: str = "_sk_pid") -> list[int]:
+    """Prefix offsets per partition id from written rows (one row per
+    partition id comes back to the driver: bounded by the partition count)."""
+    counts = {r[pid]: r["n"] for r in written.where(F.col(pid).isNotNull())
+              .groupBy(pid).agg(F.count(F.lit(1)).alias("n")).collect()}
+    out, acc = [], 0
+    for p in range(max(counts) + 1 if counts else 0):
+        out.append(acc)
+        acc += counts.get(p, 0)
+    return out
+
+
+def positional_key(offsets: list[int], start: int, pid: str = "_sk_pid", pos: str = "_sk_pos") -> Column:
+    """start + offset[pid] + pos: the surrogate key of a positionally tagged row."""
+    arr = F.array(*[F.lit(o).cast("bigint") for o in offsets]) if offsets else F.array().cast("array<bigint>")
+    return (F.lit(start).cast("bigint") + F.element_at(arr, F.col(pid) + 1) + F.col(pos)).cast("bigint")

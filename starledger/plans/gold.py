@@ -13,13 +13,14 @@ import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import contracts as C
+from ..functions.keys import month_key
 from ..operators import quality
-from ..operators.surrogate import assign_surrogate
+from ..operators.surrogate import positions
 from ..session import work_path
 from ..sources import fs
-from ..functions.keys import month_key
 from ..sources.store import CommitConflict, Partitioned, VersionedStore
 from .adapter import Star
 
@@ -34,9 +35,16 @@ def _write_dim(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+SK = {"column": "transaction_sk", "pid": "_sk_pid", "pos": "_sk_pos", "start": 1}
+
+
 def gold_fact(star_fact: DataFrame) -> DataFrame:
-    """Fact with contiguous ``transaction_sk`` in transaction_id order."""
-    return assign_surrogate(star_fact, "transaction_id", "transaction_sk", 1)
+    """Fact rows tagged with their position in transaction_id order; the
+    store turns (partition, position) into contiguous ``transaction_sk`` values
+    from per-partition counts of the written files (no extra pass over the
+    fact).  ``assign_surrogate`` is the stand-alone form of the same keys."""
+    return positions(star_fact, "transaction_id", pid=SK["pid"], pos=SK["pos"]) \
+        .withColumn(SK["column"], F.lit(None).cast("bigint"))
 
 
 def reload_gold(spark: SparkSession, tables: dict[str, DataFrame], store: VersionedStore,
@@ -45,7 +53,7 @@ def reload_gold(spark: SparkSession, tables: dict[str, DataFrame], store: Versio
     frames = dict(tables)
     # month folders let an upsert rewrite only the months it touches
     fact = gold_fact(tables["fact_transactions"]).withColumn(FACT_PARTITION, month_key("date_key"))
-    frames["fact_transactions"] = Partitioned(fact, FACT_PARTITION, None, ("date_key", "transaction_id"))
+    frames["fact_transactions"] = Partitioned(fact, FACT_PARTITION, None, ("date_key", "transaction_id"), dict(SK))
     writers = {name: _write_dim for name in frames if name != "fact_transactions"}
 
     def check(written: dict[str, DataFrame]) -> None:

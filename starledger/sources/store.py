@@ -21,6 +21,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import fs
@@ -37,6 +38,7 @@ class Partitioned:
     column: str
     replace: list | None = None
     sort_by: tuple = ()
+    positional: dict | None = None   # {"column", "pid", "pos", "start"}: key derived from row positions
 
 
 class CommitConflict(RuntimeError):
@@ -81,9 +83,18 @@ class VersionedStore:
             return self.spark.read.parquet(entry)
         schema = T.StructType.fromJson(json.loads(entry["schema"]))
         paths = [p for v, p in sorted(entry["parts"].items()) if parts is None or v in {str(x) for x in parts}]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        df = (self.spark.read.schema(schema).parquet(*paths) if paths
+              else self.spark.createDataFrame([], schema))
+        pk = entry.get("positional")
+        if pk:
+            # rows from a reload carry (partition, position); rows written later
+            # carry an explicit key (see operators/surrogate.positions)
+            from ..operators.surrogate import positional_key
+            key = F.coalesce(F.col(pk["column"]), positional_key(pk["offsets"], pk["start"], pk["pid"], pk["pos"]))
+            cols = [key.alias(c) if c == pk["column"] else F.col(c) for c in df.columns
+                    if c not in (pk["pid"], pk["pos"])]
+            df = df.select(*cols)
+        return df
 
     def read(self, table: str, version: int | None = None, parts: list | None = None) -> DataFrame:
         """A table of a version; for partitioned tables ``parts`` restricts the
@@ -112,7 +123,17 @@ class VersionedStore:
             parts = {v: p for v, p in previous["parts"].items() if v not in dropped}
         parts.update(written)
         schema = T.StructType([f for f in spec.df.schema.fields if f.name != spec.column])
-        return {"partition_column": spec.column, "parts": parts, "schema": schema.json()}
+        entry = {"partition_column": spec.column, "parts": parts, "schema": schema.json()}
+        if spec.positional:
+            from ..operators.surrogate import offsets_of
+            p = spec.positional
+            tags = self.spark.read.parquet(*written.values()).select(p["pid"]) if written else None
+            entry["positional"] = {**p, "offsets": offsets_of(tags, p["pid"]) if tags is not None else []}
+        elif spec.replace is not None and isinstance(previous, dict) and previous.get("positional"):
+            # carried months keep positional keys; rewritten months store explicit keys
+            entry["positional"] = previous["positional"]
+            entry["schema"] = previous["schema"]
+        return entry
 
     # -- writing -----------------------------------------------------------
     def commit(self, frames: dict[str, DataFrame | Partitioned], meta: dict | None = None,
