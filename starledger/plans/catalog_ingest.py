@@ -33,7 +33,8 @@ def q_conform_txn(spark, sf_dir):
 
 @register("conform_lineage")
 def q_conform_lineage(spark, sf_dir):
-    return FX.silver_candidates(spark, sf_dir)
+    """P2 on the bronze layer: contract columns plus typed lineage."""
+    return FX.conform_events(FX.dirty(spark, sf_dir))
 
 
 @register("dedupe_earliest")

@@ -23,15 +23,31 @@ def driver(spark: SparkSession, sf_dir: str) -> adapter.DriverTables:
     return adapter.DriverTables(spark, sf_dir)
 
 
-def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string events with injected faults (blank id, 'N/A' amount, ' ' date)."""
     return adapter.dirty_raw_txn(driver(spark, sf_dir))
 
 
-def silver_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def conform_events(bronze: DataFrame) -> DataFrame:
     """Conformed events with typed lineage."""
     types = {f.name: f.dataType for f in LINEAGE_SCHEMA.fields}
-    return conform(dirty(spark, sf_dir), FACT_TRANSACTIONS, LINEAGE3, types)
+    return conform(bronze, FACT_TRANSACTIONS, LINEAGE3, types)
+
+
+def silver_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform_events(dirty_plan(spark, sf_dir))
+
+
+def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze event layer (written once per input folder)."""
+    from .gold import layer_tables
+    return layer_tables(spark, sf_dir)["bronze_events"]
+
+
+def silver_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conformed silver event layer (written once per input folder)."""
+    from .gold import layer_tables
+    return layer_tables(spark, sf_dir)["silver_events"]
 
 
 def staged_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
