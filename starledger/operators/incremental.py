@@ -60,3 +60,19 @@ def partition_bounds(df: DataFrame) -> DataFrame:
     rows each partition contributes (one aggregate row per partition)."""
     per = df.groupBy(*MARK_KEYS).agg(F.min("_kafka_offset").alias("lo"), F.max("_kafka_offset").alias("hi"))
     return per.withColumn("batch_id", batch_id_label("lo", "hi"))
+
+
+def load_marks(store) -> DataFrame | None:
+    """I1/I2 batch variant: the committed marks of a versioned store (None on
+    the first run)."""
+    if "offset_marks" not in store.manifest()["tables"]:
+        return None
+    return store.read("offset_marks")
+
+
+def save_marks(store, marks: DataFrame, expected_version: int | None = None, meta: dict | None = None) -> int:
+    """Publish new marks as one atomic store commit.  Call it only after
+    the batch's data write succeeded; a crash before it leaves the old marks,
+    so the next run re-reads the same rows (and overwrites the same batch)."""
+    return store.commit({"offset_marks": marks.select(*MARK_KEYS, "_kafka_offset")}, meta=meta or {},
+                        expected_version=expected_version)

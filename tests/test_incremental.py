@@ -30,3 +30,17 @@ def test_batch_id_single_and_multi_partition(spark):
     a = batch_bounds(df).collect()[0].batch_id
     b = batch_bounds(df.where("_kafka_partition = 0 OR _kafka_offset < 9")).collect()[0].batch_id
     assert a != b and a.startswith("b_000000000_000000009_")    # X5: ranges differ -> ids differ
+
+
+def test_marks_persist_atomically(spark, scratch):
+    from starledger.operators.incremental import load_marks, save_marks
+    from starledger.sources.store import VersionedStore
+    st = VersionedStore(spark, f"{scratch}/marks")
+    df = frame(spark)
+    assert load_marks(st) is None
+    first = df.where("_kafka_offset <= 4")
+    v = save_marks(st, advance_marks(load_marks(st), new_rows(first, load_marks(st))))
+    nxt = new_rows(df, load_marks(st))
+    assert nxt.count() == 10                      # offsets 5..9 of both partitions
+    save_marks(st, advance_marks(load_marks(st), nxt), expected_version=v)
+    assert {r._kafka_partition: r._kafka_offset for r in load_marks(st).collect()} == {0: 9, 1: 9}
