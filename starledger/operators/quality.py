@@ -126,6 +126,26 @@ def check_unique(df: DataFrame, table: str, column: str) -> DataFrame:
         F.lit("error").alias("severity"), "violations")
 
 
+def check_unique_many(checks: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """Q1/Q16 for many (frame, table, column) at once: the keys are stacked as
+    (table, column, value) and counted in one shuffle; every check yields a
+    metric row (0 when no value repeats)."""
+    spark = checks[0][0].sparkSession
+    stacked = None
+    for df, table, column in checks:
+        part = df.where(F.col(column).isNotNull()).select(
+            F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
+            F.col(column).cast("string").alias("__v"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    dups = (stacked.groupBy("table_name", "column_name", "__v").agg(F.count(F.lit(1)).alias("__n"))
+                   .where("__n > 1").groupBy("table_name", "column_name").agg(F.count(F.lit(1)).alias("__d")))
+    expected = spark.createDataFrame([(t, c) for _, t, c in checks], "table_name string, column_name string")
+    return (expected.join(dups, ["table_name", "column_name"], "left")
+                    .select("table_name", F.lit("unique").alias("check_name"), "column_name",
+                            F.lit("error").alias("severity"),
+                            F.coalesce(F.col("__d"), F.lit(0)).cast("bigint").alias("violations")))
+
+
 def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows with a non-null fk missing from the parent."""
     keys = broadcast_if_small(parent.select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull()).distinct())
@@ -206,8 +226,8 @@ def fk_hits(df: DataFrame, fks: list[tuple[str, DataFrame, str]]) -> tuple[DataF
 def gate_parts(tables: dict[str, DataFrame], contracts: dict[str, TableContract],
                fact_table: str = "fact_transactions") -> list[DataFrame]:
     """The gate as independent metric frames (one row-check pass per table,
-    one grouped aggregate per unique key)."""
-    parts = []
+    one shuffle for all unique keys together)."""
+    parts, uniques = [], []
     for name, contract in contracts.items():
         if name not in tables:
             continue
@@ -228,8 +248,9 @@ def gate_parts(tables: dict[str, DataFrame], contracts: dict[str, TableContract]
                             F.col(fk.column).isNotNull() & F.col(flag).isNull())
                    for fk, flag in zip(small, flags)]
         parts.append(row_checks(joined, name, checks))
-        for key in [*contract.primary_key, *contract.unique]:
-            parts.append(check_unique(df, name, key))
+        uniques += [(df, name, key) for key in [*contract.primary_key, *contract.unique]]
+    if uniques:
+        parts.append(check_unique_many(uniques))
     return parts
 
 
