@@ -38,20 +38,35 @@ def silver_rules() -> list[tuple[str, Column]]:
     ]
 
 
+def flag_quality(df: DataFrame, rules: list[tuple[str, Column]] | None = None, key: str = "transaction_id",
+                 order_by: list[str] = ("_kafka_offset",), identity: list[str] = ("_kafka_partition", "_kafka_offset"),
+                 reason_col: str = "_dq_reason") -> DataFrame:
+    """Every row with its quarantine reason (NULL = clean): the first
+    failing rule, else ``duplicate_transaction_id`` for a later copy of a key
+    among the valid rows.  One frame, so a caller can persist it once and
+    write both the clean and the quarantine sink from it."""
+    flagged = df.withColumn(reason_col, first_failing(rules or silver_rules()))
+    valid_key = F.when(F.col(reason_col).isNull(), F.col(key))
+    marked = flag_duplicates(flagged.withColumn("__vk", valid_key), ["__vk"], list(order_by), list(identity),
+                             latest=False, flag="__dup")
+    return (marked.withColumn(reason_col, F.when(F.col("__dup"), F.lit(DUPLICATE_REASON))
+                              .otherwise(F.col(reason_col)))
+                  .drop("__vk", "__dup"))
+
+
 def split_quality(df: DataFrame, rules: list[tuple[str, Column]] | None = None, key: str = "transaction_id",
                   order_by: list[str] = ("_kafka_offset",), identity: list[str] = ("_kafka_partition", "_kafka_offset"),
                   reason_col: str = "_dq_reason") -> tuple[DataFrame, DataFrame]:
     """(clean, quarantine).  Invalid rows carry the first failing
     rule; among valid rows the earliest copy of a key is kept and later copies
     are quarantined as duplicates."""
-    flagged = df.withColumn(reason_col, first_failing(rules or silver_rules()))
-    invalid = flagged.where(F.col(reason_col).isNotNull())
-    valid = flagged.where(F.col(reason_col).isNull())
-    marked = flag_duplicates(valid, [key], list(order_by), list(identity), latest=False, flag="_dup")
-    clean = marked.where(~F.col("_dup")).drop("_dup", reason_col)
-    dups = (marked.where(F.col("_dup")).drop("_dup")
-                  .withColumn(reason_col, F.lit(DUPLICATE_REASON)))
-    return clean, invalid.unionByName(dups)
+    flagged = flag_quality(df, rules, key, order_by, identity, reason_col)
+    return split_flagged(flagged, reason_col)
+
+
+def split_flagged(flagged: DataFrame, reason_col: str = "_dq_reason") -> tuple[DataFrame, DataFrame]:
+    clean = flagged.where(F.col(reason_col).isNull()).drop(reason_col)
+    return clean, flagged.where(F.col(reason_col).isNotNull())
 
 
 # -- pre-merge validation -------------------------------------------------------

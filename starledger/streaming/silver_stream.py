@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import FACT_TRANSACTIONS, LINEAGE_SCHEMA
 from ..operators.conform import conform, with_batch_metadata
-from ..operators.validate import split_quality
+from ..operators.validate import flag_quality, split_flagged
 from ..sources.events import flatten_envelope, read_events, split_dead_letters
 from ..sources.layers import write_batch_partition
 
@@ -60,10 +60,12 @@ def process_batch(batch: DataFrame, batch_id: str, roots: dict[str, str]) -> Bat
         types = {f.name: f.dataType for f in LINEAGE_SCHEMA.fields}
         events = conform(flatten_envelope(good), FACT_TRANSACTIONS, list(types), types)
         events = with_batch_metadata(events, batch_id, consumed_at)
-        clean, quarantine = split_quality(events)
+        flagged = flag_quality(events).persist()        # one dedupe per batch, two sinks
+        clean, quarantine = split_flagged(flagged)
         s = write_batch_partition(clean, roots["silver"])
         q = write_batch_partition(quarantine, roots["quarantine"])
         n = batch.count()
+        flagged.unpersist()
         good.unpersist()
         return BatchSummary(batch_id, n, dlq_info["rows"], s["rows"], q["rows"])
     finally:
