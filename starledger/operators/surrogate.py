@@ -59,16 +59,17 @@ def positions(df: DataFrame, order_by: str, num_partitions: int | None = None,
     return tagged.withColumn(pos, F.col("__mid") - F.shiftleft(F.col(pid).cast("bigint"), 33)).drop("__mid")
 
 
-def offsets_of(written: DataFrame, pid: str = "_sk_pid") -> list[int]:
-    """Prefix offsets per partition id from written rows (one row per
-    partition id comes back to the driver: bounded by the partition count)."""
+def offsets_of(written: DataFrame, pid: str = "_sk_pid") -> tuple[list[int], int]:
+    """Prefix offsets per partition id and the row total, from written rows
+    (one row per partition id comes back to the driver: bounded by the
+    partition count)."""
     counts = {r[pid]: r["n"] for r in written.where(F.col(pid).isNotNull())
               .groupBy(pid).agg(F.count(F.lit(1)).alias("n")).collect()}
     out, acc = [], 0
     for p in range(max(counts) + 1 if counts else 0):
         out.append(acc)
         acc += counts.get(p, 0)
-    return out
+    return out, acc
 
 
 def positional_key(offsets: list[int], start: int, pid: str = "_sk_pid", pos: str = "_sk_pos") -> Column:

@@ -39,6 +39,7 @@ class Partitioned:
     replace: list | None = None
     sort_by: tuple = ()
     positional: dict | None = None   # {"column", "pid", "pos", "start"}: key derived from row positions
+    max_key: int | None = None       # largest surrogate key after this write (kept in the commit record)
 
 
 class CommitConflict(RuntimeError):
@@ -128,11 +129,15 @@ class VersionedStore:
             from ..operators.surrogate import offsets_of
             p = spec.positional
             tags = self.spark.read.parquet(*written.values()).select(p["pid"]) if written else None
-            entry["positional"] = {**p, "offsets": offsets_of(tags, p["pid"]) if tags is not None else []}
+            offsets, total = offsets_of(tags, p["pid"]) if tags is not None else ([], 0)
+            entry["positional"] = {**p, "offsets": offsets}
+            entry["max_key"] = p["start"] - 1 + total
         elif spec.replace is not None and isinstance(previous, dict) and previous.get("positional"):
             # carried months keep positional keys; rewritten months store explicit keys
             entry["positional"] = previous["positional"]
             entry["schema"] = previous["schema"]
+        if spec.max_key is not None:
+            entry["max_key"] = int(spec.max_key)
         return entry
 
     # -- writing -----------------------------------------------------------

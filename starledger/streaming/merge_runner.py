@@ -52,13 +52,17 @@ def upsert_partitions(store: VersionedStore, version: int, valid: DataFrame, par
                          .select(month_key("date_key").alias("m"))
     new_months = changed.select(month_key("date_key").alias("m"))
     touched = sorted({r["m"] for r in old_months.union(new_months).distinct().collect()})  # <= number of months
-    current_max = target.agg(F.coalesce(F.max(SK), F.lit(0)).alias("m")).collect()[0]["m"]
-    inserts = assign_surrogate(changed.where(F.col("_action") == "INSERT").drop(SK, "_action"), KEY, SK,
-                               int(current_max) + 1)
+    entry = store.table_path("fact_transactions", version)
+    current_max = entry.get("max_key") if isinstance(entry, dict) else None
+    if current_max is None:   # older commits: one scan of the key column
+        current_max = target.agg(F.coalesce(F.max(SK), F.lit(0)).alias("m")).collect()[0]["m"]
+    new_rows = changed.where(F.col("_action") == "INSERT").drop(SK, "_action")
+    n_inserts = merged.where(F.col("_action") == "INSERT").count()        # merged is persisted
+    inserts = assign_surrogate(new_rows, KEY, SK, int(current_max) + 1)
     updates = changed.where(F.col("_action") == "UPDATE").drop("_action")
     kept = store.read("fact_transactions", version, parts=touched).join(changed.select(KEY), KEY, "left_anti")
     rows = kept.unionByName(updates).unionByName(inserts).withColumn(part_col, month_key("date_key"))
-    return Partitioned(rows, part_col, touched, ("date_key", KEY)), merged
+    return Partitioned(rows, part_col, touched, ("date_key", KEY), max_key=int(current_max) + n_inserts), merged
 
 
 def loaded_batches(store: VersionedStore) -> set[str]:

@@ -172,3 +172,12 @@ def test_positional_keys_survive_upserts(spark, scratch):
     after = {r.transaction_id: r.transaction_sk for r in st.read("fact_transactions").collect()}
     assert len(after) == n + 1 and after["TXN9999999999"] == n + 1
     assert all(after[k] == v for k, v in before.items())        # every existing key is kept
+
+
+def test_max_key_kept_in_commit_record(spark, scratch):
+    from starledger.plans.adapter import Star
+    from starledger.plans.gold import reload_gold
+    st = VersionedStore(spark, f"{scratch}/gold")
+    v = reload_gold(spark, Star(spark, "/root/testdata/sf0.001").tables(), st)
+    entry = st.table_path("fact_transactions", v)
+    assert entry["max_key"] == st.read("fact_transactions").count()
