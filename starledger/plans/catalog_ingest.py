@@ -147,11 +147,10 @@ def q_dq_domain(spark, sf_dir):
 def q_dq_unique(spark, sf_dir):
     t = star_tables(spark, sf_dir)
     raw = adapter.raw_txn(FX.driver(spark, sf_dir))
-    out = Q.check_unique(raw, "raw_txn", "transaction_id")
+    checks = [(raw, "raw_txn", "transaction_id")]
     for name in ("dim_account", "dim_merchant", "dim_date", "dim_location"):
-        for key in [*C.STAR[name].primary_key, *C.STAR[name].unique]:
-            out = out.unionByName(Q.check_unique(t[name], name, key))
-    return out
+        checks += [(t[name], name, key) for key in [*C.STAR[name].primary_key, *C.STAR[name].unique]]
+    return Q.check_unique_many(checks)
 
 
 @register("fk_orphans")
