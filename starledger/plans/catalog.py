@@ -338,10 +338,17 @@ def q_fx_rate_distribution(spark, sf_dir):
 @register("slicer_query")
 def q_slicer_query(spark, sf_dir):
     """Date range + IN-lists on dimension attributes, propagated to the fact."""
-    where = (F.col("full_date").between(F.lit("1996-01-01").cast("date"), F.lit("1996-12-31").cast("date"))
-             & F.col("customer_tier").isin("Premium", "Business") & F.col("transaction_group").isin("Payment"))
-    return _q(spark, sf_dir, ["date", "customer_location", "type"], ["gross_volume", "transaction_count"],
-              by=["customer_governorate"], where=where)
+    t = star_tables(spark, sf_dir)
+    # date slicer as a date_key range on the fact (reaches the Parquet scan),
+    # type slicer as a semi join with the bounded type dimension, account
+    # slicer applied to the account dimension inside an eager aggregation
+    fact = t["fact_transactions"].where(F.col("date_key").between(K.date_key(F.lit("1996-01-01").cast("date")),
+                                                                   K.date_key(F.lit("1996-12-31").cast("date"))))
+    types = t["dim_transaction_type"].where(F.col("transaction_group").isin("Payment")).select("transaction_type_key")
+    fact = fact.join(ST.broadcast_if_small(types), "transaction_type_key", "left_semi")
+    accounts = _account_dim(t, with_location=True).where(F.col("customer_tier").isin("Premium", "Business"))
+    return M.query_eager(fact, accounts, "account_key", "account_key", ["customer_governorate"],
+                         ["gross_volume", "transaction_count"])
 
 
 @register("type_rollup")
