@@ -361,8 +361,12 @@ def q_type_rollup(spark, sf_dir):
 def q_detail_table(spark, sf_dir):
     """Drill-through detail with presentation names."""
     t = star_tables(spark, sf_dir)
-    f = M.star(t, ["date", "time", "account", "type", "decline_reason", "merchant", "customer_location"])
-    f = f.where((F.col("merchant_category") == "CAT_3") & (F.col("year") == 1997))
+    # drill-through filters first: the year as a date_key range on the fact scan,
+    # the category as a semi join with the merchant keys; then the six roles
+    fact = t["fact_transactions"].where(F.col("date_key").between(19970101, 19971231))
+    cat = t["dim_merchant"].where(F.col("merchant_category") == "CAT_3").select("merchant_key")
+    fact = fact.join(ST.broadcast_if_small(cat), "merchant_key", "left_semi")
+    f = M.star(t, ["date", "time", "account", "type", "decline_reason", "merchant", "customer_location"], fact=fact)
     return f.select(
         F.col("transaction_id").alias("Transaction ID"), F.col("full_date").alias("Date"),
         F.col("hour_label").alias("Time"), F.col("account_id").alias("Account"),
