@@ -154,7 +154,7 @@ _DISTINCT_COL = {"accounts": "account_key", "merchants": "merchant_key"}
 def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[str] | dict[str, str],
                 measures: list[str], fact_by: list[str] = (), where: Column | None = None,
                 how: str = "inner", blank: str | None = None, dates: DataFrame | None = None,
-                date_attrs: list[str] = ()) -> DataFrame:
+                date_attrs: list[str] = (), post: list[tuple[DataFrame, str, str, list[str]]] = ()) -> DataFrame:
     """Measures grouped by attributes of one (possibly large) dimension, with
     the fact aggregated by the foreign key *before* the join (eager
     aggregation): the join then sees one row per member instead of one per
@@ -162,7 +162,9 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
     and a member holding a third of all rows is reduced by partial
     aggregation before any exchange.  Results equal ``query(star(...))``.
 
-    Distinct counts are supported when their column is the foreign key."""
+    Distinct counts are supported when their column is the foreign key.
+    ``dates``/``date_attrs`` and ``post`` add bounded dimensions (calendar,
+    clock, ...) whose keys join the pre-aggregation key."""
     ms = [MEASURES[m] for m in measures]
     needs: list[str] = []
     for m in ms:
@@ -173,14 +175,18 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
         if b in _DISTINCT_COL and _DISTINCT_COL[b] != fk:
             raise ValueError(f"measure base {b!r} is not decomposable when pre-aggregating on {fk!r}")
     src = fact.where(where) if where is not None else fact
-    fact_keys = [*fact_by, *(["date_key"] if date_attrs else [])]
+    fact_keys = [*fact_by, *(["date_key"] if date_attrs else []), *[p_fk for _, p_fk, _, _ in post]]
     partial = [BASE[b]().alias(f"__p_{b}") for b in needs if b not in _DISTINCT_COL]
     pre = src.groupBy(fk, *fact_keys).agg(*partial) if partial else src.select(fk, *fact_keys).distinct()
     mapping = {a: a for a in attrs} if isinstance(attrs, list) else dict(attrs)
     joined = join_dim(pre, dim, fk, pk, mapping, how, blank)
     if date_attrs:  # calendar attributes: a bounded dimension joined after the pre-aggregation
         joined = join_dim(joined, dates, "date_key", "date_key", list(date_attrs))
-    by = [*date_attrs, *mapping.values(), *fact_by]
+    post_attrs = []
+    for p_dim, p_fk, p_pk, p_attrs in post:   # other bounded dimensions, same idea
+        joined = join_dim(joined, p_dim, p_fk, p_pk, list(p_attrs))
+        post_attrs += list(p_attrs)
+    by = [*date_attrs, *mapping.values(), *post_attrs, *fact_by]
     final_aggs = []
     for b in needs:
         if b in _DISTINCT_COL:

@@ -244,7 +244,9 @@ def q_heatmap(spark, sf_dir):
 
 @register("tier_time_decline")
 def q_tier_time_decline(spark, sf_dir):
-    g = _q(spark, sf_dir, ["account", "time"], ["decline_rate_ppm"], by=["customer_tier", "time_bucket"])
+    t = star_tables(spark, sf_dir)
+    g = M.query_eager(t["fact_transactions"], t["dim_account"], "account_key", "account_key", ["customer_tier"],
+                      ["decline_rate_ppm"], post=[(t["dim_time"], "time_key", "time_key", ["time_bucket"])])
     p = g.groupBy("customer_tier").pivot("time_bucket", list(TIME_BUCKETS)).agg(F.first("decline_rate_ppm"))
     return p.select("customer_tier", *[F.col(b).alias(f"{b.lower()}_decline_ppm") for b in TIME_BUCKETS])
 
