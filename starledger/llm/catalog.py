@@ -76,3 +76,39 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starledger.llm.mixing import mix
 
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op10_minhash_oph")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starledger.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_decontaminate")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starledger.llm.decontaminate import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP7_SQL = """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v, r.v)::BIGINT AS score
+  FROM rows q JOIN rows r ON r.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op7_topk_search", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starledger.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
