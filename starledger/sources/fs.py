@@ -55,10 +55,13 @@ def file_info(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
 
 
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    write_bytes(spark, path, text.encode("utf-8"), overwrite)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes, overwrite: bool = True) -> None:
     fs, p = _jpath(spark, path)
     out = fs.create(p, overwrite)
     try:
-        data = text.encode("utf-8")
         out.write(bytearray(data))
     finally:
         out.close()
