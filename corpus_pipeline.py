@@ -8,33 +8,58 @@ stage's input.  All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starledger.llm import decontaminate, minhash, mixing, quality, sharding
 from starledger.llm.common import table, written
-from starledger.llm.mixing import mix
-from starledger.llm.sharding import shard
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on this input and the
+    labels, doesn't reject (8)."""
+    score = quality.scorer(quality.fit(docs, table(spark, sf_dir, "labels")))
+    return docs.where(score(F.col("text")) >= quality.THRESHOLD)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each near-duplicate group (10); rows
+    that repeat an id leave one, the smallest text."""
+    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+            .withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage (9)."""
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it (6)."""
-    taken = mix(docs).where("repetitions > 0").select(F.col("doc_id").alias("_mixed"), "repetitions")
+    """Every document as often as the mix takes it (6); rows that share an id
+    are repeated alike."""
+    taken = (mixing.mix(docs).groupBy(F.col("doc_id").alias("_mixed"))
+             .agg(F.max("repetitions").alias("_times")).where("_times > 0"))
     return (docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_mixed")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("repetitions"))))
-            .select(*[F.col(c) for c in docs.columns]))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns))
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The shard and slot of every row (3)."""
-    return shard(docs).select("doc_id", "size", "text_crc32", "shard", "slot")
+    return sharding.shard(docs).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 STAGES = [
+    ("quality", keep_good),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_leaks),
     ("mixing", mix_sources),
     ("sharding", assign_shards),
 ]
 
-ORACLE_SQL = None  # classifier and min-hash stages have no SQL form; tests hold them against brute force
+ORACLE_SQL = None  # the classifier and min-hash stages have no SQL form; tests hold them against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

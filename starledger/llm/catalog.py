@@ -112,3 +112,21 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starledger.llm.topk import top_k
 
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starledger.llm.langid import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
+@query("op8_quality_nbsvm")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starledger.llm.quality import THRESHOLD, fit, held_out, scorer
+
+    docs = table(spark, sf_dir, "documents")
+    score = scorer(fit(docs, table(spark, sf_dir, "labels")))
+    return (docs.select("doc_id", held_out("doc_id").alias("held_out"), score("text").alias("score"))
+            .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import starledger
 from starledger.session import work_path
+from starledger.sources import fs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +34,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    root = Path(starledger.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    path = f"{shared_path(spark, 'package')}.zip"
+    fs.write_bytes(spark, path, packed.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def utf8_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets int64 of length n + 1 starting at 0, bytes uint8) of a string
     column; null rows are empty."""

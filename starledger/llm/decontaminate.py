@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import mix64, slices
+from starledger.llm.common import mix64, ship_package, slices
 
 Q = 8
 RATE = 0.1
@@ -187,6 +187,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     """(doc_id, item_id, distance, start, end): every leaked pair with its best
     alignment, in characters of the normalised text."""
     spark = docs.sparkSession
+    ship_package(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema[item_col].dataType.simpleString()

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starledger.llm.common import mix64, slices, utf8_buffers, written
+from starledger.llm.common import mix64, ship_package, slices, utf8_buffers, written
 from starledger.llm.components import components
 from starledger.llm.shingles import shingle_sets
 
@@ -137,6 +137,7 @@ def _alike_in_size(a: str, b: str):
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("rid"),
                        F.col(text_col).alias("text"))
     sketch = written(rows.mapInArrow(

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starledger.llm.common import written
+from starledger.llm.common import ship_package, written
 
 LISTS = 4
 QUERY_BLOCK, ROW_BLOCK = 4096, 4096
@@ -121,6 +121,7 @@ def _resolve(k: int):
 def top_k(vectors: DataFrame, is_query, k: int = 10, *, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score.  ``is_query``: a condition on the
     column vec_id."""
+    ship_package(vectors.sparkSession)
     x = F.col(vector_col)
     whole = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     scaled = F.transform(x, lambda c: F.floor(c.cast("double") * 1024).cast("long"))
