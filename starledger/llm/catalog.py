@@ -130,3 +130,79 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = scorer(fit(docs, table(spark, sf_dir, "labels")))
     return (docs.select("doc_id", held_out("doc_id").alias("held_out"), score("text").alias("score"))
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
+
+
+# documents have no paths: id blocks of a source stand for its directories, and
+# the first document of a block for the directory's licence file
+OP1_FILES = """
+  SELECT doc_id, text, CASE
+    WHEN doc_id IS NULL THEN concat(coalesce(source, 'none'), '/unnamed.txt')
+    WHEN k % 100 = 0 THEN concat(coalesce(source, 'none'), '/g', k100, '/LICENSE-', doc_id)
+    WHEN k % 10 = 0 THEN concat(coalesce(source, 'none'), '/g', k100, '/h', k10, '/LICENSE-', doc_id)
+    ELSE concat(coalesce(source, 'none'), '/g', k100, '/h', k10, '/f', doc_id, '.txt') END AS path
+  FROM (SELECT doc_id, text, source, CAST(floor(doc_id / 20) AS BIGINT) AS k,
+               CAST(floor(doc_id / 200) AS BIGINT) AS k10, CAST(floor(doc_id / 2000) AS BIGINT) AS k100 FROM documents)
+"""
+
+
+def _op1_sql() -> str:
+    from starledger.llm.licences import LEAST, TEMPLATES, TERM
+
+    values = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(TEMPLATES))
+    return rf"""
+WITH files AS ({OP1_FILES}),
+templates(template, license, text) AS (VALUES {values}),
+tterms AS (SELECT template, license, unnest(regexp_extract_all(lower(text), '{TERM}')) AS term FROM templates),
+ttf AS (SELECT template, license, term, count(*) AS tf FROM tterms GROUP BY ALL),
+n AS (SELECT count(*) AS files FROM files),
+df AS (SELECT term, count(DISTINCT path) AS holding
+       FROM (SELECT path, unnest(regexp_extract_all(lower(text), '{TERM}')) AS term FROM files) GROUP BY term),
+vocabulary AS (
+  SELECT v.term, floor(1000 * (ln((1 + files)::DOUBLE / (1 + coalesce(holding, 0))) + 1) + 0.5)::BIGINT AS weight
+  FROM (SELECT DISTINCT term FROM ttf) v LEFT JOIN df USING (term), n),
+tvec AS (SELECT template, license, term, tf * weight AS part FROM ttf JOIN vocabulary USING (term)),
+tsquare AS (SELECT template, sum(part * part)::BIGINT AS square FROM tvec GROUP BY template),
+units AS (
+  SELECT DISTINCT path, unnest(string_split(text, chr(10))) AS notice FROM files
+  UNION SELECT path, text FROM files WHERE text IS NOT NULL
+    AND regexp_matches(path, '(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([-._][^/]*)?$')),
+utf AS (SELECT path, notice, term, count(*) AS tf FROM (
+          SELECT path, notice, unnest(regexp_extract_all(lower(notice), '{TERM}')) AS term FROM units) GROUP BY ALL),
+uvec AS (
+  SELECT path, notice, term,
+         tf * coalesce(weight, floor(1000 * (ln((1 + files)::DOUBLE) + 1) + 0.5)::BIGINT) AS w
+  FROM utf LEFT JOIN vocabulary USING (term), n),
+usquare AS (SELECT path, notice, sum(w * w)::BIGINT AS square FROM uvec GROUP BY ALL),
+scored AS (
+  SELECT path, license, dot::DOUBLE / (sqrt(u.square::DOUBLE) * sqrt(t.square::DOUBLE)) AS score
+  FROM (SELECT path, notice, template, license, sum(w * part)::BIGINT AS dot FROM uvec JOIN tvec USING (term) GROUP BY ALL)
+  JOIN usquare u USING (path, notice) JOIN tsquare t USING (template)),
+own AS (SELECT path, license AS own_license, score AS own_score FROM scored WHERE score >= {LEAST}
+        QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, license) = 1),
+placed AS (SELECT path, CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '' END AS dir
+           FROM (SELECT DISTINCT path FROM files)),
+given AS (
+  SELECT dir AS licensed_by, own_license AS dir_license FROM own JOIN placed USING (path)
+  WHERE regexp_matches(path, '(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([-._][^/]*)?$')
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY own_score DESC, own_license) = 1),
+nearest AS (
+  SELECT dir, licensed_by, dir_license,
+         (CASE WHEN dir = '' THEN 0 ELSE len(string_split(dir, '/')) END
+          - CASE WHEN licensed_by = '' THEN 0 ELSE len(string_split(licensed_by, '/')) END)::INTEGER AS up
+  FROM (SELECT DISTINCT dir FROM placed) JOIN given
+    ON licensed_by = '' OR dir = licensed_by OR starts_with(dir, licensed_by || '/')
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY len(licensed_by) DESC) = 1)
+SELECT f.doc_id, path, own_license, own_score, coalesce(own_license, dir_license) AS license,
+       CASE WHEN own_license IS NULL THEN licensed_by END AS licensed_by,
+       CASE WHEN own_license IS NULL THEN up END AS levels_up
+FROM files f JOIN placed p USING (path) LEFT JOIN own USING (path) LEFT JOIN nearest n ON n.dir = p.dir
+"""
+
+
+@query("op1_license_scan", _op1_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starledger.llm.licences import scan
+
+    files = spark.sql(OP1_FILES.replace("FROM documents", "FROM {documents}"), documents=table(spark, sf_dir, "documents"))
+    # the file table is one row per document, so paths go back to ids by a join
+    return files.select("doc_id", "path").join(scan(files), "path")
