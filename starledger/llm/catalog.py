@@ -206,3 +206,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = spark.sql(OP1_FILES.replace("FROM documents", "FROM {documents}"), documents=table(spark, sf_dir, "documents"))
     # the file table is one row per document, so paths go back to ids by a join
     return files.select("doc_id", "path").join(scan(files), "path")
+
+
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starledger.llm.passages import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
