@@ -63,8 +63,10 @@ def hour_label(hour, minute) -> Column:
 
 
 def padded_id(prefix: str, n, width: int) -> Column:
-    """F8: ``prefix`` + zero-padded number (TXN+10, ACC+8, MER+6)."""
-    return F.concat(F.lit(prefix), F.lpad(_c(n).cast("string"), width, "0"))
+    """F8: ``prefix`` + zero-padded number (TXN+10, ACC+8, MER+6).  A number
+    longer than ``width`` keeps all its digits, so ids stay distinct."""
+    digits = _c(n).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
 
 
 def batch_id_label(lo, hi) -> Column:

@@ -6,9 +6,9 @@ scheduling.  It is an aggregate, not a window: Spark combines rows map-side
 before the shuffle, so a key holding a third of all rows is reduced per task
 instead of being sorted in one task.
 
-``flag_duplicates`` marks every row that is not its key's survivor.  It needs
-a per-row identity (e.g. topic/partition/offset of an event) and runs as
-aggregate + join back on the key, which AQE's skew-join handling can split.
+``flag_duplicates`` marks every row that is not its key's survivor, exact
+replays included.  It runs as aggregate + join back on the key; rows without a
+key are dealt out by a salt.
 """
 
 from __future__ import annotations
@@ -51,19 +51,35 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[str | Column], lat
     return kept.select(*keys, *[F.col(f"_w._row.{c}").alias(c) for c in payload]).select(*df.columns)
 
 
+def null_salt(keys: list[str], spread: list[str], cells: int = 1024) -> Column:
+    """0 for rows with all keys; a hash of ``spread`` for rows with a NULL key.
+    As a further join key it deals out rows that can't match anyway, instead of
+    hashing them all to one task."""
+    missing = None
+    for k in keys:
+        missing = F.col(k).isNull() if missing is None else missing | F.col(k).isNull()
+    return F.when(missing, F.pmod(F.xxhash64(*spread), F.lit(cells))).otherwise(F.lit(0)).cast("int")
+
+
 def flag_duplicates(df: DataFrame, keys: list[str], order_by: list[str | Column], identity: list[str],
                     latest: bool = False, flag: str = "_is_duplicate") -> DataFrame:
     """Add ``flag`` (boolean) = row is not the survivor of its key.  The
-    survivor is first (or last) by ``order_by`` then ``identity``; ``identity``
-    must be unique per row.  Rows with a NULL key get ``flag`` = False."""
+    survivor is first (or last) by ``order_by``, ``identity``, then every other
+    column; of rows equal in all of them (an at-least-once replay of one event)
+    exactly one survives.  Rows with a NULL key get ``flag`` = False."""
     agg = F.max if latest else F.min
-    rank = F.struct(*_order_struct(list(order_by) + list(identity)))
-    winners = (df.where(F.col(keys[0]).isNotNull() if len(keys) == 1 else
-                        F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-               .groupBy(*keys).agg(agg(rank).alias("_winner")))
-    return (df.join(winners, keys, "left")
-              .withColumn(flag, F.coalesce(rank != F.col("_winner"), F.lit(False)))
-              .drop("_winner"))
+    rest = [c for c in df.columns if c not in {*keys, *identity}]
+    rank = F.struct(*_order_struct([*order_by, *identity, *rest]))
+    winners = (df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+               .groupBy(*keys).agg(agg(rank).alias("_winner")).withColumn("_salt", F.lit(0)))
+    joined = (df.withColumn("_salt", null_salt(keys, identity)).join(winners, [*keys, "_salt"], "left")
+              .withColumn("_best", rank.eqNullSafe(F.col("_winner"))))
+    # replays of the winner are numbered; other rows are spread by their hash
+    copies = Window.partitionBy(*keys, "_salt", "_best", F.when(~F.col("_best"), F.xxhash64(*identity, *rest))).orderBy(F.lit(1))
+    nth = F.row_number().over(copies)
+    return (joined.withColumn(flag, F.when(F.col("_winner").isNull(), F.lit(False))
+                              .otherwise(~F.col("_best") | (nth > 1)))
+            .drop("_winner", "_best", "_salt"))
 
 
 def split_duplicates(df: DataFrame, keys: list[str], order_by: list[str | Column], identity: list[str],
@@ -73,10 +89,3 @@ def split_duplicates(df: DataFrame, keys: list[str], order_by: list[str | Column
     kept = flagged.where(~F.col("_is_duplicate")).drop("_is_duplicate")
     dups = flagged.where(F.col("_is_duplicate")).drop("_is_duplicate")
     return kept, dups
-
-
-def row_number_first(df: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:
-    """Window form of W1 for frames without a row identity (small inputs only:
-    the window sorts each key inside one task)."""
-    w = Window.partitionBy(*keys).orderBy(*order_by, *[F.col(c) for c in df.columns if c not in keys])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedupe import flag_duplicates
+from .dedupe import flag_duplicates, null_salt
 from .star import broadcast_if_small
 
 # Fixed rule names (reason strings are part of the data contract).
@@ -88,8 +88,13 @@ FK_RULES = (  # (reason, fk column, dimension, pk, nullable fk)
 
 
 def _with_hit(df: DataFrame, fk: str, parent: DataFrame, pk: str, hit: str) -> DataFrame:
-    keys = broadcast_if_small(parent.select(F.col(pk).alias("__k")).distinct().withColumn(hit, F.lit(True)))
-    return df.join(keys, df[fk] == keys["__k"], "left").drop("__k")
+    """``pk`` is the parent's declared key (the gate checks it), so no distinct;
+    rows without the foreign key are dealt out by a salt."""
+    keys = broadcast_if_small(parent.select(F.col(pk).alias("__k"), F.lit(0).alias("__ks"), F.lit(True).alias(hit))
+                              .where(F.col(pk).isNotNull()))
+    spread = [c for c in ("transaction_id", "_kafka_offset") if c in df.columns] or [df.columns[0]]
+    salted = df.withColumn("__s", null_salt([fk], spread))
+    return salted.join(keys, (F.col(fk) == F.col("__k")) & (F.col("__s") == F.col("__ks")), "left").drop("__k", "__ks", "__s")
 
 
 def validate_batch(batch: DataFrame, dims: dict[str, DataFrame], order_by: list[str] = ("_silver_processed_at_utc",

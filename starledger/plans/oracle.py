@@ -41,9 +41,9 @@ raw_txn AS (
     _type AS transaction_type_key,
     CAST(CASE WHEN _declined = 1 THEN l_partkey % 8 + 1 END AS INTEGER) AS decline_reason_key,
     CAST(CASE WHEN NOT _peer THEN l_suppkey END AS INTEGER) AS merchant_key,
-    'TXN' || lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), 10, '0') AS transaction_id,
-    CASE WHEN _type <= 3 THEN 'MC' || lpad(CAST(l_partkey AS VARCHAR), 12, '0') END AS mc_transaction_id,
-    CASE WHEN _type = 5 THEN 'ACH' || lpad(CAST(l_partkey AS VARCHAR), 10, '0') END AS ach_transfer_id,
+    'TXN' || lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), greatest(length(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)), 10)::INTEGER, '0') AS transaction_id,
+    CASE WHEN _type <= 3 THEN 'MC' || lpad(CAST(l_partkey AS VARCHAR), greatest(length(CAST(l_partkey AS VARCHAR)), 12)::INTEGER, '0') END AS mc_transaction_id,
+    CASE WHEN _type = 5 THEN 'ACH' || lpad(CAST(l_partkey AS VARCHAR), greatest(length(CAST(l_partkey AS VARCHAR)), 10)::INTEGER, '0') END AS ach_transfer_id,
     CAST(CAST(CASE WHEN _outbound = 1 THEN -_abs ELSE _abs END AS DECIMAL(18,2)) * 100 AS BIGINT) AS amount_minor,
     CAST(CASE WHEN _outbound = 1 THEN -_abs ELSE _abs END AS DECIMAL(18,2)) AS amount_egp,
     _abs AS abs_amount_egp,
@@ -82,7 +82,7 @@ dim_location AS (
   SELECT CAST(n_nationkey AS INTEGER) AS location_key, n_name AS city, r_name AS governorate, 'X' AS country
   FROM nation JOIN region ON n_regionkey = r_regionkey),
 dim_account AS (
-  SELECT CAST(c_custkey AS INTEGER) AS account_key, 'ACC' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS account_id,
+  SELECT CAST(c_custkey AS INTEGER) AS account_key, 'ACC' || lpad(CAST(c_custkey AS VARCHAR), greatest(length(CAST(c_custkey AS VARCHAR)), 8)::INTEGER, '0') AS account_id,
          CAST(c_nationkey AS INTEGER) AS location_key, 'EGP' AS currency,
          CASE c_custkey % 6 {_age_case} END AS age_band, c_mktsegment AS acquisition_channel,
          coalesce(fo.signup_date_key, (SELECT min(CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER)) FROM orders)) AS signup_date_key,
@@ -96,7 +96,7 @@ dim_account AS (
     FROM orders GROUP BY 1) fo ON fo.ak = CAST(c_custkey AS INTEGER)),
 dim_merchant AS (
   SELECT CAST(s_suppkey AS INTEGER) AS merchant_key, CAST(s_nationkey AS INTEGER) AS location_key,
-         'MER' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS merchant_id, s_name AS merchant_name,
+         'MER' || lpad(CAST(s_suppkey AS VARCHAR), greatest(length(CAST(s_suppkey AS VARCHAR)), 6)::INTEGER, '0') AS merchant_id, s_name AS merchant_name,
          'CAT_' || CAST(s_suppkey % 8 AS VARCHAR) AS merchant_category,
          CASE WHEN s_acctbal >= 9000 THEN 'Enterprise' WHEN s_acctbal >= 5000 THEN 'Mid-Market' ELSE 'SME' END
            AS merchant_size,

@@ -35,6 +35,11 @@ for _col in FACT.columns:
     _t = _sql_type(_col)
     _conf_cols.append(f"{_v} AS {_col.name}" if _t == "VARCHAR" else f"TRY_CAST({_v} AS {_t}) AS {_col.name}")
 
+# one total order of events: offset, partition, then every column
+_ORDER = ["_kafka_offset", "_kafka_partition", *FACT_COLS, "_kafka_topic"]
+_TOTAL = ", ".join(f"{c} ASC NULLS FIRST" for c in _ORDER)
+_TOTAL_DESC = ", ".join(f"{c} DESC NULLS LAST" for c in _ORDER)
+
 PIPE_CTES = f"""
 dirty AS (SELECT {', '.join(_dirty_cols)} FROM raw_txn),
 conf AS (SELECT {', '.join(_conf_cols)},
@@ -44,7 +49,7 @@ conf AS (SELECT {', '.join(_conf_cols)},
 dq AS (SELECT *, CASE WHEN transaction_id IS NULL THEN 'missing_transaction_id'
                       WHEN date_key IS NULL THEN 'invalid_or_missing_date_key'
                       WHEN amount_egp IS NULL THEN 'invalid_or_missing_amount' END AS _dq_reason FROM conf),
-dq_ranked AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY _kafka_offset, _kafka_partition) AS _rn
+dq_ranked AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY {_TOTAL}) AS _rn
               FROM dq WHERE _dq_reason IS NULL),
 quarantine AS (
   SELECT _kafka_partition, _kafka_offset, transaction_id, _dq_reason FROM dq WHERE _dq_reason IS NOT NULL
@@ -53,7 +58,7 @@ quarantine AS (
 acc_r AS (SELECT * FROM dim_account WHERE account_key % 50 <> 0),
 mer_r AS (SELECT * FROM dim_merchant WHERE merchant_key % 10 <> 0),
 staged AS (SELECT *, row_number() OVER (PARTITION BY transaction_id
-                                        ORDER BY _kafka_offset DESC, _kafka_partition DESC) AS _rn FROM conf),
+                                        ORDER BY {_TOTAL_DESC}) AS _rn FROM conf),
 validated AS (
   SELECT *, CASE
     WHEN transaction_id IS NULL OR trim(transaction_id) = '' THEN 'null_transaction_id'
@@ -132,8 +137,8 @@ SELECT m.merchant_key, m.merchant_category || ' - ' || l.city || ' #' ||
        AS branch_name
 FROM dim_merchant m JOIN dim_location l ON l.location_key = m.location_key""")
 ORACLE["business_ids"] = with_adapter("""
-SELECT transaction_id, 'ACC' || lpad(CAST(account_key AS VARCHAR), 8, '0') AS account_id,
-       'MER' || lpad(CAST(merchant_key AS VARCHAR), 6, '0') AS merchant_id
+SELECT transaction_id, 'ACC' || lpad(CAST(account_key AS VARCHAR), greatest(length(CAST(account_key AS VARCHAR)), 8)::INTEGER, '0') AS account_id,
+       'MER' || lpad(CAST(merchant_key AS VARCHAR), greatest(length(CAST(merchant_key AS VARCHAR)), 6)::INTEGER, '0') AS merchant_id
 FROM fact_transactions""")
 ORACLE["derive_amounts"] = with_adapter("""
 SELECT transaction_id, abs_amount_egp, is_outbound, exchange_rate_e6,
