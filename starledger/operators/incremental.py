@@ -17,23 +17,21 @@ MARK_KEYS = ["_kafka_topic", "_kafka_partition"]
 
 def new_rows(df: DataFrame, marks: DataFrame | None) -> DataFrame:
     """Rows beyond the mark of their partition; first run (no marks) takes
-    everything; a missing mark counts as -1.  Rows without an offset are
-    returned by ``offsetless_rows`` for quarantine instead of vanishing (X10)."""
+    everything; a missing mark counts as -1.  Rows without an offset have no
+    mark to be compared with: they always pass, and the quality rules send them
+    to quarantine (``missing_kafka_offset``) instead of losing them (X10)."""
     if marks is None:
-        return df.where(F.col("_kafka_offset").isNotNull())
-    m = F.broadcast(marks.select(*MARK_KEYS, F.col("_kafka_offset").alias("__mark")))
+        return df
+    m = F.broadcast(marks.select(*MARK_KEYS, F.col("_kafka_offset").alias("__mark")))  # a row per topic partition
+    offset = F.col("_kafka_offset")
     return (df.join(m, MARK_KEYS, "left")
-              .where(F.col("_kafka_offset") > F.coalesce(F.col("__mark"), F.lit(-1)))
+              .where(offset.isNull() | (offset > F.coalesce(F.col("__mark"), F.lit(-1))))
               .drop("__mark"))
 
 
-def offsetless_rows(df: DataFrame) -> DataFrame:
-    return df.where(F.col("_kafka_offset").isNull())
-
-
 def advance_marks(marks: DataFrame | None, processed: DataFrame) -> DataFrame:
     """New mark = max(old mark, max processed offset) per partition."""
-    cur = processed.groupBy(*MARK_KEYS).agg(F.max("_kafka_offset").alias("_kafka_offset"))
+    cur = processed.where(F.col("_kafka_offset").isNotNull()).groupBy(*MARK_KEYS).agg(F.max("_kafka_offset").alias("_kafka_offset"))
     if marks is None:
         return cur
     return (marks.select(*MARK_KEYS, "_kafka_offset").unionByName(cur)
@@ -52,7 +50,7 @@ def batch_bounds(df: DataFrame) -> DataFrame:
                        spec.alias("spec"))
     return agg.select("lo", "hi", F.when(F.col("parts") <= 1, batch_id_label("lo", "hi"))
                       .otherwise(F.concat(batch_id_label("lo", "hi"), F.lit("_"),
-                                          F.substring(F.sha1(F.col("spec")), 1, 8))).alias("batch_id"))
+                                          F.sha1(F.col("spec")))).alias("batch_id"))
 
 
 def partition_bounds(df: DataFrame) -> DataFrame:

@@ -104,9 +104,13 @@ CORE_KPIS = ["transaction_count", "gross_volume", "net_flow", "average_ticket",
              "avg_txn_per_account_ppm", "declined_volume", "p2p_transactions"]
 
 
-def measure(name: str) -> Measure:
-    """F16: metric selector by name."""
-    return MEASURES[name]
+def measure(name: str):
+    """F16: metric selector by name: a ``Measure``, or for the measures with a
+    grain of their own a function of the star tables (operators/derived.py)."""
+    if name in MEASURES:
+        return MEASURES[name]
+    from .derived import DERIVED
+    return DERIVED[name]
 
 
 def query(df: DataFrame, measures: list[str], by: list[str | Column] = (), where: Column | None = None,
@@ -154,7 +158,8 @@ _DISTINCT_COL = {"accounts": "account_key", "merchants": "merchant_key"}
 def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[str] | dict[str, str],
                 measures: list[str], fact_by: list[str] = (), where: Column | None = None,
                 how: str = "inner", blank: str | None = None, dates: DataFrame | None = None,
-                date_attrs: list[str] = (), post: list[tuple[DataFrame, str, str, list[str]]] = ()) -> DataFrame:
+                date_attrs: list[str] = (), post: list[tuple[DataFrame, str, str, list[str]]] = (),
+                having: Column | None = None, order: list[Column] | None = None, top: int | None = None) -> DataFrame:
     """Measures grouped by attributes of one (possibly large) dimension, with
     the fact aggregated by the foreign key *before* the join (eager
     aggregation): the join then sees one row per member instead of one per
@@ -164,7 +169,8 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
 
     Distinct counts are supported when their column is the foreign key.
     ``dates``/``date_attrs`` and ``post`` add bounded dimensions (calendar,
-    clock, ...) whose keys join the pre-aggregation key."""
+    clock, ...): they are joined to the fact first, so that it is reduced to
+    their few attributes and not to their raw keys."""
     ms = [MEASURES[m] for m in measures]
     needs: list[str] = []
     for m in ms:
@@ -175,17 +181,17 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
         if b in _DISTINCT_COL and _DISTINCT_COL[b] != fk:
             raise ValueError(f"measure base {b!r} is not decomposable when pre-aggregating on {fk!r}")
     src = fact.where(where) if where is not None else fact
-    fact_keys = [*fact_by, *(["date_key"] if date_attrs else []), *[p_fk for _, p_fk, _, _ in post]]
+    if date_attrs:
+        src = join_dim(src, dates, "date_key", "date_key", list(date_attrs))
+    post_attrs = []
+    for p_dim, p_fk, p_pk, p_attrs in post:
+        src = join_dim(src, p_dim, p_fk, p_pk, list(p_attrs))
+        post_attrs += list(p_attrs)
+    fact_keys = [*fact_by, *date_attrs, *post_attrs]
     partial = [BASE[b]().alias(f"__p_{b}") for b in needs if b not in _DISTINCT_COL]
     pre = src.groupBy(fk, *fact_keys).agg(*partial) if partial else src.select(fk, *fact_keys).distinct()
     mapping = {a: a for a in attrs} if isinstance(attrs, list) else dict(attrs)
     joined = join_dim(pre, dim, fk, pk, mapping, how, blank)
-    if date_attrs:  # calendar attributes: a bounded dimension joined after the pre-aggregation
-        joined = join_dim(joined, dates, "date_key", "date_key", list(date_attrs))
-    post_attrs = []
-    for p_dim, p_fk, p_pk, p_attrs in post:   # other bounded dimensions, same idea
-        joined = join_dim(joined, p_dim, p_fk, p_pk, list(p_attrs))
-        post_attrs += list(p_attrs)
     by = [*date_attrs, *mapping.values(), *post_attrs, *fact_by]
     final_aggs = []
     for b in needs:
@@ -199,7 +205,10 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
                 merged = merged.cast("decimal(38,5)")
             final_aggs.append(merged.alias(f"__{b}"))
     grouped = joined.groupBy(*by).agg(*final_aggs)
-    return grouped.select(*by, *[m.final().alias(m.name) for m in ms])
+    out = grouped.select(*by, *[m.final().alias(m.name) for m in ms])
+    out = out.where(having) if having is not None else out
+    out = out.orderBy(*order) if order else out
+    return out.limit(top) if top is not None else out
 
 
 _MONEY_BASES = {"gross", "net", "fx_vol", "out_vol", "in_vol", "declined_vol", "weekend_vol", "weekday_vol"}

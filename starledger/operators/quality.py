@@ -200,6 +200,28 @@ def check_fk_eager(child: DataFrame, table: str, fk: str, parent: DataFrame, pk:
         F.lit(severity).alias("severity"), "violations")
 
 
+def check_fks(child: DataFrame, table: str, fks: list[tuple[str, DataFrame, str, str]],
+              severity: str = "error") -> DataFrame:
+    """Q4 for all relationships (fk, parent, pk, parent name) of a table in one
+    pass: the child gives a count per (relationship, key value) - combined
+    before the shuffle, so neither the rows nor a hot key cross the network -
+    and the distinct values alone meet the parents' keys."""
+    names = [f"{fk}->{parent_name}.{pk}" for fk, _, pk, parent_name in fks]
+    keys = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(fk).cast("string").alias("k"))
+                               for i, (fk, _, _, _) in enumerate(fks)]))
+    counts = (child.select(keys.alias("x")).select("x.i", "x.k").where(F.col("k").isNotNull())
+              .groupBy("i", "k").agg(F.count(F.lit(1)).alias("n")))
+    known = None
+    for i, (_, parent, pk, _) in enumerate(fks):
+        part = parent.select(F.lit(i).alias("i"), F.col(pk).cast("string").alias("k"))
+        known = part if known is None else known.unionByName(part)
+    lost = counts.join(known, ["i", "k"], "left_anti").groupBy("i").agg(F.sum("n").alias("n"))
+    listed = child.sparkSession.createDataFrame(list(enumerate(names)), "i int, column_name string")
+    return listed.join(lost, "i", "left").select(
+        F.lit(table).alias("table_name"), F.lit("relationships").alias("check_name"), "column_name",
+        F.lit(severity).alias("severity"), F.coalesce("n", F.lit(0)).cast("bigint").alias("violations"))
+
+
 def _is_small(df: DataFrame) -> bool:
     from .star import _threshold, planned_size
     try:

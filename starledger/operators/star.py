@@ -107,8 +107,9 @@ def outrigger(dim: DataFrame, fk: str, parent: DataFrame, pk: str, cols: dict[st
 
 
 def members_without_facts(dim: DataFrame, fact: DataFrame, key: str, fact_key: str | None = None) -> DataFrame:
-    """Dimension members that no fact row references (anti join)."""
-    fk = fact.select(F.col(fact_key or key).alias(key)).where(F.col(key).isNotNull())
+    """Dimension members that no fact row references (anti join with the
+    facts' distinct keys, which are combined before the shuffle)."""
+    fk = fact.select(F.col(fact_key or key).alias(key)).where(F.col(key).isNotNull()).distinct()
     return dim.join(fk, key, "left_anti")
 
 

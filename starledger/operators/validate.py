@@ -30,11 +30,13 @@ def first_failing(rules: list[tuple[str, Column]]) -> Column:
 
 
 def silver_rules() -> list[tuple[str, Column]]:
-    """The three silver data-quality rules, in order."""
+    """The silver data-quality rules, in order."""
     return [
         ("missing_transaction_id", F.col("transaction_id").isNull()),
         ("invalid_or_missing_date_key", F.col("date_key").isNull()),
         ("invalid_or_missing_amount", F.col("amount_egp").isNull()),
+        # not of the reference, which loses such rows without a trace
+        ("missing_kafka_offset", F.col("_kafka_offset").isNull()),
     ]
 
 

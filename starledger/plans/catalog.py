@@ -242,6 +242,49 @@ def q_heatmap(spark, sf_dir):
                     F.coalesce(F.col("1"), F.lit(0)).cast("bigint").alias("weekend_count"))
 
 
+@register("heatmap_volume")
+def q_heatmap_volume(spark, sf_dir):
+    """Gross volume of the time matrix."""
+    f = M.star(star_tables(spark, sf_dir), ["time", "date"])
+    g = M.query(f, ["gross_volume"], by=["time_bucket", "is_weekend"])
+    p = g.groupBy("time_bucket").pivot("is_weekend", [0, 1]).agg(F.first("gross_volume"))
+    return p.select("time_bucket", F.coalesce(F.col("0"), F.lit(0)).cast(X.MONEY_SUM).alias("weekday_volume"),
+                    F.coalesce(F.col("1"), F.lit(0)).cast(X.MONEY_SUM).alias("weekend_volume"))
+
+
+@register("volume_by_age_band")
+def q_volume_by_age_band(spark, sf_dir):
+    return _by_account(spark, sf_dir, ["age_band"], ["gross_volume", "transaction_count", "average_ticket"])
+
+
+@register("count_by_merchant_category")
+def q_count_by_merchant_category(spark, sf_dir):
+    return _by_merchant(spark, sf_dir, ["merchant_category"], ["transaction_count", "decline_rate_ppm"])
+
+
+@register("governorate_concentration")
+def q_governorate_concentration(spark, sf_dir):
+    """Active governorates, the top one and its share of the volume."""
+    g = _by_account(spark, sf_dir, ["customer_governorate"], ["gross_volume"], with_location=True)
+    top = F.min(F.struct((-F.col("gross_volume")).alias("v"), F.col("customer_governorate").alias("name")))
+    a = g.agg(F.count(F.lit(1)).alias("active_governorates"), top.alias("t"), F.sum("gross_volume").cast(X.MONEY_SUM).alias("total"))
+    return (a.withColumn("top_volume", (-F.col("t.v")).cast(X.MONEY_SUM))
+            .select("active_governorates", F.col("t.name").alias("top_governorate"), "top_volume",
+                    X.money_ratio_ppm("top_volume", "total").alias("top_share_ppm")))
+
+
+@register("fx_by_group")
+def q_fx_by_group(spark, sf_dir):
+    return _q(spark, sf_dir, ["type"], ["fx_transactions", "fx_volume", "fx_share_ppm"], by=["transaction_group"])
+
+
+@register("fx_split")
+def q_fx_split(spark, sf_dir):
+    """FX against domestic transactions."""
+    return _q(spark, sf_dir, [], ["transaction_count", "gross_volume", "average_ticket", "decline_rate_ppm"],
+              by=["is_fx"])
+
+
 @register("tier_time_decline")
 def q_tier_time_decline(spark, sf_dir):
     t = star_tables(spark, sf_dir)
@@ -291,8 +334,9 @@ def q_top20_merchants(spark, sf_dir):
 
 @register("top10_merchants")
 def q_top10_merchants(spark, sf_dir):
-    g = _by_merchant(spark, sf_dir, {"merchant_key": "merchant_key_", "merchant_name": "merchant_name"},
-                     ["gross_volume", "transaction_count", "average_ticket"],
+    g = _by_merchant(spark, sf_dir, {"merchant_key": "merchant_key_", "merchant_name": "merchant_name",
+                                     "merchant_category": "merchant_category"},
+                     ["gross_volume", "transaction_count", "average_ticket", "decline_rate_ppm"],
                      where=F.col("merchant_key").isNotNull())
     return (g.withColumnRenamed("merchant_key_", "merchant_key")
              .orderBy(F.desc("gross_volume"), F.asc("merchant_key")).limit(10))
@@ -392,10 +436,10 @@ def q_txn_count_per_account(spark, sf_dir):
 
 @register("inactive_accounts")
 def q_inactive_accounts(spark, sf_dir):
-    """J12 over the facts of one month (every account trades over the full range)."""
+    """Accounts without any fact."""
     t = star_tables(spark, sf_dir)
-    month = t["fact_transactions"].where(F.col("date_key").between(19980101, 19980131))
-    return ST.members_without_facts(t["dim_account"].select("account_key", "account_id"), month, "account_key")
+    return ST.members_without_facts(t["dim_account"].select("account_key", "account_id"), t["fact_transactions"],
+                                    "account_key")
 
 
 @register("merchants_blank")

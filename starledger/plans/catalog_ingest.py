@@ -21,7 +21,6 @@ from .catalog import register
 from .gold import star_tables
 
 COMPARE_COLS = [c for c in C.FACT_TRANSACTIONS.names if c != "transaction_id"]
-FIRST_RUN_OFFSET_LIMIT = 100_000_000      # offsets below this were consumed by the "previous run"
 
 
 # -- conform / dedupe (P1-P5, W1, U2) --------------------------------------------
@@ -155,12 +154,14 @@ def q_dq_unique(spark, sf_dir):
 
 @register("fk_orphans")
 def q_fk_orphans(spark, sf_dir):
-    t = FX.reduced_dims(spark, sf_dir)
+    """Q4: all relationships of a table in one pass over it."""
+    t = dict(star_tables(spark, sf_dir))
+    t["fact_transactions"] = FX.orphaned(t["fact_transactions"])
     out = None
     for name in ("fact_transactions", "dim_account", "dim_merchant"):
-        for fk in C.STAR[name].foreign_keys:
-            part = Q.check_fk(t[name], name, fk.column, t[fk.parent], fk.parent_column, fk.parent)
-            out = part if out is None else out.unionByName(part)
+        part = Q.check_fks(t[name], name, [(fk.column, t[fk.parent], fk.parent_column, fk.parent)
+                                           for fk in C.STAR[name].foreign_keys])
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -198,7 +199,7 @@ def q_layer_counts(spark, sf_dir):
 @register("date_gaps")
 def q_date_gaps(spark, sf_dir):
     t = star_tables(spark, sf_dir)
-    used = t["fact_transactions"].select("date_key")
+    used = t["fact_transactions"].select("date_key").distinct()
     return t["dim_date"].join(used, "date_key", "left_anti").select("date_key", "full_date")
 
 
@@ -208,7 +209,10 @@ def _raw_lineage(spark, sf_dir) -> DataFrame:
 
 
 def _first_run_marks(raw: DataFrame) -> DataFrame:
-    return INC.advance_marks(None, raw.where(F.col("_kafka_offset") < FIRST_RUN_OFFSET_LIMIT))
+    """The "previous run" consumed the lower half of the offset range."""
+    offset = F.col("_kafka_offset")
+    middle = raw.agg(F.floor((F.min(offset) + F.max(offset)) / 2).alias("m")).scalar()
+    return INC.advance_marks(None, raw.where(offset < middle))
 
 
 @register("offset_filter")
@@ -284,7 +288,7 @@ def q_quarantine_reconcile(spark, sf_dir):
 
 # -- validation and merge (I11, I13, I19) ------------------------------------------
 def _validated(spark, sf_dir) -> DataFrame:
-    return validate_batch(FX.staged_batch(spark, sf_dir), FX.reduced_dims(spark, sf_dir))
+    return validate_batch(FX.staged_batch(spark, sf_dir), star_tables(spark, sf_dir))
 
 
 @register("fk_reject")

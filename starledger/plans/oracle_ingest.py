@@ -40,6 +40,9 @@ _ORDER = ["_kafka_offset", "_kafka_partition", *FACT_COLS, "_kafka_topic"]
 _TOTAL = ", ".join(f"{c} ASC NULLS FIRST" for c in _ORDER)
 _TOTAL_DESC = ", ".join(f"{c} DESC NULLS LAST" for c in _ORDER)
 
+_ORPHANS = ", ".join(f"CASE WHEN {c} % {n} = 0 THEN -{c} ELSE {c} END AS {c}"
+                     for c, n in (("account_key", 50), ("peer_account_key", 50), ("merchant_key", 10)))
+
 PIPE_CTES = f"""
 dirty AS (SELECT {', '.join(_dirty_cols)} FROM raw_txn),
 conf AS (SELECT {', '.join(_conf_cols)},
@@ -55,10 +58,10 @@ quarantine AS (
   SELECT _kafka_partition, _kafka_offset, transaction_id, _dq_reason FROM dq WHERE _dq_reason IS NOT NULL
   UNION ALL
   SELECT _kafka_partition, _kafka_offset, transaction_id, 'duplicate_transaction_id' FROM dq_ranked WHERE _rn > 1),
-acc_r AS (SELECT * FROM dim_account WHERE account_key % 50 <> 0),
-mer_r AS (SELECT * FROM dim_merchant WHERE merchant_key % 10 <> 0),
+conf_o AS (SELECT * REPLACE ({_ORPHANS}) FROM conf),
+fact_o AS (SELECT * REPLACE ({_ORPHANS}) FROM fact_transactions),
 staged AS (SELECT *, row_number() OVER (PARTITION BY transaction_id
-                                        ORDER BY {_TOTAL_DESC}) AS _rn FROM conf),
+                                        ORDER BY {_TOTAL_DESC}) AS _rn FROM conf_o),
 validated AS (
   SELECT *, CASE
     WHEN transaction_id IS NULL OR trim(transaction_id) = '' THEN 'null_transaction_id'
@@ -68,15 +71,15 @@ validated AS (
     WHEN amount_minor IS NULL OR amount_egp IS NULL OR abs_amount_egp IS NULL THEN 'null_measure'
     WHEN NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_key = s.date_key) THEN 'fk_date_not_found'
     WHEN NOT EXISTS (SELECT 1 FROM dim_time t WHERE t.time_key = s.time_key) THEN 'fk_time_not_found'
-    WHEN NOT EXISTS (SELECT 1 FROM acc_r a WHERE a.account_key = s.account_key) THEN 'fk_account_not_found'
-    WHEN s.peer_account_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM acc_r a WHERE a.account_key = s.peer_account_key)
+    WHEN NOT EXISTS (SELECT 1 FROM dim_account a WHERE a.account_key = s.account_key) THEN 'fk_account_not_found'
+    WHEN s.peer_account_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_account a WHERE a.account_key = s.peer_account_key)
       THEN 'fk_peer_account_not_found'
     WHEN NOT EXISTS (SELECT 1 FROM dim_transaction_type tt WHERE tt.transaction_type_key = s.transaction_type_key)
       THEN 'fk_txn_type_not_found'
     WHEN s.decline_reason_key IS NOT NULL
          AND NOT EXISTS (SELECT 1 FROM dim_decline_reason r WHERE r.decline_reason_key = s.decline_reason_key)
       THEN 'fk_decline_reason_not_found'
-    WHEN s.merchant_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM mer_r m WHERE m.merchant_key = s.merchant_key)
+    WHEN s.merchant_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_merchant m WHERE m.merchant_key = s.merchant_key)
       THEN 'fk_merchant_not_found'
   END AS reject_reason FROM staged s),
 mtarget AS (SELECT {', '.join(FACT_COLS)} FROM fact_transactions WHERE transaction_type_key <= 3),
@@ -250,9 +253,9 @@ ORACLE["dq_unique"] = with_adapter(_union(
     [_unique_sql("raw_txn", "transaction_id", "raw_txn")]
     + [_unique_sql(n, k, n) for n in ("dim_account", "dim_merchant", "dim_date", "dim_location")
        for k in [*C.STAR[n].primary_key, *C.STAR[n].unique]]))
-_REDUCED = {"dim_account": "acc_r", "dim_merchant": "mer_r"}
+_ORPHANED = {"fact_transactions": "fact_o"}
 ORACLE["fk_orphans"] = P(_union(
-    [_fk_sql(n, fk, _REDUCED.get(n, n), _REDUCED.get(fk.parent, fk.parent))
+    [_fk_sql(n, fk, _ORPHANED.get(n, n), fk.parent)
      for n in ("fact_transactions", "dim_account", "dim_merchant") for fk in C.STAR[n].foreign_keys]))
 
 
@@ -297,7 +300,8 @@ WHERE NOT EXISTS (SELECT 1 FROM fact_transactions f WHERE f.date_key = d.date_ke
 
 # -- incremental event path --------------------------------------------------------
 _MARKS = """marks AS (SELECT _kafka_topic, _kafka_partition, max(_kafka_offset) AS m FROM raw_txn
-                  WHERE _kafka_offset < 100000000 GROUP BY 1, 2),
+                  WHERE _kafka_offset < (SELECT floor((min(_kafka_offset) + max(_kafka_offset)) / 2) FROM raw_txn)
+                  GROUP BY 1, 2),
 newr AS (SELECT r.transaction_id, r._kafka_topic, r._kafka_partition, r._kafka_offset FROM raw_txn r
          LEFT JOIN marks k ON k._kafka_topic = r._kafka_topic AND k._kafka_partition = r._kafka_partition
          WHERE r._kafka_offset > coalesce(k.m, -1))"""

@@ -103,6 +103,20 @@ ORACLE["heatmap"] = star_query("""
 SELECT time_bucket, count(*) FILTER (WHERE is_weekend = 0) AS weekday_count,
        count(*) FILTER (WHERE is_weekend = 1) AS weekend_count
 FROM star GROUP BY time_bucket""")
+ORACLE["heatmap_volume"] = star_query("""
+SELECT time_bucket,
+       CAST(coalesce(sum(abs_amount_egp) FILTER (WHERE is_weekend = 0), 0) AS DECIMAL(38,2)) AS weekday_volume,
+       CAST(coalesce(sum(abs_amount_egp) FILTER (WHERE is_weekend = 1), 0) AS DECIMAL(38,2)) AS weekend_volume
+FROM star GROUP BY time_bucket""")
+ORACLE["volume_by_age_band"] = _grouped("age_band", ["gross_volume", "transaction_count", "average_ticket"])
+ORACLE["count_by_merchant_category"] = _grouped("merchant_category", ["transaction_count", "decline_rate_ppm"])
+ORACLE["governorate_concentration"] = star_query(f"""
+SELECT count(*) AS active_governorates, arg_min(customer_governorate, place) AS top_governorate,
+       CAST(max(v) AS DECIMAL(38,2)) AS top_volume, {money_ppm_sql('max(v)', 'sum(v)')} AS top_share_ppm
+FROM (SELECT *, row_number() OVER (ORDER BY v DESC, customer_governorate) AS place
+      FROM (SELECT customer_governorate, sum(abs_amount_egp) AS v FROM star GROUP BY customer_governorate))""")
+ORACLE["fx_by_group"] = _grouped("transaction_group", ["fx_transactions", "fx_volume", "fx_share_ppm"])
+ORACLE["fx_split"] = _grouped("is_fx", ["transaction_count", "gross_volume", "average_ticket", "decline_rate_ppm"])
 _tier_cols = ", ".join(
     ppm_sql(f"count(*) FILTER (WHERE is_declined = 1 AND time_bucket = '{b}')",
             f"count(*) FILTER (WHERE time_bucket = '{b}')") + f" AS {b.lower()}_decline_ppm"
@@ -115,8 +129,8 @@ ORACLE["volume_by_tier"] = _grouped("customer_tier", ["gross_volume", "transacti
 ORACLE["size_by_month"] = _grouped("year, month, merchant_size", ["gross_volume"])
 ORACLE["top20_merchants"] = _grouped("merchant_key, merchant_name", ["gross_volume"], "merchant_key IS NOT NULL",
                                      "ORDER BY gross_volume DESC, merchant_key LIMIT 20")
-ORACLE["top10_merchants"] = _grouped("merchant_key, merchant_name",
-                                     ["gross_volume", "transaction_count", "average_ticket"],
+ORACLE["top10_merchants"] = _grouped("merchant_key, merchant_name, merchant_category",
+                                     ["gross_volume", "transaction_count", "average_ticket", "decline_rate_ppm"],
                                      "merchant_key IS NOT NULL", "ORDER BY gross_volume DESC, merchant_key LIMIT 10")
 ORACLE["top_p2p"] = _grouped("account_key", ["p2p_transactions", "gross_volume"], "peer_account_key IS NOT NULL",
                              "ORDER BY p2p_transactions DESC, account_key LIMIT 10")
@@ -150,7 +164,7 @@ FROM dim_account a LEFT JOIN fact_transactions f ON f.account_key = a.account_ke
 ORACLE["inactive_accounts"] = with_adapter("""
 SELECT a.account_key, a.account_id FROM dim_account a
 WHERE NOT EXISTS (SELECT 1 FROM fact_transactions f
-                  WHERE f.account_key = a.account_key AND f.date_key BETWEEN 19980101 AND 19980131)""")
+                  WHERE f.account_key = a.account_key)""")
 ORACLE["merchants_blank"] = _grouped("merchant_name", ["transaction_count"])
 ORACLE["signups_by_month"] = with_adapter("""
 SELECT d.year AS signup_year, d.month AS signup_month, count(*) AS signups

@@ -52,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a per-application uuid folder: use its parent
         return current.rstrip("/").rsplit("/", 1)[0]
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     # unset (local tests): register a scratch folder; spark.checkpoint.dir is a
     # core setting and cannot be changed on a running session, so only the
     # context's checkpoint folder is set (its parent is returned next time)

@@ -25,15 +25,10 @@ def read_layer(spark: SparkSession, path: str, columns: list[str] | None = None)
     return df.select(*columns) if columns else df
 
 
-def write_batch_partition(df: DataFrame, root: str, partition_col: str = "silver_batch_id") -> dict:
-    """Replace only the partitions present in ``df`` (dynamic overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        return write_layer(df, root, [partition_col])
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+def write_batch_partition(df: DataFrame, root: str, batch_id: str, partition_col: str = "silver_batch_id") -> dict:
+    """Write one batch, replacing its partition folder.  A retry whose
+    side has become empty leaves an empty partition, never the old rows."""
+    return write_layer(df.drop(partition_col), f"{root}/{partition_col}={batch_id}")
 
 
 def list_batches(spark: SparkSession, root: str, partition_col: str = "silver_batch_id") -> list[str]:

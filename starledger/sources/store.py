@@ -2,21 +2,25 @@
 
 Layout under ``root``::
 
-    v000001/<table>/part-*.parquet     data of version 1 (only tables it rewrote)
+    v000001-<attempt>/<table>/part-*   data of version 1 (only tables it rewrote)
     _commits/000001.json               commit record: table -> path, meta, audit row
     _failed/<ts>-<batch>.json          failed attempts (never part of a commit)
 
 A version becomes visible only when its commit file is created; creation
 with ``overwrite=false`` is atomic on HDFS / local disk, so two writers can
 not both win and a crash before the commit leaves the previous version
-intact.  Readers resolve paths through the newest commit and never read a
-folder that is being written.
+intact.  Every attempt writes into a folder of its own, so a writer that loses
+never touches the winner's files.  Readers resolve paths through the newest
+commit and never read a folder that is being written.  On an object store
+without create-if-absent (S3 through S3A before conditional writes) the commit
+itself needs a single writer or a lock; the data folders are safe there too.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -141,22 +145,26 @@ class VersionedStore:
         return entry
 
     # -- writing -----------------------------------------------------------
-    def commit(self, frames: dict[str, DataFrame | Partitioned], meta: dict | None = None,
+    def commit(self, frames: dict[str, DataFrame | Partitioned], meta: dict | Callable[[], dict] | None = None,
                writers: dict[str, Callable[[DataFrame, str], None]] | None = None,
                check: Callable[[dict[str, DataFrame]], None] | None = None,
                expected_version: int | None = None) -> int:
         """Write ``frames`` into a new version folder, run ``check`` on the
         written tables, then publish one commit record.  Tables not in
-        ``frames`` are carried over from the current version by reference."""
+        ``frames`` are carried over from the current version by reference.  A
+        callable ``meta`` is asked after the data has been written.  The record
+        also carries the ids of all batches loaded so far."""
         base = self.current_version()
         if expected_version is not None and base != expected_version:
             raise CommitConflict(f"store moved from {expected_version} to {base}")
         new = base + 1
-        paths = dict(self.manifest(base)["tables"])
+        parent = self.manifest(base)
+        paths = dict(parent["tables"])
+        folder = f"{self.root}/v{new:06d}-{uuid.uuid4().hex}"
 
         def write(item):
             name, df = item
-            path = f"{self.root}/v{new:06d}/{name}"
+            path = f"{folder}/{name}"
             if isinstance(df, Partitioned):
                 return name, self._write_partitioned(df, path, paths.get(name))
             (writers or {}).get(name, _default_writer)(df, path)
@@ -169,7 +177,12 @@ class VersionedStore:
                 paths[name] = entry
         if check is not None:
             check({t: self._read_entry(e) for t, e in paths.items()})
-        record = {"version": new, "parent": base, "tables": paths, "meta": meta or {},
+        meta = (meta() if callable(meta) else meta) or {}
+        audit = meta.get("audit") or {}
+        batches = set(parent.get("batches", []))
+        if audit.get("status") == "SUCCESS":
+            batches.add(audit["silver_batch_id"])
+        record = {"version": new, "parent": base, "tables": paths, "meta": meta, "batches": sorted(batches),
                   "committed_at_utc": dt.datetime.now(dt.timezone.utc).isoformat(timespec="milliseconds")}
         try:
             fs.mkdirs(self.spark, f"{self.root}/_commits")

@@ -33,25 +33,28 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-KEY, SK = "transaction_id", "transaction_sk"
+KEY, SK, OLD_MONTH = "transaction_id", "transaction_sk", "_old_month"
 
 
 def upsert_partitions(store: VersionedStore, version: int, valid: DataFrame, part_col: str = "date_month"):
     """I13 with a partition-scoped rewrite of a month-partitioned fact.
 
-    Only the batch's keys are looked up in the fact (a scan of the key column,
-    semi-joined with the batch keys); only months holding the old or the new
-    version of an inserted/updated row are rewritten, every other month folder
-    is carried by reference.  Returns (Partitioned spec, merged batch rows)."""
+    The batch's keys are looked up in the fact's key and date columns alone;
+    whole rows are read from the months that hold one of them.  Only months
+    with the old or the new version of an inserted/updated row are rewritten,
+    every other month folder is carried by reference.  Returns (Partitioned
+    spec, merged batch rows)."""
     target = store.read("fact_transactions", version)
     keys = broadcast_if_small(valid.select(KEY).distinct())
-    existing = target.join(keys, KEY, "left_semi")
-    merged = merge_rows(existing, valid, KEY, COMPARE_COLS, [SK]).persist()
+    found = target.select(KEY, month_key("date_key").alias("m")).join(keys, KEY, "left_semi").select("m").distinct()
+    months = sorted(r["m"] for r in found.collect())                     # <= number of months
+    existing = (store.read("fact_transactions", version, parts=months).join(keys, KEY, "left_semi")
+                .withColumn(OLD_MONTH, month_key("date_key")))
+    merged = merge_rows(existing, valid, KEY, COMPARE_COLS, [SK, OLD_MONTH]).persist()
     changed = merged.where(F.col("_action").isin("INSERT", "UPDATE"))
-    old_months = existing.join(changed.where(F.col("_action") == "UPDATE").select(KEY), KEY, "left_semi") \
-                         .select(month_key("date_key").alias("m"))
-    new_months = changed.select(month_key("date_key").alias("m"))
-    touched = sorted({r["m"] for r in old_months.union(new_months).distinct().collect()})  # <= number of months
+    both = changed.select(F.explode(F.array_compact(F.array(F.col(OLD_MONTH), month_key("date_key")))).alias("m"))
+    touched = sorted(r["m"] for r in both.distinct().collect())          # <= number of months
+    changed = changed.drop(OLD_MONTH)
     entry = store.table_path("fact_transactions", version)
     current_max = entry.get("max_key") if isinstance(entry, dict) else None
     if current_max is None:   # older commits: one scan of the key column
@@ -66,8 +69,11 @@ def upsert_partitions(store: VersionedStore, version: int, valid: DataFrame, par
 
 
 def loaded_batches(store: VersionedStore) -> set[str]:
-    """Batches with a SUCCESS commit."""
-    out = set()
+    """Batches with a SUCCESS commit; the newest commit lists them."""
+    newest = store.manifest()
+    if "batches" in newest or not newest["version"]:
+        return set(newest.get("batches", []))
+    out = set()          # commits of before the list was kept
     for m in store.commit_log():
         audit = m.get("meta", {}).get("audit")
         if audit and audit.get("status") == "SUCCESS":
@@ -76,9 +82,9 @@ def loaded_batches(store: VersionedStore) -> set[str]:
 
 
 def merge_batch(spark: SparkSession, store: VersionedStore, silver_root: str, batch_id: str,
-                reject_root: str) -> dict:
+                reject_root: str, loaded: set[str] | None = None) -> dict:
     """I11-I15 for one batch; returns the audit row."""
-    if batch_id in loaded_batches(store):
+    if batch_id in (loaded_batches(store) if loaded is None else loaded):
         return {"silver_batch_id": batch_id, "status": "SKIPPED"}
     started, t0 = _now(), time.time()
     base_version = store.current_version()
@@ -90,7 +96,7 @@ def merge_batch(spark: SparkSession, store: VersionedStore, silver_root: str, ba
         rejected_at = _now().replace(tzinfo=None)
         rejects = (validated.where(F.col("reject_reason").isNotNull())
                             .withColumn("rejected_at_utc", F.lit(rejected_at).cast("timestamp")))
-        write_batch_partition(rejects, reject_root)
+        write_batch_partition(rejects, reject_root, batch_id)
         valid = validated.where(F.col("reject_reason").isNull()).select(*FACT_TRANSACTIONS.names)
         if store.partitions("fact_transactions", base_version):
             new_fact, merged = upsert_partitions(store, base_version, valid)
@@ -105,12 +111,16 @@ def merge_batch(spark: SparkSession, store: VersionedStore, silver_root: str, ba
             "rows_staged": c.get("valid", 0) + c.get("rejected", 0), "rows_valid": c.get("valid", 0),
             "rows_inserted": c.get("INSERT", 0), "rows_updated": c.get("UPDATE", 0),
             "rows_rejected": c.get("rejected", 0), "started_at_utc": started.isoformat(),
-            "finished_at_utc": _now().isoformat(), "duration_ms": int((time.time() - t0) * 1000),
         }
-        store.commit({"fact_transactions": new_fact}, meta={"audit": audit}, expected_version=base_version)
+
+        def finished() -> dict:      # asked when the data is written
+            audit.update(finished_at_utc=_now().isoformat(), duration_ms=int((time.time() - t0) * 1000))
+            return {"audit": audit}
+
+        store.commit({"fact_transactions": new_fact}, meta=finished, expected_version=base_version)
         return audit
     except Exception as e:
-        store.record_failure({"silver_batch_id": batch_id, "status": "FAILED", "error_message": str(e)[:2000],
+        store.record_failure({"silver_batch_id": batch_id, "status": "FAILED", "error_message": str(e),
                               "started_at_utc": started.isoformat(), "finished_at_utc": _now().isoformat()})
         raise
     finally:
@@ -122,13 +132,14 @@ def merge_batch(spark: SparkSession, store: VersionedStore, silver_root: str, ba
 
 def run_merge(spark: SparkSession, store: VersionedStore, silver_root: str, reject_root: str) -> dict:
     """Backlog in order, one commit per batch, stop at the first failure."""
-    pending = [b for b in list_batches(spark, silver_root) if b not in loaded_batches(store)]
+    loaded = loaded_batches(store)
+    pending = [b for b in list_batches(spark, silver_root) if b not in loaded]
     done, failed = [], None
     for b in pending:
         try:
-            done.append(merge_batch(spark, store, silver_root, b, reject_root))
+            done.append(merge_batch(spark, store, silver_root, b, reject_root, loaded))
         except Exception as e:  # stop; the next run retries this batch
-            failed = {"silver_batch_id": b, "error": str(e)[:500]}
+            failed = {"silver_batch_id": b, "error": str(e)}
             break
     totals = {k: sum(a.get(k, 0) for a in done) for k in ("rows_staged", "rows_valid", "rows_inserted",
                                                             "rows_updated", "rows_rejected")}
@@ -143,6 +154,6 @@ def audit_log(spark: SparkSession, store: VersionedStore) -> DataFrame:
               "rows_updated long, rows_rejected long, started_at_utc string, finished_at_utc string, "
               "duration_ms long, error_message string")
     names = [f.split()[0] for f in schema.split(", ")]
-    data = [tuple(r.get(n) for n in names) for r in rows]
-    df = spark.createDataFrame(data, schema)
-    return df.withColumn("log_id", F.monotonically_increasing_id()).orderBy(F.desc("finished_at_utc"))
+    rows.sort(key=lambda r: r.get("finished_at_utc") or "")
+    data = [(*[r.get(n) for n in names], i) for i, r in enumerate(rows, 1)]     # log_id: order of finishing
+    return spark.createDataFrame(data, f"{schema}, log_id long").orderBy(F.desc("log_id"))

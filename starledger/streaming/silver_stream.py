@@ -8,8 +8,9 @@ One Structured Streaming query with ``foreachBatch``:
   into an idempotent sink (I9);
 * each micro-batch is persisted once, split into dead letters and envelopes,
   conformed, flagged by the data-quality rules and de-duplicated;
-* the batch id comes from the streaming epoch, so a replay of the same epoch
-  overwrites exactly the same ``silver_batch_id`` partitions (I3, I4, X5);
+* the batch id names the offset ranges of the batch, so a replay of the same
+  offsets overwrites the same ``silver_batch_id`` partitions, and after a lost
+  checkpoint new ranges never land on old batches (I3, I4, X5);
 * ``trigger(availableNow=True)`` processes what is there and stops (I5).
 """
 
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import FACT_TRANSACTIONS, LINEAGE_SCHEMA
 from ..operators.conform import conform, with_batch_metadata
+from ..operators.incremental import batch_bounds
 from ..operators.validate import flag_quality, split_flagged
 from ..sources.events import flatten_envelope, read_events, split_dead_letters
 from ..sources.layers import write_batch_partition
@@ -46,24 +48,37 @@ def _utc_now() -> str:
     return dt.datetime.now(dt.timezone.utc).isoformat(timespec="milliseconds").replace("+00:00", "Z")
 
 
-def process_batch(batch: DataFrame, batch_id: str, roots: dict[str, str]) -> BatchSummary:
-    """The per-micro-batch body (also usable on a static frame)."""
+def offset_batch_id(messages: DataFrame) -> str:
+    """The batch id of a message frame, from its offset ranges; without
+    any offset, a digest of the messages."""
+    lineage = messages.select(F.col("topic").alias("_kafka_topic"), F.col("partition").alias("_kafka_partition"),
+                              F.col("offset").alias("_kafka_offset"))
+    bounds = batch_bounds(lineage.where(F.col("_kafka_offset").isNotNull())).first()
+    if bounds is not None and bounds["lo"] is not None:
+        return bounds["batch_id"]
+    digest = messages.agg(F.sum(F.xxhash64("key", "value").cast("decimal(38,0)")).alias("d"), F.count(F.lit(1)).alias("n")).first()
+    return f"x_{digest['n']}_{str(digest['d'] or 0).replace('-', 'm')}"
+
+
+def process_batch(batch: DataFrame, batch_id: str | None, roots: dict[str, str]) -> BatchSummary:
+    """The per-micro-batch body (also usable on a static frame); without a
+    ``batch_id`` the id comes from the offsets."""
     consumed_at = _utc_now()
     batch = batch.persist()
     try:
+        batch_id = batch_id or offset_batch_id(batch)
         good, dlq = split_dead_letters(batch, consumed_at)
         good = good.persist()
-        bid = F.lit(batch_id)
         if "bronze" in roots:
-            write_batch_partition(good.withColumn("silver_batch_id", bid), roots["bronze"])
-        dlq_info = write_batch_partition(dlq.withColumn("silver_batch_id", bid), roots["dlq"])
+            write_batch_partition(good, roots["bronze"], batch_id)
+        dlq_info = write_batch_partition(dlq, roots["dlq"], batch_id)
         types = {f.name: f.dataType for f in LINEAGE_SCHEMA.fields}
         events = conform(flatten_envelope(good), FACT_TRANSACTIONS, list(types), types)
         events = with_batch_metadata(events, batch_id, consumed_at)
         flagged = flag_quality(events).persist()        # one dedupe per batch, two sinks
         clean, quarantine = split_flagged(flagged)
-        s = write_batch_partition(clean, roots["silver"])
-        q = write_batch_partition(quarantine, roots["quarantine"])
+        s = write_batch_partition(clean, roots["silver"], batch_id)
+        q = write_batch_partition(quarantine, roots["quarantine"], batch_id)
         n = batch.count()
         flagged.unpersist()
         good.unpersist()
@@ -80,7 +95,7 @@ def run_silver_stream(spark: SparkSession, source_path: str | None, roots: dict[
     summaries: list[BatchSummary] = []
 
     def body(df: DataFrame, epoch_id: int) -> None:
-        summaries.append(process_batch(df, f"e{epoch_id:09d}", roots))
+        summaries.append(process_batch(df, None, roots))
 
     q = (messages.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

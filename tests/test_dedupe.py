@@ -39,3 +39,29 @@ def test_flag_duplicates_latest(spark):
     kept = {r.k: r.v for r in f.where(~F.col("_is_duplicate") & F.col("k").isNotNull()).collect()}
     assert kept == {"A": "x", "B": "q"}
     assert f.where(F.col("_is_duplicate")).count() == 2
+
+
+def test_exact_replays_leave_one_row(spark):
+    """At-least-once delivery: the same event twice, also as the survivor."""
+    rows = [("A", 0, 1, "x"), ("A", 0, 1, "x"), ("A", 0, 2, "y"), ("B", 1, 1, "z"), ("B", 1, 1, "z"), ("B", 1, 1, "z"),
+            (None, 1, 1, "n"), (None, 1, 1, "n")]
+    df = spark.createDataFrame(rows, "k string, p int, o long, v string").repartition(5)
+    for latest, kept in ((False, [("A", 1), ("B", 1)]), (True, [("A", 2), ("B", 1)])):
+        f = flag_duplicates(df, ["k"], ["o"], ["p", "o"], latest=latest)
+        assert f.count() == len(rows)
+        assert sorted((r.k, r.o) for r in f.where("k IS NOT NULL AND NOT _is_duplicate").collect()) == kept
+        assert f.where("k IS NULL AND NOT _is_duplicate").count() == 2
+
+
+def test_same_lineage_with_other_content_is_ordered_by_content(spark):
+    rows = [("A", 0, 1, v) for v in "cab"]
+    for n in (1, 4):
+        f = flag_duplicates(spark.createDataFrame(rows, "k string, p int, o long, v string").repartition(n), ["k"], ["o"], ["p", "o"])
+        assert [r.v for r in f.where("NOT _is_duplicate").collect()] == ["a"]
+
+
+def test_long_numbers_keep_all_digits(spark):
+    from starledger.functions.keys import padded_id
+    df = spark.createDataFrame([(7,), (1234567,), (60000000011,), (60000000012,), (None,)], "n long")
+    assert [r[0] for r in df.select(padded_id("MER", F.col("n"), 6)).collect()] == [
+        "MER000007", "MER1234567", "MER60000000011", "MER60000000012", None]

@@ -1,5 +1,5 @@
 """Offset marks and batch ids."""
-from starledger.operators.incremental import advance_marks, batch_bounds, new_rows, offsetless_rows
+from starledger.operators.incremental import advance_marks, batch_bounds, new_rows
 
 
 def frame(spark):
@@ -7,16 +7,18 @@ def frame(spark):
     return spark.createDataFrame(rows, "_kafka_topic string, _kafka_partition int, _kafka_offset long")
 
 
-def test_first_run_takes_all_but_offsetless(spark):
+def test_rows_without_an_offset_pass_to_quarantine(spark):
     df = frame(spark)
-    assert new_rows(df, None).count() == 20
-    assert offsetless_rows(df).count() == 1
+    assert new_rows(df, None).count() == 21
+    marks = advance_marks(None, df)
+    assert new_rows(df, marks).count() == 1
+    assert {r._kafka_partition: r._kafka_offset for r in marks.collect()} == {0: 9, 1: 9}
 
 
 def test_marks_strictly_greater(spark):
     df = frame(spark)
     marks = advance_marks(None, df.where("_kafka_partition = 0 AND _kafka_offset <= 4"))
-    nr = new_rows(df, marks)
+    nr = new_rows(df, marks).where("_kafka_offset IS NOT NULL")
     assert nr.where("_kafka_partition = 0").count() == 5        # offsets 5..9
     assert nr.where("_kafka_partition = 1").count() == 10       # missing mark = -1
     m2 = {r._kafka_partition: r._kafka_offset for r in advance_marks(marks, nr).collect()}
@@ -38,6 +40,7 @@ def test_marks_persist_atomically(spark, scratch):
     st = VersionedStore(spark, f"{scratch}/marks")
     df = frame(spark)
     assert load_marks(st) is None
+    df = df.where("_kafka_offset IS NOT NULL")
     first = df.where("_kafka_offset <= 4")
     v = save_marks(st, advance_marks(load_marks(st), new_rows(first, load_marks(st))))
     nxt = new_rows(df, load_marks(st))

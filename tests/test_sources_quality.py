@@ -30,11 +30,13 @@ def test_batch_partitions_replace_only_their_batch(spark, scratch):
     root = f"{scratch}/silver"
     a = spark.createDataFrame([(1, "b1"), (2, "b1")], "x int, silver_batch_id string")
     b = spark.createDataFrame([(3, "b2")], "x int, silver_batch_id string")
-    write_batch_partition(a, root)
-    write_batch_partition(b, root)
-    write_batch_partition(a.where("x = 1"), root)                  # replay of b1 with fewer rows
+    write_batch_partition(a, root, "b1")
+    write_batch_partition(b, root, "b2")
+    write_batch_partition(a.where("x = 1"), root, "b1")            # replay of b1 with fewer rows
     assert list_batches(spark, root) == ["b1", "b2"]
     assert read_batch(spark, root, "b1", ["x"]).count() == 1 and read_batch(spark, root, "b2", ["x"]).count() == 1
+    write_batch_partition(a.where("x = 9"), root, "b1")            # a retry whose side has become empty
+    assert read_batch(spark, root, "b1", ["x"]).count() == 0 and read_batch(spark, root, "b2", ["x"]).count() == 1
 
 
 def test_missing_bronze_is_empty(spark, scratch):

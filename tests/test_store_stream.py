@@ -181,3 +181,54 @@ def test_max_key_kept_in_commit_record(spark, scratch):
     v = reload_gold(spark, Star(spark, "/root/testdata/sf0.001").tables(), st)
     entry = st.table_path("fact_transactions", v)
     assert entry["max_key"] == st.read("fact_transactions").count()
+
+
+def test_losing_writer_leaves_the_published_rows(spark, scratch):
+    """Two writers build the same version; the loser writes after the winner."""
+    st = VersionedStore(spark, f"{scratch}/race")
+    st.commit({"a": spark.range(1)})
+
+    def slower(tables):
+        VersionedStore(spark, st.root).commit({"a": spark.range(7)})
+    with pytest.raises(CommitConflict):
+        st.commit({"a": spark.range(3)}, check=slower)
+    assert st.current_version() == 2 and st.read("a").count() == 7
+
+
+def test_lost_checkpoint_loses_no_rows(spark, scratch):
+    src, roots = f"{scratch}/src", {k: f"{scratch}/{k}" for k in ("silver", "quarantine", "dlq", "bronze")}
+    _messages(src, 0, 5)
+    first = run_silver_stream(spark, src, roots, f"{scratch}/ck1")
+    # a new source folder and a new checkpoint: epochs start at 0 again
+    _messages(f"{scratch}/src2", 5, 5)
+    second = run_silver_stream(spark, f"{scratch}/src2", roots, f"{scratch}/ck2")
+    assert first[0].batch_id != second[0].batch_id and first[0].batch_id == "b_000000000_000000004"
+    rows = spark.read.parquet(roots["silver"]).count() + spark.read.parquet(roots["quarantine"]).count()
+    assert rows == 10
+    again = run_silver_stream(spark, src, roots, f"{scratch}/ck3")          # a replay overwrites its own batch
+    assert again[0].batch_id == first[0].batch_id
+    assert spark.read.parquet(roots["silver"]).count() + spark.read.parquet(roots["quarantine"]).count() == 10
+
+
+def test_replayed_and_offsetless_messages(spark, scratch):
+    src, roots = f"{scratch}/src", {k: f"{scratch}/{k}" for k in ("silver", "quarantine", "dlq")}
+    _messages(src, 1, 3)
+    lines = open(f"{src}/m000001.json").read().splitlines()
+    with open(f"{src}/m000009.json", "w") as f:
+        f.write(lines[0] + "\n" + json.dumps({**json.loads(lines[1]), "offset": None}) + "\n")
+    run_silver_stream(spark, src, roots, f"{scratch}/ck")
+    assert spark.read.parquet(roots["silver"]).count() == 3
+    reasons = sorted(r["_dq_reason"] for r in spark.read.parquet(roots["quarantine"]).collect())
+    assert reasons == ["duplicate_transaction_id", "missing_kafka_offset"]
+
+
+def test_offsets_of_many_partitions_stay_one_literal(spark):
+    import time
+
+    from starledger.operators.surrogate import positional_key
+    offsets = [i * 3 for i in range(50_000)]
+    t = time.time()
+    key = positional_key(offsets, 1)
+    assert time.time() - t < 2
+    rows = spark.createDataFrame([(0, 5), (49_999, 1), (300, 0)], "_sk_pid int, _sk_pos long").select(key.alias("k")).collect()
+    assert [r["k"] for r in rows] == [6, 1 + 49_999 * 3 + 1, 901]
