@@ -13,12 +13,12 @@ densification, banded buckets and star-shaped candidate edges.
    First each document is compared with the centre it meets in most buckets,
    then with its other centres while they are in another component.
 4. Stars may miss a link between two members that are both unlike the centre.
-   So rounds follow in which the members of a bucket that is still in several
-   components are put in a hashed order, another one each round, and meet the
-   next ``NEXT`` members of other components, until a round finds no link.
-   Buckets of up to NEXT + 1 members are thus compared completely, larger ones
-   by repeated orders; buckets of more than CELL members are dealt into hashed
-   cells, another way each round.
+   So rounds follow for the buckets that are still in several components: their
+   members are sorted by the keys of ``DEPTH`` other bands, other ones for every
+   band and round, which brings the likest together, and meet the next ``NEXT``
+   of other components, until a round finds no link.  Buckets of up to NEXT + 1
+   members are thus compared completely; buckets of more than CELL members are
+   sorted in cells of equal first keys.
 5. Links are confirmed on the full sets: 100 * intersection >= 75 * union.
 
 Cases: a null id counts as the largest id and is returned as null; rows that
@@ -44,7 +44,9 @@ from starledger.llm.shingles import shingle_sets
 ROWS, BANDS = 4, 28
 BINS = ROWS * BANDS
 PERCENT = 75
-NEXT = 8
+NEXT = 3
+#: further band keys that order a bucket's members
+DEPTH = 4
 #: members of a bucket that are put in order together
 CELL = 1000
 LAST_ID = (1 << 63) - 1
@@ -144,11 +146,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         _sketch, "rid long, n_shingles long, set_a long, set_b long, bands array<long>"), "sketch")
     key = ["n_shingles", "set_a", "set_b"]
     heads = sketch.where("n_shingles > 0").groupBy(*key).agg(F.min("rid").alias("head"))
-    sets = (sketch.where("n_shingles > 0").join(heads, key).where("rid = head")
-            .dropDuplicates(["rid", *key]).select("rid", "n_shingles", "bands"))
-    members = written(sets.select("rid", "n_shingles", F.explode("bands").alias("bucket")).join(
-        sets.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select("bucket"), "bucket"), "buckets")
+    sets = written(sketch.where("n_shingles > 0").join(heads, key).where("rid = head")
+                   .dropDuplicates(["rid", *key]).select("rid", "n_shingles", "bands"), "sets")
+    shared = (sets.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+              .where("n > 1").select("bucket"))
+    members = written(sets.select("rid", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+                      .join(shared, "bucket"), "buckets")
     ids = members.select("rid").distinct()
     texts = written(rows.join(ids, "rid").withColumn("same", F.xxhash64("text")).dropDuplicates(["rid", "same"])
                     .drop("same"), "texts")
@@ -170,11 +173,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         split = (at.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"),
                                           F.count(F.lit(1)).alias("n")).where("x <> y")
                  .select("bucket", F.ceil(F.col("n") / CELL).alias("cells")))
-        deal = F.xxhash64("rid", F.lit(nth))
+        # the keys of other bands, another choice each round
+        other = [F.element_at("bands", F.pmod(F.col("band") + 1 + i + nth * DEPTH, F.lit(BANDS)) + 1) for i in range(DEPTH)]
         order = Window.partitionBy("bucket", "cell").orderBy("deal", "rid")
         me = F.struct("rid", "label", "n_shingles")
-        ahead = (at.join(split, "bucket").withColumn("deal", deal)
-                 .withColumn("cell", F.pmod(F.xxhash64("deal", F.lit(1)), F.col("cells")))
+        ahead = (at.join(split, "bucket").join(sets.select("rid", "bands"), "rid").withColumn("deal", F.array(*other))
+                 .withColumn("cell", F.pmod(F.xxhash64(F.col("deal")[0]), F.col("cells")))
                  .select(me.alias("p"), F.array(*[F.lead(me, i).over(order) for i in range(1, NEXT + 1)]).alias("next"))
                  .select("p", F.explode("next").alias("q")))
         pairs = (ahead.where("q IS NOT NULL AND p.label <> q.label")
