@@ -29,80 +29,112 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import mix64, ship_package, slices
+from starledger.llm.common import ship_package, slices
 
 Q = 8
 RATE = 0.1
 BLOCK_CHARS = 4_000_000
 _FILTER_BITS = 22
+#: pairs of text and item counted at once
+_CELLS = 1 << 22
+
+
+#: white space of ``str.isspace``, and NUL
+_BLANK = np.array([c == 0 or chr(c).isspace() for c in range(0x3001)])
 
 
 def normal(text: str | None) -> str:
-    return re.sub(r"\s+", " ", text.lower()).strip() if text else ""
+    return re.sub(r"[\s\0]+", " ", text.lower()).strip(" ") if text else ""
 
 
 def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def normal_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, code points) of the normalised texts, a NUL after each."""
+    joined = codes("\0".join([t.replace("\0", " ") if "\0" in t else t for t in texts]).lower() + "\0")
+    blank = _BLANK[np.minimum(joined, 0x3000)] & (joined <= 0x3000)
+    border = joined == 0
+    plain = np.where(blank & ~border, np.uint32(32), joined)
+    # blanks after a blank or a border go, and so does one before a border
+    keep = ~blank | border
+    keep[1:] |= ~blank[:-1]
+    keep[0] |= not blank[0]
+    plain = plain[keep]
+    end = plain == 0
+    plain = plain[~((plain == 32) & np.r_[end[1:], True])]
+    return np.flatnonzero(plain == 0), plain
+
+
 def grams(c: np.ndarray, q: int = Q) -> np.ndarray:
-    """Hashes of the q-grams that start at every position."""
+    """32-bit hashes of the q-grams that start at every position."""
     n = len(c) - q + 1
     if n <= 0:
-        return np.zeros(0, np.uint64)
-    x = c.astype(np.uint64)
-    h = np.zeros(n, np.uint64)
-    for i in range(q):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + x[i:i + n] + np.uint64(1)
-    return mix64(h)
+        return np.zeros(0, np.uint32)
+    run, length, out, at = c * np.uint32(0x9E3779B1), 1, None, 0
+    while at < q:
+        if q & length:
+            part = run[at:at + n]
+            out = part.copy() if out is None else out * np.uint32(0x85EBCA6B) + part
+            at += length
+        if at < q:
+            run = run[:-length] * np.uint32(0xC2B2AE35) + run[length:]
+            run ^= run >> np.uint32(15)
+            length *= 2
+    out *= np.uint32(0x27D4EB2F)
+    return out ^ (out >> np.uint32(16))
 
 
 def budget(m: int, rate: float = RATE, q: int = Q) -> int:
     return max(0, min(int(rate * m), (m - q) // q))
 
 
+def _swept(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> tuple[int, int] | None:
+    """(distance, end) of the best alignment of the whole item that starts
+    anywhere in ``text`` and stays on the diagonals low .. high; the first end on
+    ties.  Outside the text stand characters that equal none, which costs as much
+    as leaving out the item's."""
+    m, n, width = len(item), len(text), high - low + 1
+    held = np.zeros(m + width, np.uint32)
+    first, last = max(0, low), min(n, m + high)
+    if last > first:
+        held[first - low:last - low] = text[first:last]
+    slope = np.arange(width)
+    cost = np.zeros(width, np.int64)
+    for i in range(m):
+        step = cost + (held[i:i + width] != item[i])          # match or replace: the same diagonal
+        step[:-1] = np.minimum(step[:-1], cost[1:] + 1)       # leave out the item's: from the next diagonal
+        cost = np.minimum.accumulate(step - slope) + slope    # skip the text's: from any diagonal before
+        if not i & 15 and cost.min() > k:
+            return None
+    best = int(cost.argmin())
+    return (int(cost[best]), min(max(m + low + best, 0), n)) if cost[best] <= k else None
+
+
 def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> tuple[int, int, int] | None:
-    """(distance, start, end) of the best alignment of the whole item inside
-    ``text`` using diagonals low - k .. high + k, if its distance is at most k;
-    the first end on ties."""
-    m = len(item)
-    left = max(0, low - k)
-    region = text[left:max(left, min(len(text), high + m + k))]
-    n = len(region)
-    if n == 0:
+    """(distance, start, end) of the best banded alignment of the whole item
+    inside ``text`` on the diagonals low - k .. high + k, if its distance is at
+    most k."""
+    if (found := _swept(item, text, low - k, high + k, k)) is None:
         return None
-    far = 1 << 20
-    at = np.arange(n + 1)
-    cost = np.zeros(n + 1, np.int64)
-    origin = at.copy()
-    d_low, d_high = low - k - left, high + k - left
-    off = lambda i: (at - i < d_low) | (at - i > d_high)
-    cost[off(0)] = far
-    for i in range(1, m + 1):
-        step = np.empty(n + 1, np.int64)
-        step[0], step[1:] = far, cost[:-1] + (region != item[i - 1])
-        back = np.r_[0, origin[:-1]]
-        up = cost + 1
-        take = up < step
-        new, start = np.where(take, up, step), np.where(take, origin, back)
-        new[off(i)] = far
-        # insertions: the smallest new[j'] + (j - j') for j' <= j
-        slope = new - at
-        best = np.minimum.accumulate(slope)
-        first = np.r_[True, best[1:] < best[:-1]]
-        source = np.maximum.accumulate(np.where(first, at, 0))
-        cost, origin = best + at, start[source]
-        cost[off(i)] = far
-        if cost.min() > k:
-            return None
-    end = int(cost.argmin())
-    return (int(cost[end]), left + int(origin[end]), left + end) if cost[end] <= k else None
+    distance, end = found
+    # the same alignment backwards, from its end: the longest start on ties
+    back = text[max(0, end - len(item) - k):end][::-1]
+    m, cost = len(item), np.arange(len(back) + 1)
+    slope = cost.copy()
+    for i in range(m):
+        step = cost + 1
+        step[1:] = np.minimum(step[1:], cost[:-1] + (back != item[m - 1 - i]))
+        cost = np.minimum.accumulate(step - slope) + slope
+    return distance, end - int(cost.argmin()), end
 
 
 class Index:
@@ -112,6 +144,7 @@ class Index:
         self.ids = [i for i, _ in items]
         self.texts = [t for _, t in items]
         self.codes = [codes(t) for t in self.texts]
+        self.bytes = [c.tobytes() for c in self.codes]
         self.budgets = np.array([budget(len(c)) for c in self.codes], np.int64)
         lengths = np.array([len(c) for c in self.codes], np.int64)
         self.least = lengths - Q + 1 - self.budgets * Q
@@ -119,51 +152,70 @@ class Index:
         h = [grams(c) for c in self.codes]
         item = np.repeat(np.arange(len(items)), [len(x) for x in h])
         at = np.concatenate([np.arange(len(x)) for x in h]) if h else np.zeros(0, np.int64)
-        flat = np.concatenate(h) if h else np.zeros(0, np.uint64)
+        flat = np.concatenate(h) if h else np.zeros(0, np.uint32)
         order = np.argsort(flat, kind="stable")
         self.hash, self.item, self.at = flat[order], item[order], at[order]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[self.hash >> np.uint64(64 - _FILTER_BITS)] = True
+        self.filter[self.hash >> np.uint32(32 - _FILTER_BITS)] = True
 
     def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text position, item, item position) of every shared q-gram."""
-        p = np.flatnonzero(self.filter[h >> np.uint64(64 - _FILTER_BITS)])
-        lo, hi = np.searchsorted(self.hash, h[p], "left"), np.searchsorted(self.hash, h[p], "right")
-        n = hi - lo
-        pos = np.repeat(p, n)
+        p = np.flatnonzero(self.filter[h >> np.uint32(32 - _FILTER_BITS)])
+        lo = np.searchsorted(self.hash, h[p], "left")
+        found = self.hash[np.minimum(lo, len(self.hash) - 1)] == h[p] if len(self.hash) else np.zeros(0, bool)
+        p, lo = p[found], lo[found]
+        n = np.searchsorted(self.hash, h[p], "right") - lo
         k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-        return pos, self.item[k], self.at[k]
+        return np.repeat(p, n), self.item[k], self.at[k]
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(text number, item number, distance, start, end), one per pair."""
         found = []
-        joined = codes("\0".join(texts))
-        lengths = np.array([len(t) for t in texts], np.int64)
-        begin = np.cumsum(lengths + 1) - lengths - 1
+        ends, joined = normal_codes(texts)
+        begin = np.r_[0, ends[:-1] + 1]
         pos, item, at = self.hits(grams(joined))
         if len(pos):
-            text = np.searchsorted(begin, pos, side="right") - 1
+            text = np.searchsorted(ends, pos)
+            # pairs with too few hits on all diagonals together can't reach the bound on one band
+            size, most = len(self.ids), max(1, _CELLS // len(self.ids))
+            enough = np.zeros(len(pos), bool)
+            for t in range(0, len(texts), most):
+                a, b = np.searchsorted(text, [t, t + most])
+                pair = (text[a:b] - t) * size + item[a:b]
+                enough[a:b] = np.bincount(pair)[pair] >= self.least[item[a:b]] if b > a else enough[a:b]
+            pos, item, at, text = pos[enough], item[enough], at[enough], text[enough]
+        if len(pos):
             width = self.budgets[item] + 1
             # diagonals made positive within a text; a gram is in two bands
             diagonal = pos - begin[text] - at + len(joined) + 1
             band = diagonal // width
             keys = np.concatenate([np.stack([text, item, band]), np.stack([text, item, band - 1])], axis=1)
-            order = np.lexsort(keys[::-1])
-            keys = keys[:, order]
-            new = np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)]
-            first = np.flatnonzero(new)
+            keys = keys[:, np.lexsort(keys[::-1])]
+            first = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
             count = np.diff(np.r_[first, keys.shape[1]])
             kept = count >= self.least[keys[1, first]]
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for t, i, b in keys[:, first[kept]].T.tolist():
-                k = int(self.budgets[i])
-                low = b * (k + 1) - len(joined) - 1
-                own = joined[begin[t]:begin[t] + lengths[t]]
-                if (got := aligned(self.codes[i], own, low, low + 2 * k + 1, k)) and got < best.get((t, i), (1 << 30, 0, 0)):
+            bands = keys[:, first[kept]]
+            # neighbouring bands of a pair are aligned as one
+            new = np.r_[True, (bands[:2, 1:] != bands[:2, :-1]).any(axis=0) | (np.diff(bands[2]) > 1)]
+            cuts = [*np.flatnonzero(new[:bands.shape[1]]), bands.shape[1]]
+            for a, b in pairwise(cuts):
+                t, i, low = bands[:, a].tolist()
+                if best.get((t, i), (1,))[0] == 0:
+                    continue
+                own = joined[begin[t]:ends[t]]
+                if (s := own.tobytes().find(self.bytes[i])) >= 0 and not s & 3:
+                    best[t, i] = (0, s >> 2, (s >> 2) + len(self.codes[i]))
+                    continue
+                k, base = int(self.budgets[i]), len(joined) + 1
+                low, high = low * (k + 1) - base, (int(bands[2, b - 1]) + 2) * (k + 1) - 1 - base
+                if (got := aligned(self.codes[i], own, low, high, k)) and got < best.get((t, i), (1 << 30, 0, 0)):
                     best[t, i] = got
             found += [(*pair, *got) for pair, got in best.items()]
-        for i in self.short:
-            found += [(t, i, 0, s, s + len(self.texts[i])) for t, x in enumerate(texts) if (s := x.find(self.texts[i])) >= 0]
+        if self.short:
+            plain = [normal(t) for t in texts]
+            found += [(t, i, 0, s, s + len(self.texts[i])) for i in self.short for t, x in enumerate(plain)
+                      if (s := x.find(self.texts[i])) >= 0]
         return found
 
 
@@ -201,7 +253,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
             index = Index(sent.value)
             for batch in batches:
                 for part in slices(batch, "text", 2 << 20):
-                    got = index.matches([normal(t) for t in part.column("text").to_pylist()])
+                    got = index.matches([t or "" for t in part.column("text").to_pylist()])
                     cols = list(zip(*got, strict=True)) if got else [[]] * 5
                     yield pa.RecordBatch.from_arrays(
                         [part.column("doc_id").take(pa.array(cols[0], pa.int64())),

@@ -104,3 +104,10 @@ def test_short_items_are_looked_up_whole(spark):
     got = leaks(docs_of(spark, [(1, "a Cat sat"), (2, "a dog")]), items_of(spark, [(1, "cat")])).collect()
     assert [(r["doc_id"], r["start"], r["end"]) for r in got] == [(1, 2, 5)]
     assert np.array_equal(codes("aé"), [97, 233])
+
+
+def test_hits_scattered_over_the_text_reach_no_band():
+    item = normal(prose(30, 8))
+    words = item.split(" ")
+    pieces = [" ".join(words[i:i + 3]) + " " + "#" * 300 for i in range(0, 28, 3)]
+    assert Index([(1, item)]).matches([" ".join(reversed(pieces))]) == []
