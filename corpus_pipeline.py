@@ -33,7 +33,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage (9)."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
+    # written first: its size is then known, and a small list is broadcast without moving any text
+    found = written(decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+                    .select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
     return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
 
 
