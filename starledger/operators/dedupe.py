@@ -80,12 +80,3 @@ def flag_duplicates(df: DataFrame, keys: list[str], order_by: list[str | Column]
     return (joined.withColumn(flag, F.when(F.col("_winner").isNull(), F.lit(False))
                               .otherwise(~F.col("_best") | (nth > 1)))
             .drop("_winner", "_best", "_salt"))
-
-
-def split_duplicates(df: DataFrame, keys: list[str], order_by: list[str | Column], identity: list[str],
-                     latest: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(kept, duplicates) from one flagged plan."""
-    flagged = flag_duplicates(df, keys, order_by, identity, latest)
-    kept = flagged.where(~F.col("_is_duplicate")).drop("_is_duplicate")
-    dups = flagged.where(F.col("_is_duplicate")).drop("_is_duplicate")
-    return kept, dups

@@ -132,8 +132,10 @@ def query(df: DataFrame, measures: list[str], by: list[str | Column] = (), where
     if totals in ("rollup", "cube") and by:
         g = src.rollup(*by) if totals == "rollup" else src.cube(*by)
         grouped = g.agg(*aggs, F.grouping_id().cast("int").alias("grouping_level"))
+    elif by:
+        grouped = src.groupBy(*by).agg(*aggs)
     else:
-        grouped = src.groupBy(*by).agg(*aggs) if by else src.agg(*aggs)
+        grouped = _total(src, needs) if {"accounts", "merchants"} <= set(needs) else src.agg(*aggs)
     by_names = [b if isinstance(b, str) else None for b in by]
     keep = [F.col(n) for n in by_names if n] if by else []
     if "grouping_level" in grouped.columns:
@@ -150,6 +152,28 @@ def query(df: DataFrame, measures: list[str], by: list[str | Column] = (), where
     return out
 
 
+def _total(src: DataFrame, needs: list[str]) -> DataFrame:
+    """Base aggregates over all rows with both distinct counts: the facts are
+    reduced by account once and by merchant once, where one plan with two
+    distinct counts would expand every fact row three times."""
+    per = src.groupBy("account_key").agg(*[BASE[b]().alias(f"__p_{b}") for b in needs if b not in _DISTINCT_COL])
+    total = per.agg(*[_merged(b) for b in needs if b not in _DISTINCT_COL], F.count("account_key").alias("__accounts"))
+    merchants = src.select("merchant_key").distinct().agg(F.count("merchant_key").alias("__merchants"))
+    return total.crossJoin(merchants)          # one row each
+
+
+def _merged(base: str) -> Column:
+    """A base aggregate from its partial values ``__p_<base>``."""
+    merged = F.sum(f"__p_{base}")
+    if base in _MONEY_BASES:
+        merged = merged.cast(X.MONEY_SUM)
+    elif base == "surcharge":
+        merged = merged.cast("decimal(38,5)")
+    elif base in _COUNT_BASES:
+        merged = F.coalesce(merged, F.lit(0))
+    return merged.alias(f"__{base}")
+
+
 # How each base aggregate merges after a pre-aggregation (all are sums of the
 # partial values, except distinct counts, which need their column in the key).
 _DISTINCT_COL = {"accounts": "account_key", "merchants": "merchant_key"}
@@ -198,12 +222,7 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
         if b in _DISTINCT_COL:
             final_aggs.append(F.count_distinct(F.col(fk)).alias(f"__{b}"))
         else:
-            merged = F.sum(f"__p_{b}")
-            if b in _MONEY_BASES:
-                merged = merged.cast(X.MONEY_SUM)
-            elif b == "surcharge":
-                merged = merged.cast("decimal(38,5)")
-            final_aggs.append(merged.alias(f"__{b}"))
+            final_aggs.append(_merged(b))
     grouped = joined.groupBy(*by).agg(*final_aggs)
     out = grouped.select(*by, *[m.final().alias(m.name) for m in ms])
     out = out.where(having) if having is not None else out
@@ -211,6 +230,7 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
     return out.limit(top) if top is not None else out
 
 
+_COUNT_BASES = {"n", "declined", "fx", "fx_rate_n", "p2p", "daytime"}
 _MONEY_BASES = {"gross", "net", "fx_vol", "out_vol", "in_vol", "declined_vol", "weekend_vol", "weekday_vol"}
 
 

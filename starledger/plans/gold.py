@@ -135,8 +135,3 @@ def layer_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                       "silver_events": fixtures.silver_plan(spark, sf_dir)}, meta=meta)
 
     return _materialized(spark, sf_dir, "layers", LAYER_INPUTS, (conform, fixtures), build)
-
-
-def lazy_star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star as un-materialised plans straight over the driver tables."""
-    return Star(spark, sf_dir).tables()

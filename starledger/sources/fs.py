@@ -83,21 +83,3 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return "\n".join(lines)
     finally:
         stream.close()
-
-
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
-    """Atomic on HDFS and local disk; the commit primitive of the store."""
-    fs, s = _jpath(spark, src)
-    _, d = _jpath(spark, dst)
-    return bool(fs.rename(s, d))
-
-
-def atomic_write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write to a side file, then rename over the target (pointer commit)."""
-    tmp = f"{path}.tmp-{abs(hash(text)) % 10**12}"
-    write_text(spark, tmp, text)
-    fs, p = _jpath(spark, path)
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not rename(spark, tmp, path):
-        raise OSError(f"could not commit {path}")
