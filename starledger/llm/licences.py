@@ -104,11 +104,13 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, *, path
              .select("path", F.explode(F.concat(F.split(text, "\n"), F.when(licence_file, F.array(text)).otherwise(
                  F.array().cast("array<string>")))).alias("notice")).distinct()
              .withColumn("terms", terms(F.col("notice"))).where(F.arrays_overlap("terms", heavy)))
-    counts = units.select("path", "notice", F.explode("terms").alias("term")).groupBy("path", "notice", "term").agg(
-        F.count(F.lit(1)).alias("tf"))
+    # a notice goes on under its digest: its terms must not each carry the text
+    counts = (units.select("path", F.md5("notice").alias("notice"), F.explode("terms").alias("term"))
+              .groupBy("path", "notice", "term").agg(F.count(F.lit(1)).alias("tf")))
     known = spark.createDataFrame(list(weights.items()), "term string, weight long")
-    weighed = (counts.join(F.broadcast(known), "term", "left")
-               .withColumn("w", F.col("tf") * F.coalesce("weight", F.lit(weight(n, 0)))))
+    # the terms of the notices that can be licences; read twice below
+    weighed = written(counts.join(F.broadcast(known), "term", "left")
+                      .withColumn("w", F.col("tf") * F.coalesce("weight", F.lit(weight(n, 0)))), "licence-terms")
     template = spark.createDataFrame(
         [(i, name, sum(w * w for w in v.values()), t, w) for i, name, v in vectors for t, w in v.items()],
         "template int, license string, square long, term string, part long")
