@@ -70,7 +70,7 @@ def utf8_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], raw[offsets[0]:offsets[-1]]
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20):
     """Consecutive pieces of an Arrow batch holding at most ``most_bytes`` of
     the text column each (one row at least), which bounds a task's memory."""
     n = batch.num_rows

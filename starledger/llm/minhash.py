@@ -100,7 +100,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text_v", 2 << 20):
+        for part in slices(batch, "text_v"):
             u_sets = shingle_sets(*utf8_buffers(part.column("text_u")))
             v_sets = shingle_sets(*utf8_buffers(part.column("text_v")))
             shared = [len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(u_sets, v_sets, strict=True)]

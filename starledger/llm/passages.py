@@ -127,18 +127,27 @@ def cover(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """gram, triple, rid, at (first suffix * 128 + number of suffixes)."""
+    """name (the gram's), triple, rid, at (first suffix * 128 + number of
+    suffixes), known: the triple stands earlier in the same piece of the batch.
+    Known ones need no comparison, so they get names of their own and don't
+    crowd the gram's task."""
     for batch in batches:
         for part in slices(batch, "text", PIECE):
-            rid = part.column("rid").to_numpy()
+            ids = part.column("rid").to_numpy()
             for first, base, offsets, raw in pieces(*utf8_buffers(part.column("text"))):
                 row, place, lo, hi, gram = cover(offsets, raw)
                 # the triple's name also says where the gram stands in it
                 triple = mix64(span_hashes(raw, lo, hi + LENGTH) + (place - lo).astype(np.uint64))
-                start = lo - offsets[row] + base
+                rid, at = ids[row + first], (lo - offsets[row] + base) * 128 + (hi - lo + 1)
+                order = np.lexsort((at, rid, triple, gram))
+                new = np.r_[True, (gram[order][1:] != gram[order][:-1]) | (triple[order][1:] != triple[order][:-1])][:len(order)]
+                head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+                known = np.zeros(len(order), bool)
+                known[order] = (rid[order] != rid[head]) | (at[order] != at[head])
+                name = np.where(known, mix64(rid.astype(np.uint64) + mix64(at.astype(np.uint64))), gram)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram.view(np.int64)), pa.array(triple.view(np.int64)), pa.array(rid[row + first]),
-                     pa.array(start * 128 + (hi - lo + 1))], ["name", "triple", "rid", "at"])
+                    [pa.array(name.view(np.int64)), pa.array(triple.view(np.int64)), pa.array(rid), pa.array(at),
+                     pa.array(known)], ["name", "triple", "rid", "at", "known"])
 
 
 def _packed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, high: bool) -> np.ndarray:
@@ -236,7 +245,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     ship_package(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("rid"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    grams = _compared(texts.mapInArrow(_triples, "name long, triple long, rid long, at long"), ["triple"])
+    grams = _compared(texts.mapInArrow(_triples, "name long, triple long, rid long, at long, known boolean"),
+                      ["triple"]).withColumn("again", F.col("again") | F.col("known"))
     grams = written(grams.where("again OR several").select("rid", "at", "again"), "grams")
     start, number = F.shiftright("at", 7), F.col("at").bitwiseAND(127)
     by_gram = grams.where("again").select("rid", start.alias("s"), (start + number + LENGTH - 1).alias("e"))

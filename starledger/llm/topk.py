@@ -19,7 +19,8 @@ Queries and candidates meet block by block: a candidate block is sent once per
 block of queries, a query block once per block of candidates, and every pair of
 blocks is one group of bounded size.
 
-Components are floor(1024 * x) with x as double; scores are exact integers.
+Components are floor(1024 * x) with x as double; scores are exact integers (those
+that a long holds).
 
 Cases: vectors that are null or hold a null or non-finite component take no
 part; vectors of unequal length are padded with zeros; rows that share an id
