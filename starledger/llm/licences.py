@@ -102,10 +102,11 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, *, path
     licence_file = F.col("path").rlike(LICENCE_NAME)
     units = (files.where(F.arrays_overlap(terms(text), heavy))
              .select("path", F.explode(F.concat(F.split(text, "\n"), F.when(licence_file, F.array(text)).otherwise(
-                 F.array().cast("array<string>")))).alias("notice")).distinct()
-             .withColumn("terms", terms(F.col("notice"))).where(F.arrays_overlap("terms", heavy)))
-    # a notice goes on under its digest: its terms must not each carry the text
-    counts = (units.select("path", F.md5("notice").alias("notice"), F.explode("terms").alias("term"))
+                 F.array().cast("array<string>")))).alias("text"))
+             # a notice goes on under its digest: its terms must not each carry (or hash) the text
+             .select("path", "text", F.md5("text").alias("notice")).distinct()
+             .withColumn("terms", terms(F.col("text"))).where(F.arrays_overlap("terms", heavy)))
+    counts = (units.select("path", "notice", F.explode("terms").alias("term"))
               .groupBy("path", "notice", "term").agg(F.count(F.lit(1)).alias("tf")))
     known = spark.createDataFrame(list(weights.items()), "term string, weight long")
     # the terms of the notices that can be licences; read twice below
