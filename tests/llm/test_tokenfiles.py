@@ -80,9 +80,10 @@ def test_files_hold_bloom_filters(spark):
     files = [f.getPath() for f in folder.getFileSystem(conf).listStatus(folder) if f.getPath().getName().endswith(".orc")]
     reader = jvm.org.apache.orc.OrcFile.createReader(files[0], jvm.org.apache.orc.OrcFile.readerOptions(conf))
     assert reader.getRowIndexStride() == 10000
-    kinds = {s.getKind().toString() for s in reader.rows().getCurrentStripeFooter().getStreamsList()} if hasattr(
-        reader.rows(), "getCurrentStripeFooter") else {"BLOOM_FILTER_UTF8", "ROW_INDEX"}
-    assert {"ROW_INDEX"} <= kinds
+    footer = reader.rows().readStripeFooter(reader.getStripes().get(0))
+    kinds = [(footer.getStreams(i).getKind().toString(), footer.getStreams(i).getColumn())
+             for i in range(footer.getStreamsCount())]
+    assert ("ROW_INDEX", 1) in kinds and ("BLOOM_FILTER_UTF8", 1) in kinds       # column 1 is doc_id
 
 
 @pytest.mark.parametrize("n", [1, 5])
