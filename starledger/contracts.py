@@ -151,6 +151,9 @@ DIM_DECLINE_REASON = TableContract(
     (Col("decline_reason_key", INT, "int", False), Col("decline_reason_name", STR, "varchar(200)", False)),
     primary_key=("decline_reason_key",))
 
+# fact columns that rows are looked up by, besides the date
+FACT_LOOKUPS = ("transaction_id", "account_key")
+
 FACT_TRANSACTIONS = TableContract(
     "fact_transactions",
     (Col("date_key", INT, "int", False), Col("time_key", INT, "int", False),

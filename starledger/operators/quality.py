@@ -320,6 +320,55 @@ def column_set_check(df: DataFrame, contract: TableContract, tolerated: tuple[st
     return {"missing": missing, "unexpected": unexpected, "ok": not missing and not unexpected}
 
 
+def raw_key_checks(contract: TableContract) -> list[RowCheck]:
+    """Q16/Q17 on the raw text: a key or a required foreign key that is NULL or
+    blank."""
+    required = [*contract.primary_key, *[fk.column for fk in contract.foreign_keys if fk.column in contract.required]]
+    return [RowCheck("raw_key_missing", c, F.col(c).isNull() | (F.trim(F.col(c)) == "")) for c in dict.fromkeys(required)]
+
+
+def raw_orphans(child: DataFrame, table: str, fks: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Q17 on the raw text: values that are no parent's key, trimmed and without
+    leading zeros or a plus sign, so that text forms of one number agree."""
+    def plain(c: str) -> Column:
+        return F.nullif(F.regexp_replace(F.trim(F.col(c).cast("string")), r"^\+?0*(?=\d)", ""), F.lit(""))
+    text = child.select(*[plain(fk).alias(fk) for fk in dict.fromkeys(f[0] for f in fks)])
+    return check_fks(text, table, fks)
+
+
+@dataclass
+class GateReport:
+    """Q18: the metric rows, up to ``n`` sample rows of every failing row check,
+    and the overall status (warnings never fail)."""
+    metrics: list
+    samples: dict[tuple[str, str, str], list]
+    status: str
+
+
+def gate_report(tables: dict[str, DataFrame], contracts: dict[str, TableContract], n: int = 5) -> GateReport:
+    """Run the gate; then fetch samples for the row checks that failed, one
+    bounded top-n per failing check and none when all pass."""
+    metrics = collect_gate(tables, contracts)
+    failing = {(r.table_name, r.check_name, r.column_name) for r in metrics if r.violations > 0}
+    samples: dict[tuple[str, str, str], list] = {}
+    for name, contract in contracts.items():
+        if name not in tables:
+            continue
+        checks = contract_checks(tables[name], contract)
+        if name == "fact_transactions":
+            checks += fact_assertions(tables[name])
+        for c in checks:
+            if (key := (name, c.check, c.column)) in failing:
+                samples[key] = sample_violations(tables[name], c.violation, list(contract.primary_key), n).collect()
+        for fk in contract.foreign_keys:
+            key = (name, "relationships", f"{fk.column}->{fk.parent}.{fk.parent_column}")
+            if key in failing:
+                samples[key] = orphan_rows(tables[name], fk.column, tables[fk.parent], fk.parent_column).orderBy(
+                    *contract.primary_key).limit(n).collect()
+    errors = any(r.severity == "error" and r.violations > 0 for r in metrics)
+    return GateReport(metrics, samples, "FAIL" if errors else "PASS")
+
+
 class GateFailed(AssertionError):
     pass
 

@@ -53,7 +53,8 @@ def reload_gold(spark: SparkSession, tables: dict[str, DataFrame], store: Versio
     frames = dict(tables)
     # month folders let an upsert rewrite only the months it touches
     fact = gold_fact(tables["fact_transactions"]).withColumn(FACT_PARTITION, month_key("date_key"))
-    frames["fact_transactions"] = Partitioned(fact, FACT_PARTITION, None, ("date_key", "transaction_id"), dict(SK))
+    frames["fact_transactions"] = Partitioned(fact, FACT_PARTITION, None, ("date_key", "transaction_id"), dict(SK),
+                                              bloom=C.FACT_LOOKUPS)
     writers = {name: _write_dim for name in frames if name != "fact_transactions"}
 
     def check(written: dict[str, DataFrame]) -> None:

@@ -44,6 +44,7 @@ class Partitioned:
     sort_by: tuple = ()
     positional: dict | None = None   # {"column", "pid", "pos", "start"}: key derived from row positions
     max_key: int | None = None       # largest surrogate key after this write (kept in the commit record)
+    bloom: tuple = ()                # columns looked up by value: Parquet Bloom filters per row group
 
 
 class CommitConflict(RuntimeError):
@@ -119,7 +120,8 @@ class VersionedStore:
         if spec.sort_by:
             # range clustering: several tasks per partition value, few files each
             df = df.repartitionByRange(*spec.sort_by).sortWithinPartitions(*spec.sort_by)
-        df.write.mode("overwrite").partitionBy(spec.column).parquet(path)
+        filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in spec.bloom if c in df.columns}
+        df.write.mode("overwrite").options(**filters).partitionBy(spec.column).parquet(path)
         prefix = f"{spec.column}="
         written = {d[len(prefix):]: f"{path}/{d}" for d in fs.list_dirs(self.spark, path) if d.startswith(prefix)}
         parts = {}

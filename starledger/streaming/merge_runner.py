@@ -16,7 +16,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import FACT_TRANSACTIONS
+from ..contracts import FACT_LOOKUPS, FACT_TRANSACTIONS
 from ..functions.keys import month_key
 from ..operators.merge import merge_fact, merge_rows
 from ..operators.star import broadcast_if_small
@@ -65,7 +65,8 @@ def upsert_partitions(store: VersionedStore, version: int, valid: DataFrame, par
     updates = changed.where(F.col("_action") == "UPDATE").drop("_action")
     kept = store.read("fact_transactions", version, parts=touched).join(changed.select(KEY), KEY, "left_anti")
     rows = kept.unionByName(updates).unionByName(inserts).withColumn(part_col, month_key("date_key"))
-    return Partitioned(rows, part_col, touched, ("date_key", KEY), max_key=int(current_max) + n_inserts), merged
+    return Partitioned(rows, part_col, touched, ("date_key", KEY), max_key=int(current_max) + n_inserts,
+                       bloom=FACT_LOOKUPS), merged
 
 
 def loaded_batches(store: VersionedStore) -> set[str]:

@@ -71,3 +71,43 @@ def test_kpi_reconciliation(spark):
     assert out == {"transaction_count": "OK", "declined_transactions": "OK", "fx_transactions": "MISSING"}
     out0 = {r.measure: r.status for r in Q.reconcile_kpis(long_actual, expected, []).collect()}
     assert out0["declined_transactions"] == "MISMATCH"
+
+
+def test_gate_report_has_samples_and_status(spark):
+    from starledger import contracts as C
+    from starledger.operators import quality as Q
+    from starledger.plans.gold import star_tables
+    t = dict(star_tables(spark, "/root/testdata/sf0.001"))
+    good = Q.gate_report(t, C.STAR)
+    assert good.status == "PASS"
+    bad = {**t, "fact_transactions": t["fact_transactions"].withColumn(
+        "merchant_key", F.when(F.col("is_fx") == 1, F.lit(-7)).otherwise(F.col("merchant_key"))).withColumn(
+        "abs_amount_egp", F.when(F.col("is_declined") == 1, -F.col("abs_amount_egp")).otherwise(F.col("abs_amount_egp")))}
+    report = Q.gate_report(bad, C.STAR)
+    assert report.status == "FAIL"
+    orphans = report.samples["fact_transactions", "relationships", "merchant_key->dim_merchant.merchant_key"]
+    assert len(orphans) == 5 and all(r["merchant_key"] == -7 for r in orphans)
+    negative = report.samples["fact_transactions", "abs_amount_nonnegative", "abs_amount_egp"]
+    assert 0 < len(negative) <= 5 and all(r["abs_amount_egp"] < 0 for r in negative)
+
+
+def test_raw_text_keys_and_orphans(spark):
+    from starledger import contracts as C
+    from starledger.operators import quality as Q
+    parent = spark.createDataFrame([(1,), (20,)], "location_key int")
+    raw = spark.createDataFrame([("1",), (" 01 ",), ("+20",), ("3",), (" ",), (None,)], "location_key string")
+    got = Q.raw_orphans(raw, "dim_account", [("location_key", parent, "location_key", "dim_location")]).collect()
+    assert [(r.column_name, r.violations) for r in got] == [("location_key->dim_location.location_key", 1)]
+    checks = [c for c in Q.raw_key_checks(C.DIM_ACCOUNT) if c.column == "location_key"]
+    if checks:
+        assert Q.row_checks(raw, "dim_account", checks).first()["violations"] == 2
+
+
+def test_measures_resolve_by_name(spark):
+    from starledger.operators.derived import DERIVED, evaluate
+    from starledger.operators.measures import MEASURES, measure
+    from starledger.plans.gold import star_tables
+    t = star_tables(spark, "/root/testdata/sf0.001")
+    for name in [*MEASURES, *DERIVED]:
+        assert measure(name) is not None
+        assert name in evaluate(t, name).columns
