@@ -44,7 +44,7 @@ from starledger.llm.shingles import shingle_sets
 ROWS, BANDS = 4, 28
 BINS = ROWS * BANDS
 PERCENT = 75
-NEXT = 3
+NEXT = 6
 #: further band keys that order a bucket's members
 DEPTH = 4
 #: members of a bucket that are put in order together
@@ -165,7 +165,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         .withColumn("nth", F.row_number().over(Window.partitionBy("v").orderBy(F.desc("votes"), "u"))), "stars")
     labels = _relabel(labels, _links(stars.where("nth = 1"), texts))
     labels = _relabel(labels, _links(_apart(stars.where("nth > 1"), labels), texts))
-    tested = [stars.select("u", "v")]
+    tested = stars.select("u", "v")
     nth = 0
     while True:
         nth += 1
@@ -184,13 +184,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         pairs = (ahead.where("q IS NOT NULL AND p.label <> q.label")
                  .where(_alike_in_size("p.n_shingles", "q.n_shingles"))
                  .select(F.least("p.rid", "q.rid").alias("u"), F.greatest("p.rid", "q.rid").alias("v")).distinct())
-        for old in tested:
-            pairs = pairs.join(old, ["u", "v"], "left_anti")
-        pairs = written(pairs, "pairs")
+        pairs = written(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
         links = written(_links(pairs, texts), "links")
         if links.isEmpty():
             break
-        tested.append(pairs)
+        tested = tested.unionByName(pairs)
         labels = _relabel(labels, links)
 
     named = heads.join(labels.withColumnRenamed("rid", "head"), "head", "left").select(
