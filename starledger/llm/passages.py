@@ -32,9 +32,9 @@ its own rows are.  A hot gram or name is streamed in sorted order, not held.
 Names are 64-bit hashes of the strings.
 
 Cases: a null text is empty; texts shorter than LENGTH lose nothing; a null id
-counts as the largest; rows that share an id are one document as far as the
-order goes, so neither is earlier than the other at the same place, and equal
-rows get equal results; very long texts are worked through in pieces; an empty
+counts as the largest; texts that share an id are documents of their own, in the
+order of their hashes; rows equal in both are one document, so neither is earlier
+than the other, and get equal results; very long texts are worked through in pieces; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -59,6 +59,9 @@ BROADCAST_IDS = 2_000_000
 #: bytes of text worked on at once
 PIECE = 1 << 20
 LAST_ID = (1 << 63) - 1
+#: a text is named by its id and hash
+OWNER = ["rid", "same"]
+PLACE = [*OWNER, "at"]
 _MUL = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD))
 
 
@@ -127,27 +130,28 @@ def cover(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """name (the gram's), triple, rid, at (first suffix * 128 + number of
+    """name (the gram's), triple, rid, same (the text's hash), at (first suffix * 128 + number of
     suffixes), known: the triple stands earlier in the same piece of the batch.
     Known ones need no comparison, so they get names of their own and don't
     crowd the gram's task."""
     for batch in batches:
         for part in slices(batch, "text", PIECE):
-            ids = part.column("rid").to_numpy()
+            ids, hashes = part.column("rid").to_numpy(), part.column("same").to_numpy()
             for first, base, offsets, raw in pieces(*utf8_buffers(part.column("text"))):
                 row, place, lo, hi, gram = cover(offsets, raw)
                 # the triple's name also says where the gram stands in it
                 triple = mix64(span_hashes(raw, lo, hi + LENGTH) + (place - lo).astype(np.uint64))
-                rid, at = ids[row + first], (lo - offsets[row] + base) * 128 + (hi - lo + 1)
-                order = np.lexsort((at, rid, triple, gram))
+                rid, same, at = ids[row + first], hashes[row + first], (lo - offsets[row] + base) * 128 + (hi - lo + 1)
+                order = np.lexsort((at, same, rid, triple, gram))
                 new = np.r_[True, (gram[order][1:] != gram[order][:-1]) | (triple[order][1:] != triple[order][:-1])][:len(order)]
                 head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
                 known = np.zeros(len(order), bool)
-                known[order] = (rid[order] != rid[head]) | (at[order] != at[head])
-                name = np.where(known, mix64(rid.astype(np.uint64) + mix64(at.astype(np.uint64))), gram)
+                known[order] = (rid[order] != rid[head]) | (same[order] != same[head]) | (at[order] != at[head])
+                own = mix64(rid.astype(np.uint64) + mix64(at.astype(np.uint64) + mix64(same.astype(np.uint64))))
+                name = np.where(known, own, gram)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(name.view(np.int64)), pa.array(triple.view(np.int64)), pa.array(rid), pa.array(at),
-                     pa.array(known)], ["name", "triple", "rid", "at", "known"])
+                    [pa.array(name.view(np.int64)), pa.array(triple.view(np.int64)), pa.array(rid), pa.array(same),
+                     pa.array(at), pa.array(known)], ["name", "triple", "rid", "same", "at", "known"])
 
 
 def _packed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, high: bool) -> np.ndarray:
@@ -164,11 +168,11 @@ def _packed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, high: bool) -
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the wanted sampled positions, their suffixes in cells: name (of the
-    CORE bytes shared), left and right bytes, rid, at (core's start * 256 + 16 *
-    fewest + most bytes to the left)."""
+    CORE bytes shared), left and right bytes, rid, same, at (core's start * 256 +
+    16 * fewest + most bytes to the left)."""
     for batch in batches:
         for part in slices(batch, "text", PIECE):
-            rid, wanted = part.column("rid").to_numpy(), part.column("wanted")
+            rid, same, wanted = part.column("rid").to_numpy(), part.column("same").to_numpy(), part.column("wanted")
             ends, flat = wanted.offsets.to_numpy(), wanted.values.to_numpy()
             for first, base, offsets, raw in pieces(*utf8_buffers(part.column("text"))):
                 row, place, lo, hi, _ = cover(offsets, raw)
@@ -193,7 +197,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = (start - offsets[row[of]] + base) * 256 + 16 * fewest + most
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(name.view(np.int64)), pa.array(left), pa.array(right), pa.array(rid[row[of] + first]),
-                     pa.array(own)], ["name", "left", "right", "rid", "at"])
+                     pa.array(same[row[of] + first]), pa.array(own)], ["name", "left", "right", "rid", "same", "at"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,41 +227,42 @@ def _compared(rows: DataFrame, triple: list[str]) -> DataFrame:
     """Rows sorted by name, triple and place, and compared with their
     neighbours: ``again`` (the triple was met before) and ``several`` (the name
     has more than one triple)."""
-    same = Window.partitionBy("name", *triple).orderBy("rid", "at")
+    same = Window.partitionBy("name", *triple).orderBy(*PLACE)
     name = Window.partitionBy("name")
     whole = F.struct(*triple)
-    return (rows.repartition("name").withColumn("head", F.first(F.struct("rid", "at")).over(same))
-            .withColumn("again", F.col("head") != F.struct("rid", "at"))
+    return (rows.repartition("name").withColumn("head", F.first(F.struct(*PLACE)).over(same))
+            .withColumn("again", F.col("head") != F.struct(*PLACE))
             .withColumn("several", F.min(whole).over(name) != F.max(whole).over(name)).drop("head"))
 
 
 def _own_texts(texts: DataFrame, rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` (one per rid) with their texts.  Where the ids are few enough to
+    """``rows`` (one per rid and text) with their texts.  Where the ids are few enough to
     be broadcast, texts that have no row are left out before the shuffle."""
     rows = written(rows, name)
     if rows.count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(rows.select("rid")), "rid", "left_semi")
-    return texts.join(rows, "rid")
+        texts = texts.join(F.broadcast(rows.select(*OWNER)), OWNER, "left_semi")
+    return texts.join(rows, OWNER)
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     ship_package(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("rid"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    grams = _compared(texts.mapInArrow(_triples, "name long, triple long, rid long, at long, known boolean"),
+                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(
+                            "rid", F.xxhash64("text").alias("same"), "text")
+    grams = _compared(texts.mapInArrow(_triples, "name long, triple long, rid long, same long, at long, known boolean"),
                       ["triple"]).withColumn("again", F.col("again") | F.col("known"))
-    grams = written(grams.where("again OR several").select("rid", "at", "again"), "grams")
+    grams = written(grams.where("again OR several").select(*PLACE, "again"), "grams")
     start, number = F.shiftright("at", 7), F.col("at").bitwiseAND(127)
-    by_gram = grams.where("again").select("rid", start.alias("s"), (start + number + LENGTH - 1).alias("e"))
+    by_gram = grams.where("again").select(*OWNER, start.alias("s"), (start + number + LENGTH - 1).alias("e"))
 
-    wanted = grams.where("NOT again").groupBy("rid").agg(F.collect_list("at").alias("wanted"))
+    wanted = grams.where("NOT again").groupBy(*OWNER).agg(F.collect_list("at").alias("wanted"))
     cells = _compared(_own_texts(texts, wanted, "wanted").mapInArrow(
-        _cells, "name long, left long, right long, rid long, at long")
+        _cells, "name long, left long, right long, rid long, same long, at long")
         .withColumn("edge", F.col("at").bitwiseAND(255)), ["left", "right", "edge"])
     cells = written(cells.where("again OR several"), "cells")
     core, fewest, most = F.shiftright("at", 8), F.shiftright(F.col("edge"), 4), F.col("edge").bitwiseAND(15)
-    by_cell = cells.where("again").select("rid", (core - most).alias("s"), (core + LENGTH - fewest).alias("e"))
+    by_cell = cells.where("again").select(*OWNER, (core - most).alias("s"), (core + LENGTH - fewest).alias("e"))
 
     # single suffixes: k bytes on the left of the core, CELL - 1 - k on its right
     k = F.col("k")
@@ -267,20 +272,19 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     rights = F.when(8 * k >= 64, F.lit(0).cast("long")).otherwise(
         F.call_function("shiftrightunsigned", F.col("right"), 8 * k))
     singles = (cells.where("NOT again").withColumn("k", F.explode(F.sequence(fewest, most)))
-               .select(F.xxhash64("name", "k", lefts, rights).alias("name"), "rid", (core - k).alias("at")))
-    first = Window.partitionBy("name").orderBy("rid", "at")
-    singles = (singles.withColumn("head", F.first(F.struct("rid", "at")).over(first))
-               .where(F.col("head") != F.struct("rid", "at")))
-    by_single = singles.select("rid", F.col("at").alias("s"), (F.col("at") + LENGTH).alias("e"))
+               .select(F.xxhash64("name", "k", lefts, rights).alias("name"), *OWNER, (core - k).alias("at")))
+    first = Window.partitionBy("name").orderBy(*PLACE)
+    singles = (singles.withColumn("head", F.first(F.struct(*PLACE)).over(first))
+               .where(F.col("head") != F.struct(*PLACE)))
+    by_single = singles.select(*OWNER, F.col("at").alias("s"), (F.col("at") + LENGTH).alias("e"))
 
-    runs = by_gram.unionByName(by_cell).unionByName(by_single).groupBy("rid").agg(
+    runs = by_gram.unionByName(by_cell).unionByName(by_single).groupBy(*OWNER).agg(
         F.collect_list(F.struct("s", "e")).alias("runs"))
-    same = F.xxhash64("text")
-    cut = (_own_texts(texts, runs, "runs").withColumn("same", same)
+    cut = (_own_texts(texts, runs, "runs")
            .mapInArrow(_kept, "rid long, same long, n_removed long, n_spans long, kept_sha256 string").distinct())
-    whole = texts.select("rid", same.alias("same"), F.octet_length("text").cast("long").alias("n_bytes"),
+    whole = texts.select(*OWNER, F.octet_length("text").cast("long").alias("n_bytes"),
                          F.sha2("text", 256).alias("whole"))
-    return whole.join(cut, ["rid", "same"], "left").select(
+    return whole.join(cut, OWNER, "left").select(
         F.when(F.col("rid") != LAST_ID, F.col("rid")).alias("doc_id"), "n_bytes",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),

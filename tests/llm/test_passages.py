@@ -99,3 +99,13 @@ def test_rows_that_share_an_id_and_place_do_not_remove_each_other(spark):
     rows = [(1, p), (1, p), (2, p[100:])]
     out = sorted(tuple(r) for r in remove_repeats(docs_of(spark, rows)).collect())
     assert [r[2] for r in out] == [0, 0, 200]
+
+
+def test_unlike_texts_under_one_id_are_documents_of_their_own(spark):
+    p, q = passage(300, 9), passage(150, 10)
+    # the long text of id 5 repeats beyond the end of the short one; the null-id texts are equal at the same place
+    rows = [(1, p), (5, passage(400, 11) + p), (5, q), (None, passage(200, 12)), (None, passage(200, 12) + passage(90, 13))]
+    out = {r["n_bytes"]: (r["doc_id"], r["n_removed"], r["n_spans"]) for r in remove_repeats(docs_of(spark, rows)).collect()}
+    removed = {n: out[n] for n in (300, 700, 150)}
+    assert removed == {300: (1, 0, 0), 700: (5, 300, 1), 150: (5, 0, 0)}
+    assert out[200][0] is None and sorted([out[200][1], out[290][1]]) == [0, 200]
