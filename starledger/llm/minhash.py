@@ -19,17 +19,25 @@ densification, banded buckets and star-shaped candidate edges.
    of other components, until a round finds no link.  Buckets of up to NEXT + 1
    members are thus compared completely; buckets of more than CELL members are
    sorted in cells of equal first keys.
-5. Links are confirmed on the full sets: 100 * intersection >= 75 * union.
+5. The members of larger buckets that are still in several components go through
+   an exact set-similarity join.  Shingles are ordered from rare to common; two
+   sets of a and b shingles that link share at least o = 3 / 7 * (a + b) of them,
+   so their first common one is among the first a - o + 1 and b - o + 1.  Sets
+   meet by (shingle, both size classes) there, when their components differ and
+   what follows that shingle can still make up o.  A family whose common part is
+   too small for a link has it behind those first ones, and doesn't meet by it.
+6. Links are confirmed on the full sets: 100 * intersection >= 75 * union.
 
-Cases: a null id counts as the largest id and is returned as null; rows that
-share an id are judged by their own texts, sets with one smallest id are one
-vertex; a null or empty text, or one of white space, has an
-empty set and links with nothing; a text of fewer than five words is one
+A vertex is an (id, text hash), numbered in the order of the ids.  Cases: a null
+id counts as the largest id and is returned as null; rows that share an id are
+judged by their own texts, of which each is a vertex; a null or empty text, or
+one of white space, has an empty set and links with nothing; a text of fewer than five words is one
 shingle; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +57,14 @@ NEXT = 6
 DEPTH = 4
 #: members of a bucket that are put in order together
 CELL = 1000
-LAST_ID = (1 << 63) - 1
+#: shingle counts are kept in 2**COUNT_BITS slots; any order of the shingles is exact, this one puts common ones last
+COUNT_BITS = 18
+#: sizes from here on share a class with those up to STEP times as large
+FINE, STEP = 64, 1.03
+
+
+#: what tells rows apart: the id (0 for null), whether it is null, and the text's hash
+ROW = ["id", "none", "same"]
 
 
 def densified(sets: list[np.ndarray]) -> np.ndarray:
@@ -94,8 +109,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             b = np.array([mix64(s ^ salt).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column("rid"), pa.array(n), pa.array(a), pa.array(b), bands],
-                ["rid", "n_shingles", "set_a", "set_b", "bands"])
+                [*(part.column(c) for c in ROW), pa.array(n), pa.array(a), pa.array(b), bands],
+                [*ROW, "n_shingles", "set_a", "set_b", "bands"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,24 +152,118 @@ def _alike_in_size(a: str, b: str):
     return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
 
 
+def _needed(a, b):
+    """Shingles that sets of a and b of them share at least when they link."""
+    return -(-PERCENT * (a + b) // (100 + PERCENT))
+
+
+def size_class(n: int) -> int:
+    return n if n < FINE else FINE + math.floor(math.log(n / FINE) / math.log(STEP))
+
+
+def class_start(c: int) -> int:
+    """No set of the class is smaller."""
+    return c if c < FINE else math.floor(FINE * STEP ** (c - FINE))
+
+
+def prefixes(n: int) -> list[tuple[int, int]]:
+    """(partner's size class, how many of the first shingles can be the first
+    common one) for a set of ``n``."""
+    least, most = -(-PERCENT * n // 100), 100 * n // PERCENT
+    return [(c, n - _needed(n, max(class_start(c), least)) + 1) for c in range(size_class(least), size_class(most) + 1)]
+
+
+def _slot(shingle: np.ndarray) -> np.ndarray:
+    return (shingle >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            sets = shingle_sets(*utf8_buffers(part.column("text")))
+            slot, n = np.unique(_slot(np.concatenate(sets)), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n)], ["slot", "n"])
+
+
+def _first_shingles(texts: DataFrame) -> DataFrame:
+    """texts (rid, label, text) -> key (shingle and both size classes), rid,
+    label, n, place, side (the own class is the smaller, the same, the larger)."""
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    for r in texts.mapInArrow(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        counts[r["slot"]] = r["n"]  # at most 2**COUNT_BITS rows
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                keys, row, place, side = [], [], [], []
+                sets = shingle_sets(*utf8_buffers(part.column("text")))
+                for i, s in enumerate(sets):
+                    s, own = s[np.argsort(counts[_slot(s)], kind="stable")], size_class(len(s))
+                    for c, n in prefixes(len(s)):
+                        both = np.array([min(own, c) << 32 | max(own, c)], np.uint64)
+                        keys.append(mix64(s[:n] + mix64(both)))
+                        row.append(np.full(n, i))
+                        place.append(np.arange(n))
+                        side.append(np.full(n, (own > c) - (own < c)))
+                row = np.concatenate(row)
+                size = np.fromiter(map(len, sets), np.int64, len(sets))[row]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys).view(np.int64)), part.column("rid").take(pa.array(row)),
+                     part.column("label").take(pa.array(row)), pa.array(size.astype(np.int32)),
+                     pa.array(np.concatenate(place).astype(np.int32)), pa.array(np.concatenate(side).astype(np.int8))],
+                    ["key", "rid", "label", "n", "place", "side"])
+
+    return texts.mapInArrow(first, "key long, rid long, label long, n int, place int, side byte")
+
+
+def _meeting(texts: DataFrame) -> DataFrame:
+    """texts (rid, label, text) -> every pair (u < v) of different labels that
+    can link.  Of a key's labels the one with most members doesn't meet itself,
+    so a large component costs as much as the others have members."""
+    first = written(_first_shingles(texts), "first-shingles")
+    labels = first.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = written(labels.groupBy("key").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("k"))
+                   .where("k > 1").select("key", F.col("m.label").alias("main")), "shared-shingles")
+    shared = first.join(main, "key")
+    p, q = shared.where("label <> main").alias("p"), shared.alias("q")
+    left = F.least(F.col("p.n") - F.col("p.place"), F.col("q.n") - F.col("q.place"))
+    return (p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.label") != F.col("q.label"))
+                   & ((F.col("q.label") == F.col("q.main")) | (F.col("p.label") < F.col("q.label")))
+                   & (F.col("p.side") + F.col("q.side") == 0)
+                   & ((100 + PERCENT) * left >= PERCENT * (F.col("p.n") + F.col("q.n"))))
+            .select(F.least("p.rid", "q.rid").alias("u"), F.greatest("p.rid", "q.rid").alias("v")).distinct())
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
+    return judged(docs, id_col=id_col, text_col=text_col).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judged(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, same (the text's xxhash64), n_shingles, component_id, kept."""
     ship_package(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("rid"),
-                       F.col(text_col).alias("text"))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("none"),
+                       F.xxhash64(F.col(text_col)).alias("same"), F.col(text_col).alias("text"))
     sketch = written(rows.mapInArrow(
-        _sketch, "rid long, n_shingles long, set_a long, set_b long, bands array<long>"), "sketch")
+        _sketch, "id long, none boolean, same long, n_shingles long, set_a long, set_b long, bands array<long>"), "sketch")
     key = ["n_shingles", "set_a", "set_b"]
-    heads = sketch.where("n_shingles > 0").groupBy(*key).agg(F.min("rid").alias("head"))
-    sets = written(sketch.where("n_shingles > 0").join(heads, key).where("rid = head")
-                   .dropDuplicates(["rid", *key]).select("rid", "n_shingles", "bands"), "sets")
+    # ascending numbers in the order of the ids, null last
+    vertices = written(sketch.select(*ROW).distinct().sort("none", "id", "same")
+                       .withColumn("rid", F.monotonically_increasing_id()), "vertices")
+    numbered = written(sketch.select(*ROW, *key).join(vertices, ROW), "numbered")
+    heads = (numbered.where("n_shingles > 0").groupBy(*key).agg(F.min(F.struct("rid", *ROW)).alias("h"))
+             .select(*key, F.col("h.rid").alias("head"), *[F.col(f"h.{c}").alias(f"head_{c}") for c in ROW]))
+    heads = written(heads, "heads")
+    of_head = F.expr(" AND ".join(f"{c} = head_{c}" for c in ROW))
+    sets = written(sketch.where("n_shingles > 0").join(heads, key).where(of_head)
+                   .select(F.col("head").alias("rid"), *ROW, "n_shingles", "bands").dropDuplicates(["rid"]), "sets")
     shared = (sets.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("bucket"))
     members = written(sets.select("rid", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
                       .join(shared, "bucket"), "buckets")
     ids = members.select("rid").distinct()
-    texts = written(rows.join(ids, "rid").withColumn("same", F.xxhash64("text")).dropDuplicates(["rid", "same"])
-                    .drop("same"), "texts")
+    texts = written(rows.join(sets.join(ids, "rid").select(*ROW, "rid"), ROW).dropDuplicates(ROW).select("rid", "text"),
+                    "texts")
     labels = written(ids.select("rid", F.col("rid").alias("label")), "labels")
 
     centres = members.groupBy("bucket").agg(F.min(F.struct("rid", "n_shingles")).alias("c")).select(
@@ -191,9 +300,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         tested = tested.unionByName(pairs)
         labels = _relabel(labels, links)
 
-    named = heads.join(labels.withColumnRenamed("rid", "head"), "head", "left").select(
-        *key, F.coalesce("label", "head").alias("component"))
-    found = sketch.drop("bands").join(named, key, "left").withColumn("component", F.coalesce("component", "rid"))
-    real = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
-    return found.select(real("rid").alias("doc_id"), "n_shingles", real("component").alias("component_id"),
-                        (F.col("rid") == F.col("component")).alias("kept"))
+    larger = (members.join(labels, "rid").groupBy("bucket")
+              .agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"))
+              .where("x <> y").where(F.col("n") > NEXT + 1).select("bucket"))
+    asked = written(members.join(larger, "bucket").select("rid").distinct().join(labels, "rid"), "asked")
+    if not asked.isEmpty():
+        pairs = _meeting(written(texts.join(asked, "rid"), "asked-texts")).join(tested, ["u", "v"], "left_anti")
+        labels = _relabel(labels, written(_links(pairs, texts), "links"))
+
+    real = F.when(~F.col("none"), F.col("id"))
+    named = (heads.join(labels.join(vertices.select(F.col("rid").alias("label"), real.alias("label_id")), "label")
+                        .withColumnRenamed("rid", "head"), "head", "left")
+             .select(*key, F.coalesce("label", "head").alias("component"),
+                     F.when(F.col("label").isNotNull(), F.col("label_id"))
+                     .when(~F.col("head_none"), F.col("head_id")).alias("component_id")))
+    # an empty set is alone
+    return numbered.join(named, key, "left").select(
+        real.alias("doc_id"), "same", "n_shingles",
+        F.when(F.col("component").isNull(), real).otherwise(F.col("component_id")).alias("component_id"),
+        (F.col("rid") == F.coalesce("component", "rid")).alias("kept"))

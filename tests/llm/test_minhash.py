@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -7,6 +8,7 @@ from helpers import MEDIUM, ODD, docs_of, near_duplicate_classes, shingles, text
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from starledger.llm import minhash
 from starledger.llm.common import table, utf8_buffers
 from starledger.llm.components import components
 from starledger.llm.minhash import BANDS, BINS, ROWS, band_keys, densified, near_duplicates
@@ -107,3 +109,45 @@ def test_odd_and_empty_tables(spark):
     assert by[7]["component_id"] == 6 and by[11]["component_id"] == 10 and by[15]["component_id"] == 14
     assert by[4]["n_shingles"] == 1 and by[None]["kept"] and by[None]["component_id"] is None
     assert near_duplicates(docs_of(spark, ODD).limit(0)).count() == 0
+
+
+def form_letters(n, mates, seed=0):
+    """Texts of 100 shingles, 82 of them shared by all (similarity 0.695);
+    ``mates`` share four more with the next (86 of 114: 0.754)."""
+    r = random.Random(seed)
+    form = " ".join(f"form{i}" for i in range(86))
+    rows = []
+    for i in range(n):
+        pair = i // 2 if i < 2 * mates else None
+        four = [f"pair{pair}x{j}" if pair is not None else f"own{i}x{j}" for j in range(4)]
+        rows.append((i, " ".join([form, *four, *(f"tail{i}x{j}" for j in range(14))])))
+    ids = r.sample(range(100_000), n)
+    want = {ids[i]: (100, min(ids[i], ids[i ^ 1]) if i < 2 * mates else ids[i]) for i in range(n)}
+    return [(ids[i], t) for i, t in rows], want
+
+
+def test_form_letters_unlike_the_centre_find_their_mates(spark):
+    rows, want = form_letters(2000, 400)
+    assert got(near_duplicates(docs_of(spark, rows, extra=False))) == want
+
+
+def test_form_letters_are_what_they_say():
+    rows, want = form_letters(60, 20)
+    assert near_duplicate_classes(rows) == want
+
+
+def test_first_shingles_of_linked_sets_meet():
+    for a in [*range(1, 90), 150, 333, 1000]:
+        own = dict(minhash.prefixes(a))
+        for b in range(-(-3 * a // 4), 4 * a // 3 + 1):
+            o = -(-3 * (a + b) // 7)
+            assert own[minhash.size_class(b)] >= a - o + 1
+            assert dict(minhash.prefixes(b))[minhash.size_class(a)] >= b - o + 1
+
+
+def test_unlike_texts_under_one_id_are_judged_apart(spark):
+    a, b = [" ".join(f"{c}{i}" for i in range(60)) for c in "ab"]
+    rows = [(1, a), (None, a + " more"), (None, b), (2, b + " more"), (3, "c d e f g h"), (3, "i j k l m n")]
+    out = near_duplicates(docs_of(spark, rows)).collect()
+    assert Counter((r["doc_id"], r["component_id"], r["kept"]) for r in out) == Counter(
+        [(1, 1, True), (None, 1, False), (None, 2, False), (2, 2, True), (3, 3, True), (3, 3, True)])
