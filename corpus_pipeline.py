@@ -8,7 +8,7 @@ stage's input.  All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starledger.llm import decontaminate, minhash, mixing, quality, sharding
@@ -22,30 +22,50 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(score(F.col("text")) >= quality.THRESHOLD)
 
 
+def _same() -> Column:
+    """What tells texts of one id, or without an id, apart."""
+    return F.xxhash64(F.col("text"))
+
+
+def _others(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c not in ("doc_id", "text")]
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group (10); rows
-    that repeat an id leave one, the smallest text."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """The document of the smallest id of each near-duplicate group (10); of
+    rows equal in id and text one stays, unlike texts under one id all do."""
+    kept = (minhash.judged(docs).where("kept")
+            .select(F.col("doc_id").alias("_kept"), F.col("same").alias("_kept_same")).distinct())
+    first = Window.partitionBy("doc_id", "_same").orderBy(*_others(docs))
+    return (docs.withColumn("_same", _same())
+            .join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("_same") == F.col("_kept_same")), "left_semi")
             .withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage (9)."""
+    rows = docs.select(F.struct("doc_id", _same().alias("same")).alias("doc_id"), "text")
     # written first: its size is then known, and a small list is broadcast without moving any text
-    found = written(decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-                    .select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    found = written(decontaminate.leaks(rows, table(spark, sf_dir, "benchmark"))
+                    .select(F.col("doc_id.doc_id").alias("_leak"), F.col("doc_id.same").alias("_leak_same")).distinct(), "leaks")
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_leak")) & (_same() == F.col("_leak_same")), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it (6); rows that share an id
-    are repeated alike."""
-    taken = (mixing.mix(docs).groupBy(F.col("doc_id").alias("_mixed"))
-             .agg(F.max("repetitions").alias("_times")).where("_times > 0"))
-    return (docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_mixed")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns))
+    """Every row as often as the mix takes it (6)."""
+    taken = written(mixing.mixed(docs).groupBy(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), "same")
+                    .agg(F.count(F.lit(1)).alias("_mix_rows"), F.sum("repetitions").alias("_mix_all"))
+                    .where("_mix_all > 0").withColumnRenamed("same", "_mix_same"), "taken")
+    ours = (F.col("doc_id").eqNullSafe(F.col("_mix_id")) & F.col("source").eqNullSafe(F.col("_mix_source"))
+            & (_same() == F.col("_mix_same")))
+    alone = docs.join(taken.where("_mix_rows = 1"), ours).withColumn("_times", F.col("_mix_all"))
+    # equal rows are taken equally often, or some of them once more
+    nth = F.row_number().over(Window.partitionBy("_mix_id", "_mix_source", "_mix_same").orderBy(*_others(docs)))
+    equal = (docs.join(taken.where("_mix_rows > 1"), ours).withColumn("_nth", nth)
+             .withColumn("_times", F.expr("_mix_all div _mix_rows + if(_nth <= _mix_all % _mix_rows, 1, 0)"))
+             .drop("_nth").where("_times > 0"))
+    return (alone.unionByName(equal)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns))
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,10 +58,17 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
         seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, source, size, source_size, target, repetitions, taken."""
+    return mixed(docs, weights=weights, share=share, max_epochs=max_epochs, seed=seed, id_col=id_col,
+                 text_col=text_col, source_col=source_col).drop("same")
+
+
+def mixed(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
+          seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """As ``mix``, and same (the text's xxhash64)."""
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     rows = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"),
-                               key.alias("key")), "mix-rows").withColumn("cell", F.substring("key", 1, CELL_DIGITS))
+                               key.alias("key"), F.xxhash64(F.col(text_col)).alias("same")), "mix-rows").withColumn("cell", F.substring("key", 1, CELL_DIGITS))
     cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     aims = targets(cells.groupBy("source").agg(F.sum("cell_size").alias("source_size")), weights, share, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -72,11 +79,11 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: float = S
     cut = (c.join(a, F.col("c.source").eqNullSafe(F.col("a.source")))
            .select(F.col("c.source").alias("cut_source"), F.col("c.cell").alias("cut_cell"), "cells_before",
                    "source_size", "target", "whole", "rest"))
-    inside = Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size").rowsBetween(
+    inside = Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size", "same").rowsBetween(
         Window.unboundedPreceding, -1)
     ranked = rows.withColumn("words_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     more = (F.col("cells_before") + F.col("words_before") + F.col("size") / 2 <= F.col("rest")).cast("long")
     return (ranked.join(cut, F.col("source").eqNullSafe(F.col("cut_source")) & (F.col("cell") == F.col("cut_cell")))
             .withColumn("repetitions", F.col("whole") + more)
             .select("doc_id", "source", "size", "source_size", "target", "repetitions",
-                    (F.col("size") * F.col("repetitions")).alias("taken")))
+                    (F.col("size") * F.col("repetitions")).alias("taken"), "same"))

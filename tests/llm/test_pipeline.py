@@ -84,3 +84,23 @@ def test_odd_rows_and_extra_columns_pass_through(spark):
         assert empty.count() == 0 and empty.columns == docs.columns
     assert P.assign_shards(spark, docs, SF).count() == len(ODD)
     assert P.assign_shards(spark, docs.limit(0), SF).count() == 0
+
+
+def test_unlike_texts_under_a_null_or_repeated_id_are_judged_apart(spark):
+    leak = table(spark, SF, "benchmark").first()["text"]
+    text = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdefg"]
+    rows = [(None, t) for t in text[:3]] + [(4, text[3]), (4, text[4]), (5, text[5]), (5, text[5]), (6, text[0] + " end")]
+    found = P.drop_near_duplicates(spark, docs_of(spark, rows), SF).collect()
+    assert sorted(r["text"] for r in found) == sorted([text[1], text[2], text[3], text[4], text[5], text[0] + " end"])
+    rows = [(None, text[0]), (None, leak), (4, text[1]), (4, leak + " " + text[2])]
+    assert sorted(r["text"] for r in P.drop_leaks(spark, docs_of(spark, rows), SF).collect()) == sorted(text[:2])
+    rows = [(None if i % 2 else 1, f"{t} {'more ' * i}", "en", f"src{i % 3}") for i, t in enumerate(text * 3)]
+    rows += rows[:5]
+    docs = docs_of(spark, rows)
+    want = Counter()
+    for r in mix(docs).collect():
+        want[r["doc_id"], r["source"], r["size"]] += r["repetitions"]
+    size = {(r[0], r[3], r[1]): len(r[1].split()) for r in rows}
+    got = Counter((r["doc_id"], r["source"], size[r["doc_id"], r["source"], r["text"]])
+                  for r in P.mix_sources(spark, docs, SF).collect())
+    assert got == +want
