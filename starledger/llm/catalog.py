@@ -213,3 +213,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starledger.llm.passages import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op11_pointer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from starledger.llm.crosstok import alignment
+
+    return alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                     public_tokenizers.path("piece_bpe_32k.model"))
