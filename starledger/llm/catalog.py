@@ -223,3 +223,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                      public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_cut_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from starledger.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).boundaries()
