@@ -232,3 +232,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starledger.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).boundaries()
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starledger.llm.conversations import digests
+
+    return digests(table(spark, sf_dir, "conversations"))
