@@ -15,6 +15,7 @@ from ..operators.dedupe import keep_first
 from ..operators.merge import action_counts, merge_rows
 from ..operators.validate import split_quality, validate_batch
 from ..sources.events import flatten_envelope, payload_schema, split_dead_letters
+from ..sources.landing import land
 from . import adapter
 from . import fixtures as FX
 from .catalog import register
@@ -23,6 +24,17 @@ from .gold import star_tables
 COMPARE_COLS = [c for c in C.FACT_TRANSACTIONS.names if c != "transaction_id"]
 
 
+# -- landing (S1, S2, Q9) --------------------------------------------------------
+@register("land_by_header")
+def q_land_by_header(spark, sf_dir):
+    """Accounts landed from CSV files of three layouts; records of the wrong
+    width as dead letters."""
+    landed = land(spark, FX.account_files(spark, sf_dir), C.DIM_ACCOUNT, FX.PROCESSED_AT)
+    rows = landed.rows.withColumn("note", F.try_element_at("_extra", F.lit("note"))).drop("_source_file", "_extra")
+    dead = landed.dead_letters.select("raw_record", "error", "_ingested_at_utc")
+    return rows.unionByName(dead, allowMissingColumns=True)
+
+
 # -- conform / dedupe (P1-P5, W1, U2) --------------------------------------------
 @register("conform_txn")
 def q_conform_txn(spark, sf_dir):

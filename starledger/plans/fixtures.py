@@ -97,3 +97,27 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(eid, eid.cast("string").alias("key"), value.alias("value"),
                     F.lit(adapter.TOPIC).alias("topic"), (eid % 3).cast("int").alias("partition"),
                     eid.alias("offset"))
+
+
+def account_files(spark: SparkSession, sf_dir: str) -> str:
+    """dim_account as CSV files of three layouts: as contracted; reversed with a
+    column more; without the nullable age_band, and every tenth record of these
+    cut short by a field.  Returns the folder."""
+    import uuid
+
+    from ..session import work_path
+
+    root = work_path(spark, "landing", uuid.uuid4().hex)
+    names = star_tables(spark, sf_dir)["dim_account"].columns
+    accounts = star_tables(spark, sf_dir)["dim_account"].select(*[F.col(c).cast("string").alias(c) for c in names])
+    key = F.col("account_key").cast("long")
+    accounts.where(key % 3 == 0).write.option("header", True).csv(f"{root}/a")
+    (accounts.where(key % 3 == 1).select(F.concat(F.lit("no. "), "account_key").alias("note"), *reversed(names))
+     .write.option("header", True).csv(f"{root}/b"))
+    short = [c for c in names if c != "age_band"]
+    line = F.concat_ws(",", *short)
+    cut = F.when(key % 10 == 0, F.concat_ws(",", *short[:-1])).otherwise(line)
+    # one column whose name is the header line: records of any width
+    (accounts.where(key % 3 == 2).select(cut.alias(",".join(short)))
+     .write.options(header=True, sep="\u0001", quote="\u0002").csv(f"{root}/c"))
+    return f"{root}/*"

@@ -109,6 +109,20 @@ def P(sql: str) -> str:
     return with_adapter(PIPE_CTES, sql)
 
 
+# -- landing -----------------------------------------------------------------------
+_ACCOUNT = [c.name for c in C.DIM_ACCOUNT.columns]
+_SHORT = [c for c in _ACCOUNT if c != "age_band"]
+_LANDED = ", ".join(f"CASE WHEN k % 3 <> 2 THEN age_band END AS {c}" if c == "age_band" else f"CAST({c} AS VARCHAR) AS {c}"
+                    for c in _ACCOUNT)
+ORACLE["land_by_header"] = with_adapter("accounts AS (SELECT *, account_key AS k FROM dim_account)", f"""
+SELECT {_LANDED}, CASE WHEN k % 3 = 1 THEN 'no. ' || k END AS note, '2024-01-01T00:00:00.000Z' AS _ingested_at_utc,
+       CAST(NULL AS VARCHAR) AS raw_record, CAST(NULL AS VARCHAR) AS error
+FROM accounts WHERE NOT (k % 3 = 2 AND k % 10 = 0)
+UNION ALL
+SELECT {', '.join('NULL' for _ in _ACCOUNT)}, NULL, '2024-01-01T00:00:00.000Z',
+       concat_ws(',', {', '.join(f'CAST({c} AS VARCHAR)' for c in _SHORT[:-1])}), 'wrong_number_of_fields'
+FROM accounts WHERE k % 3 = 2 AND k % 10 = 0""")
+
 # -- conform / dedupe ----------------------------------------------------------
 ORACLE["conform_txn"] = P(f"SELECT {', '.join(FACT_COLS)} FROM conf")
 ORACLE["conform_lineage"] = P("SELECT * FROM conf")

@@ -83,3 +83,35 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return "\n".join(lines)
     finally:
         stream.close()
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Files under a file, folder or glob, without hidden ones and markers."""
+    hadoop, p = _jpath(spark, path)
+    found = hadoop.globStatus(p)
+    names = []
+    for st in found or []:
+        if st.isDirectory():
+            names += [name for name, _, _ in file_info(spark, st.getPath().toString())]
+        else:
+            names.append(st.getPath().toString())
+    return sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", ".")))
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file that isn't blank (decompressed by its
+    name's ending); None when there is none."""
+    hadoop, p = _jpath(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = hadoop.open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+            spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+        raw = codec.createInputStream(stream) if codec is not None else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8"))
+        line = reader.readLine()
+        while line is not None and not line.strip():
+            line = reader.readLine()
+        return line
+    finally:
+        stream.close()

@@ -7,16 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import TableContract
+from .landing import land
 from .store import write_layer
 
 
 def land_csv(spark: SparkSession, path: str, contract: TableContract, run_ts: str) -> DataFrame:
-    """CSV with header, every field a string, only empty -> NULL (no NA
-    token list, X19); lineage: one run timestamp and the source file name."""
-    df = (spark.read.schema(contract.string_schema()).option("header", True)
-          .option("nullValue", "").option("emptyValue", "").option("mode", "PERMISSIVE").csv(path))
-    return df.select(*contract.names, F.lit(run_ts).alias("_ingested_at_utc"),
-                     F.col("_metadata.file_name").alias("_source_file"))
+    """The well-formed rows of ``landing.land``: contract columns by
+    header name, every field a string, lineage.  Use ``land`` itself for the
+    records of the wrong width and the columns beyond the contract."""
+    return land(spark, path, contract, run_ts).rows.drop("_extra")
 
 
 def read_layer(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
