@@ -298,6 +298,28 @@ def q_quarantine_reconcile(spark, sf_dir):
                         (F.col("silver_rows") + F.col("quarantine_rows") == F.col("new_rows")).cast("int"))
 
 
+@register("published_batches")
+def q_published_batches(spark, sf_dir):
+    """Events of three batches, one of them replayed; the try of
+    a fourth batch that was never published stays unseen."""
+    import uuid
+
+    from ..session import work_path
+    from ..sources import batches as B
+
+    events = FX.silver_candidates(spark, sf_dir).select("transaction_id", "_kafka_partition", "_kafka_offset")
+    root = work_path(spark, "batches", uuid.uuid4().hex)
+    for p in (0, 1, 2):
+        B.write_batch_partition(events.where(F.col("_kafka_partition") == p), root, f"p{p}")
+    B.write_batch_partition(events.where(F.col("_kafka_partition") == 1), root, "p1")
+    B.write_attempt(events.where(F.col("_kafka_partition") == 2), root, "p3")
+    parts = [B.read_batch(spark, root, b, events.columns) for b in B.list_batches(spark, root)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 # -- validation and merge (I11, I13, I19) ------------------------------------------
 def _validated(spark, sf_dir) -> DataFrame:
     return validate_batch(FX.staged_batch(spark, sf_dir), star_tables(spark, sf_dir))

@@ -351,6 +351,9 @@ SELECT n AS new_rows, s AS silver_rows, q AS quarantine_rows, CAST(s + q = n AS
   SELECT (SELECT count(*) FROM conf) AS n, (SELECT count(*) FROM dq_ranked WHERE _rn = 1) AS s,
          (SELECT count(*) FROM quarantine) AS q)""")
 
+ORACLE["published_batches"] = P("""
+SELECT transaction_id, _kafka_partition, _kafka_offset, 'p' || _kafka_partition AS silver_batch_id FROM conf""")
+
 # -- validation and merge ------------------------------------------------------------
 ORACLE["fk_reject"] = P("SELECT _kafka_partition, _kafka_offset, transaction_id, reject_reason FROM validated")
 ORACLE["reject_counts"] = P(

@@ -67,6 +67,23 @@ def write_bytes(spark: SparkSession, path: str, data: bytes, overwrite: bool = T
         out.close()
 
 
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole: written under a hidden name, then renamed, so
+    no reader sees half of it.  False when ``path`` exists already."""
+    import uuid
+
+    fs, p = _jpath(spark, path)
+    if fs.exists(p):
+        return False
+    folder, name = path.rsplit("/", 1)
+    hidden = f"{folder}/_{name}.{uuid.uuid4().hex}"
+    write_text(spark, hidden, text)
+    if fs.rename(_jpath(spark, hidden)[1], p):
+        return True
+    delete(spark, hidden)
+    return False
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _jpath(spark, path)
     if not fs.exists(p):

@@ -1,14 +1,13 @@
-"""Layer I/O: untyped landing of source files (S1-S3), layer scans (S4),
-partitioned batch sinks (S11-S14)."""
+"""Layer I/O: untyped landing of source files (S1-S3), layer scans (S4), the
+warehouse load (S15).  Batch sinks (S11-S14) are in ``batches``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..contracts import TableContract
+from .batches import list_batches, read_batch, write_batch_partition
 from .landing import land
-from .store import write_layer
 
 
 def land_csv(spark: SparkSession, path: str, contract: TableContract, run_ts: str) -> DataFrame:
@@ -24,25 +23,6 @@ def read_layer(spark: SparkSession, path: str, columns: list[str] | None = None)
     return df.select(*columns) if columns else df
 
 
-def write_batch_partition(df: DataFrame, root: str, batch_id: str, partition_col: str = "silver_batch_id") -> dict:
-    """Write one batch, replacing its partition folder.  A retry whose
-    side has become empty leaves an empty partition, never the old rows."""
-    return write_layer(df.drop(partition_col), f"{root}/{partition_col}={batch_id}")
-
-
-def list_batches(spark: SparkSession, root: str, partition_col: str = "silver_batch_id") -> list[str]:
-    """Batch ids on disk, in order (partition folders, no data scan)."""
-    from . import fs
-    prefix = f"{partition_col}="
-    return sorted(d[len(prefix):] for d in fs.list_dirs(spark, root) if d.startswith(prefix))
-
-
-def read_batch(spark: SparkSession, root: str, batch_id: str, columns: list[str],
-               partition_col: str = "silver_batch_id") -> DataFrame:
-    """Exactly one batch, only the needed columns (partition pruning)."""
-    return spark.read.parquet(root).where(F.col(partition_col) == batch_id).select(*columns, partition_col)
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None, batch_size: int = 50000,
                truncate: bool = True) -> None:
     """Optional load of a layer table into an external warehouse table
@@ -53,3 +33,6 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.save()
+
+
+__all__ = ["land_csv", "read_layer", "write_jdbc", "write_batch_partition", "list_batches", "read_batch"]

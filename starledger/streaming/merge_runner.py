@@ -22,7 +22,7 @@ from ..operators.merge import merge_fact, merge_rows
 from ..operators.star import broadcast_if_small
 from ..operators.surrogate import assign_surrogate
 from ..operators.validate import validate_batch
-from ..sources.layers import list_batches, read_batch, write_batch_partition
+from ..sources.batches import list_batches, read_batch, write_batch_partition
 from ..sources.store import Partitioned, VersionedStore
 
 COMPARE_COLS = [c for c in FACT_TRANSACTIONS.names if c != "transaction_id"]

@@ -17,6 +17,7 @@ One Structured Streaming query with ``foreachBatch``:
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from ..operators.conform import conform, with_batch_metadata
 from ..operators.incremental import batch_bounds
 from ..operators.validate import flag_quality, split_flagged
 from ..sources.events import flatten_envelope, read_events, split_dead_letters
-from ..sources.layers import write_batch_partition
+from ..sources.batches import publish, write_attempt
 
 
 @dataclass
@@ -69,20 +70,25 @@ def process_batch(batch: DataFrame, batch_id: str | None, roots: dict[str, str])
         batch_id = batch_id or offset_batch_id(batch)
         good, dlq = split_dead_letters(batch, consumed_at)
         good = good.persist()
+        written = {"dlq": dlq}
         if "bronze" in roots:
-            write_batch_partition(good, roots["bronze"], batch_id)
-        dlq_info = write_batch_partition(dlq, roots["dlq"], batch_id)
+            written["bronze"] = good
         types = {f.name: f.dataType for f in LINEAGE_SCHEMA.fields}
         events = conform(flatten_envelope(good), FACT_TRANSACTIONS, list(types), types)
         events = with_batch_metadata(events, batch_id, consumed_at)
         flagged = flag_quality(events).persist()        # one dedupe per batch, two sinks
         clean, quarantine = split_flagged(flagged)
-        s = write_batch_partition(clean, roots["silver"], batch_id)
-        q = write_batch_partition(quarantine, roots["quarantine"], batch_id)
+        # all sinks are written before any is published, silver last: the loader
+        # starts from it, so it never meets a batch whose other sinks are older
+        written |= {"quarantine": quarantine, "silver": clean}
+        attempt = uuid.uuid4().hex
+        done = {sink: write_attempt(df, roots[sink], batch_id, attempt) for sink, df in written.items()}
+        for sink, info in done.items():
+            publish(batch.sparkSession, roots[sink], info)
         n = batch.count()
         flagged.unpersist()
         good.unpersist()
-        return BatchSummary(batch_id, n, dlq_info["rows"], s["rows"], q["rows"])
+        return BatchSummary(batch_id, n, done["dlq"]["rows"], done["silver"]["rows"], done["quarantine"]["rows"])
     finally:
         batch.unpersist()
 
