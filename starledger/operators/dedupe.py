@@ -67,16 +67,18 @@ def flag_duplicates(df: DataFrame, keys: list[str], order_by: list[str | Column]
     survivor is first (or last) by ``order_by``, ``identity``, then every other
     column; of rows equal in all of them (an at-least-once replay of one event)
     exactly one survives.  Rows with a NULL key get ``flag`` = False."""
-    agg = F.max if latest else F.min
     rest = [c for c in df.columns if c not in {*keys, *identity}]
     rank = F.struct(*_order_struct([*order_by, *identity, *rest]))
-    winners = (df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-               .groupBy(*keys).agg(agg(rank).alias("_winner")).withColumn("_salt", F.lit(0)))
-    joined = (df.withColumn("_salt", null_salt(keys, identity)).join(winners, [*keys, "_salt"], "left")
-              .withColumn("_best", rank.eqNullSafe(F.col("_winner"))))
+    whole = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    # most keys occur once: a count finds the others, and only their rows are compared
+    several = (whole.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
+               .withColumn("_salt", F.lit(0)))
+    salted = df.withColumn("_salt", null_salt(keys, identity))
+    once = salted.join(several, [*keys, "_salt"], "left_anti").drop("_salt").withColumn(flag, F.lit(False))
+    rivals = whole.join(several.drop("_salt"), keys, "left_semi")
+    winners = rivals.groupBy(*keys).agg((F.max if latest else F.min)(rank).alias("_winner"))
+    judged = rivals.join(winners, keys).withColumn("_best", rank == F.col("_winner"))
     # replays of the winner are numbered; other rows are spread by their hash
-    copies = Window.partitionBy(*keys, "_salt", "_best", F.when(~F.col("_best"), F.xxhash64(*identity, *rest))).orderBy(F.lit(1))
-    nth = F.row_number().over(copies)
-    return (joined.withColumn(flag, F.when(F.col("_winner").isNull(), F.lit(False))
-                              .otherwise(~F.col("_best") | (nth > 1)))
-            .drop("_winner", "_best", "_salt"))
+    copies = Window.partitionBy(*keys, "_best", F.when(~F.col("_best"), F.xxhash64(*identity, *rest))).orderBy(F.lit(1))
+    judged = judged.withColumn(flag, ~F.col("_best") | (F.row_number().over(copies) > 1)).drop("_winner", "_best")
+    return once.select(*df.columns, flag).unionByName(judged.select(*df.columns, flag))
