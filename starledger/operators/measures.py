@@ -183,7 +183,8 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
                 measures: list[str], fact_by: list[str] = (), where: Column | None = None,
                 how: str = "inner", blank: str | None = None, dates: DataFrame | None = None,
                 date_attrs: list[str] = (), post: list[tuple[DataFrame, str, str, list[str]]] = (),
-                having: Column | None = None, order: list[Column] | None = None, top: int | None = None) -> DataFrame:
+                having: Column | None = None, order: list[Column] | None = None, top: int | None = None,
+                totals: str | None = None) -> DataFrame:
     """Measures grouped by attributes of one (possibly large) dimension, with
     the fact aggregated by the foreign key *before* the join (eager
     aggregation): the join then sees one row per member instead of one per
@@ -191,19 +192,21 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
     and a member holding a third of all rows is reduced by partial
     aggregation before any exchange.  Results equal ``query(star(...))``.
 
-    Distinct counts are supported when their column is the foreign key.
-    ``dates``/``date_attrs`` and ``post`` add bounded dimensions (calendar,
-    clock, ...): they are joined to the fact first, so that it is reduced to
-    their few attributes and not to their raw keys."""
+    Distinct counts of the foreign key itself are counted after the join.
+    Distinct counts of other keys, and any distinct count with ``totals``
+    ('rollup' or 'cube', as in ``query``), go through bitmaps, which merge: see
+    ``_from_bitmaps``.  ``dates``/``date_attrs`` and ``post`` add bounded
+    dimensions (calendar, clock, ...): they are joined to the fact first, so
+    that it is reduced to their few attributes and not to their raw keys."""
     ms = [MEASURES[m] for m in measures]
     needs: list[str] = []
     for m in ms:
         for b in m.needs:
             if b not in needs:
                 needs.append(b)
-    for b in needs:
-        if b in _DISTINCT_COL and _DISTINCT_COL[b] != fk:
-            raise ValueError(f"measure base {b!r} is not decomposable when pre-aggregating on {fk!r}")
+    distinct = [b for b in needs if b in _DISTINCT_COL]
+    merge = bool(totals) or any(_DISTINCT_COL[b] != fk for b in distinct)
+    others = [_DISTINCT_COL[b] for b in distinct if _DISTINCT_COL[b] != fk]
     src = fact.where(where) if where is not None else fact
     if date_attrs:
         src = join_dim(src, dates, "date_key", "date_key", list(date_attrs))
@@ -213,23 +216,66 @@ def query_eager(fact: DataFrame, dim: DataFrame, fk: str, pk: str, attrs: list[s
         post_attrs += list(p_attrs)
     fact_keys = [*fact_by, *date_attrs, *post_attrs]
     partial = [BASE[b]().alias(f"__p_{b}") for b in needs if b not in _DISTINCT_COL]
-    pre = src.groupBy(fk, *fact_keys).agg(*partial) if partial else src.select(fk, *fact_keys).distinct()
+    pre_keys = [fk, *fact_keys, *others]
+    pre = src.groupBy(*pre_keys).agg(*partial) if partial else src.select(*pre_keys).distinct()
     mapping = {a: a for a in attrs} if isinstance(attrs, list) else dict(attrs)
     joined = join_dim(pre, dim, fk, pk, mapping, how, blank)
     by = [*date_attrs, *mapping.values(), *post_attrs, *fact_by]
-    final_aggs = []
-    for b in needs:
-        if b in _DISTINCT_COL:
-            final_aggs.append(F.count_distinct(F.col(fk)).alias(f"__{b}"))
-        else:
-            final_aggs.append(_merged(b))
-    grouped = joined.groupBy(*by).agg(*final_aggs)
-    out = grouped.select(*by, *[m.final().alias(m.name) for m in ms])
+    if merge:
+        grouped = _from_bitmaps(joined, by, needs, totals)
+    else:
+        final_aggs = [F.count_distinct(F.col(fk)).alias(f"__{b}") if b in _DISTINCT_COL else _merged(b) for b in needs]
+        grouped = joined.groupBy(*by).agg(*final_aggs)
+    level = ["grouping_level"] if totals else []
+    out = grouped.select(*by, *level, *[m.final().alias(m.name) for m in ms])
     out = out.where(having) if having is not None else out
     out = out.orderBy(*order) if order else out
     return out.limit(top) if top is not None else out
 
 
+def _grouping_sets(by: list[str], totals: str | None) -> list[list[str]]:
+    if totals == "rollup":
+        return [by[:n] for n in range(len(by), -1, -1)]
+    if totals == "cube":
+        return [[c for i, c in enumerate(by) if mask >> i & 1] for mask in range((1 << len(by)) - 1, -1, -1)]
+    return [by]
+
+
+def _from_bitmaps(pre: DataFrame, by: list[str], needs: list[str], totals: str | None) -> DataFrame:
+    """Base aggregates per group, and per grouping set of ``totals``, from
+    pre-aggregated rows that hold partial sums and the keys to be counted.
+
+    A key becomes a bit of the bitmap of its bucket (32,768 keys, 4 KB).  Bitmaps
+    of one bucket are merged by OR where sums are merged by addition, so
+    subtotals are made of the groups below them: no row is expanded once per
+    distinct count, and grouping sets see groups, not facts."""
+    distinct = [b for b in needs if b in _DISTINCT_COL]
+    sums = [f"__p_{b}" for b in needs if b not in _DISTINCT_COL]
+    if len(distinct) < 2:
+        key = F.col(_DISTINCT_COL[distinct[0]]).cast("long") if distinct else F.lit(None).cast("long")
+        rows = pre.select(*by, *sums, F.lit(0).alias("__kind"), key.alias("__key"))
+    else:       # one row per counted key; the sums go with the first
+        types = dict(pre.dtypes)
+        entries = [F.struct(F.lit(i).alias("__kind"), F.col(_DISTINCT_COL[b]).cast("long").alias("__key"),
+                            *[(F.col(p) if i == 0 else F.lit(None).cast(types[p])).alias(p) for p in sums])
+                   for i, b in enumerate(distinct)]
+        rows = pre.select(*by, F.inline(F.array(*entries)))
+    bucketed = rows.withColumn("__bucket", F.bitmap_bucket_number("__key")).withColumn("__bit", F.bitmap_bit_position("__key"))
+    inner = ["__kind", "__bucket"]
+    leaf = bucketed.groupBy(*by, *inner).agg(F.bitmap_construct_agg("__bit").alias("__bits"), *[F.sum(p).alias(p) for p in sums])
+    merged = [F.bitmap_or_agg("__bits").alias("__bits"), *[F.sum(p).alias(p) for p in sums]]
+    if totals:
+        # the two inner columns are in every set: the level is what stands left of them
+        groups = (leaf.groupingSets([[*s, *inner] for s in _grouping_sets(by, totals)], *by, *inner)
+                  .agg(*merged, F.shiftright(F.grouping_id(), len(inner)).cast("int").alias("grouping_level")))
+        keys = [*by, "grouping_level"]
+    else:
+        groups, keys = leaf, by
+    counted = [F.coalesce(F.sum(F.when(F.col("__kind") == i, F.bitmap_count("__bits"))), F.lit(0)).cast("long").alias(f"__{b}")
+               for i, b in enumerate(distinct)]
+    return groups.groupBy(*keys).agg(*[_merged(b) for b in needs if b not in _DISTINCT_COL], *counted)
+
+
 _COUNT_BASES = {"n", "declined", "fx", "fx_rate_n", "p2p", "daytime"}
 _MONEY_BASES = {"gross", "net", "fx_vol", "out_vol", "in_vol", "declined_vol", "weekend_vol", "weekday_vol"}
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..contracts import TIME_BUCKETS
 from ..functions import exact as X
 from ..functions import keys as K
+from ..operators import context as CX
 from ..operators import measures as M
 from ..operators import star as ST
 from ..operators import timeintel as TI
@@ -509,6 +510,100 @@ def q_same_day_last_month(spark, sf_dir):
     return d.select("full_date", "volume", "volume_same_day_last_month")
 
 
+def _days_by_account_attr(t, attr, where=None, with_location=False) -> DataFrame:
+    """Volume per (account attribute, day): the fact is reduced by account and
+    day before the account dimension is joined."""
+    per_day = M.query_eager(t["fact_transactions"], _account_dim(t, with_location), "account_key", "account_key", [attr],
+                            ["gross_volume"], fact_by=["date_key"], where=where).withColumnRenamed("gross_volume", "volume")
+    return TI.member_days(per_day, t["dim_date"], [attr])
+
+
+def _to_date_by(days, attr) -> DataFrame:
+    for grain, out in (("year", "volume_ytd"), ("quarter", "volume_qtd"), ("month", "volume_mtd")):
+        days = TI.to_date(days, "volume", grain, out, [attr])
+    return days.select(attr, "full_date", "volume", "volume_ytd", "volume_qtd", "volume_mtd")
+
+
+def _growth_by(days, attr) -> DataFrame:
+    m = TI.shift_period(TI.member_months(days, [attr]), "volume", -1, "volume_last_month", [attr])
+    m = TI.growth_ppm(m, "volume", "volume_last_month", "mom_growth_ppm")
+    return m.select(attr, "year", "month", "volume", "volume_last_month", "mom_growth_ppm")
+
+
+@register("to_date_by_tier")
+def q_to_date_by_tier(spark, sf_dir):
+    """M18, M19, M25 in the context of a customer tier."""
+    return _to_date_by(_days_by_account_attr(star_tables(spark, sf_dir), "customer_tier"), "customer_tier")
+
+
+@register("to_date_by_governorate")
+def q_to_date_by_governorate(spark, sf_dir):
+    """The same by governorate, under a slicer (declined transactions)."""
+    t = star_tables(spark, sf_dir)
+    return _to_date_by(_days_by_account_attr(t, "customer_governorate", F.col("is_declined") == 1, True), "customer_governorate")
+
+
+@register("growth_by_tier")
+def q_growth_by_tier(spark, sf_dir):
+    """M20, M21 in the context of a customer tier, under a slicer (FX)."""
+    return _growth_by(_days_by_account_attr(star_tables(spark, sf_dir), "customer_tier", F.col("is_fx") == 1), "customer_tier")
+
+
+@register("growth_by_governorate")
+def q_growth_by_governorate(spark, sf_dir):
+    t = star_tables(spark, sf_dir)
+    return _growth_by(_days_by_account_attr(t, "customer_governorate", None, True), "customer_governorate")
+
+
+@register("same_day_by_tier")
+def q_same_day_by_tier(spark, sf_dir):
+    days = _days_by_account_attr(star_tables(spark, sf_dir), "customer_tier")
+    d = TI.same_day_shifted(days, "volume", -1, "volume_same_day_last_month", ["customer_tier"])
+    return d.select("customer_tier", "full_date", "volume", "volume_same_day_last_month")
+
+
+# -- distinct counts that merge, totals from partials (A4, A15, M14-M16) ----------
+@register("merchants_by_governorate")
+def q_merchants_by_governorate(spark, sf_dir):
+    """Distinct merchants per customer governorate: counted off the key by which
+    the facts are reduced."""
+    return _by_account(spark, sf_dir, ["customer_governorate"], ["distinct_merchants", "active_accounts", "transaction_count"],
+                       with_location=True)
+
+
+@register("geo_drilldown")
+def q_geo_drilldown(spark, sf_dir):
+    """Governorate, city and grand total, non-additive measures included."""
+    return _by_account(spark, sf_dir, ["customer_governorate", "customer_city"],
+                       ["transaction_count", "gross_volume", "average_ticket", "active_accounts", "distinct_merchants",
+                        "avg_txn_per_account_ppm"], with_location=True, totals="rollup")
+
+
+@register("category_size_cube")
+def q_category_size_cube(spark, sf_dir):
+    return _by_merchant(spark, sf_dir, ["merchant_category", "merchant_size"],
+                        ["distinct_merchants", "active_accounts", "decline_rate_ppm"], totals="cube")
+
+
+# -- filter context (A13, M28, M29) ------------------------------------------------
+@register("share_in_context")
+def q_share_in_context(spark, sf_dir):
+    """Each visible category's share of all categories, under a date and a
+    category slicer; all-dates volume of the same category."""
+    t = star_tables(spark, sf_dir)
+    f = t["fact_transactions"].select("date_key", "merchant_key", "abs_amount_egp")
+    df = ST.join_dim(f, t["dim_merchant"], "merchant_key", "merchant_key", ["merchant_category"], "left", ST.BLANK)
+    context = {"date": CX.Filter(F.col("date_key").between(19950101, 19961231)),
+               "merchant": CX.Filter(F.col("merchant_category").isin("CAT_0", "CAT_3", "CAT_5"), ("merchant_category",))}
+    out = CX.in_context(df, context, {
+        "gross_volume": CX.Variant("gross_volume"),
+        "volume_all_categories": CX.Variant("gross_volume", ("merchant",)),
+        "volume_all_dates": CX.Variant("gross_volume", ("date",)),
+        "volume_overall": CX.Variant("gross_volume", ("date", "merchant")),
+        "average_ticket": CX.Variant("average_ticket")}, by=["merchant_category"])
+    return out.withColumn("volume_share_ppm", X.money_ratio_ppm("gross_volume", "volume_all_categories"))
+
+
 # -- access paths (P10, P11) ---------------------------------------------------
 @register("declined_only")
 def q_declined_only(spark, sf_dir):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..contracts import TIME_BUCKETS
 from ..operators.measures import CORE_KPIS
-from .oracle import (avg_money_sql, measures_sql, money_ppm_sql, ppm_sql, signed_ppm_sql, star_query,
+from .oracle import (STAR_SQL, avg_money_sql, measures_sql, money_ppm_sql, ppm_sql, signed_ppm_sql, star_query,
                      with_adapter)
 
 ORACLE: dict[str, str] = {}
@@ -225,3 +225,65 @@ ORACLE["account_activity"] = with_adapter(
 ORACLE["surrogate_keys"] = with_adapter(
     "SELECT transaction_id, CAST(row_number() OVER (ORDER BY transaction_id) AS BIGINT) AS transaction_sk "
     "FROM fact_transactions")
+
+
+# -- time intelligence per member --------------------------------------------------
+def _member_days(attr: str, where: str = "TRUE") -> str:
+    return f"""
+pd AS (SELECT {attr}, full_date, sum(abs_amount_egp) AS v FROM star WHERE {where} GROUP BY ALL),
+md AS (SELECT s.{attr}, d.full_date, d.year, d.quarter, d.month, CAST(p.v AS DECIMAL(38,2)) AS volume
+       FROM (SELECT {attr}, min(full_date) AS a, max(full_date) AS z FROM pd GROUP BY 1) s
+       JOIN dim_date d ON d.full_date BETWEEN s.a AND s.z
+       LEFT JOIN pd p ON p.{attr} = s.{attr} AND p.full_date = d.full_date)"""
+
+
+def _to_date_by(attr: str, where: str = "TRUE") -> str:
+    runs = ", ".join(
+        f"CAST(coalesce(sum(volume) OVER (PARTITION BY {attr}, {part} ORDER BY full_date), 0) AS DECIMAL(38,2)) AS volume_{n}td"
+        for n, part in (("y", "year"), ("q", "year, quarter"), ("m", "year, month")))
+    return with_adapter(f"{STAR_SQL}, {_member_days(attr, where)}", f"SELECT {attr}, full_date, volume, {runs} FROM md")
+
+
+def _growth_by(attr: str, where: str = "TRUE") -> str:
+    return with_adapter(f"""{STAR_SQL}, {_member_days(attr, where)},
+mm AS (SELECT {attr}, year, month, CAST(sum(volume) AS DECIMAL(38,2)) AS volume FROM md GROUP BY ALL),
+mp AS (SELECT c.*, p.volume AS volume_last_month FROM mm c LEFT JOIN mm p
+       ON p.{attr} = c.{attr} AND p.year * 12 + p.month = c.year * 12 + c.month - 1)""", f"""
+SELECT {attr}, year, month, volume, volume_last_month,
+       {signed_ppm_sql('CAST((coalesce(volume, 0) - volume_last_month) * 100 AS HUGEINT)', 'CAST(volume_last_month * 100 AS HUGEINT)')}
+         AS mom_growth_ppm FROM mp""")
+
+
+ORACLE["to_date_by_tier"] = _to_date_by("customer_tier")
+ORACLE["to_date_by_governorate"] = _to_date_by("customer_governorate", "is_declined = 1")
+ORACLE["growth_by_tier"] = _growth_by("customer_tier", "is_fx = 1")
+ORACLE["growth_by_governorate"] = _growth_by("customer_governorate")
+ORACLE["same_day_by_tier"] = with_adapter(f"{STAR_SQL}, {_member_days('customer_tier')}", """
+SELECT c.customer_tier, c.full_date, c.volume, p.volume AS volume_same_day_last_month
+FROM md c LEFT JOIN md p ON p.customer_tier = c.customer_tier AND p.full_date = CAST(c.full_date - INTERVAL 1 MONTH AS DATE)""")
+
+# -- distinct counts that merge, totals from partials ----------------------------------
+ORACLE["merchants_by_governorate"] = _grouped("customer_governorate", ["distinct_merchants", "active_accounts",
+                                                                        "transaction_count"])
+_DRILL = ["transaction_count", "gross_volume", "average_ticket", "active_accounts", "distinct_merchants",
+          "avg_txn_per_account_ppm"]
+ORACLE["geo_drilldown"] = star_query(f"""
+SELECT customer_governorate, customer_city, CAST(grouping(customer_governorate, customer_city) AS INTEGER) AS grouping_level,
+       {measures_sql(_DRILL)} FROM star GROUP BY ROLLUP (customer_governorate, customer_city)""")
+ORACLE["category_size_cube"] = star_query(f"""
+SELECT merchant_category, merchant_size, CAST(grouping(merchant_category, merchant_size) AS INTEGER) AS grouping_level,
+       {measures_sql(["distinct_merchants", "active_accounts", "decline_rate_ppm"])}
+FROM star GROUP BY CUBE (merchant_category, merchant_size)""")
+
+# -- filter context ----------------------------------------------------------------------
+ORACLE["share_in_context"] = star_query(f"""
+SELECT merchant_category, gross_volume, volume_all_categories, volume_all_dates, volume_overall, average_ticket,
+       {money_ppm_sql('gross_volume', 'volume_all_categories')} AS volume_share_ppm
+FROM (SELECT merchant_category, {measures_sql(["gross_volume", "average_ticket"])},
+             (SELECT CAST(sum(abs_amount_egp) AS DECIMAL(38,2)) FROM star WHERE date_key BETWEEN 19950101 AND 19961231)
+               AS volume_all_categories,
+             (SELECT CAST(sum(abs_amount_egp) AS DECIMAL(38,2)) FROM star) AS volume_overall
+      FROM star WHERE date_key BETWEEN 19950101 AND 19961231 AND merchant_category IN ('CAT_0', 'CAT_3', 'CAT_5')
+      GROUP BY merchant_category)
+JOIN (SELECT merchant_category AS c, CAST(sum(abs_amount_egp) AS DECIMAL(38,2)) AS volume_all_dates FROM star GROUP BY 1)
+  ON c = merchant_category""")
