@@ -11,6 +11,7 @@ from ..functions import keys as K
 from ..operators import dims as D
 from ..operators import incremental as INC
 from ..operators import quality as Q
+from ..operators import rawreport as RR
 from ..operators.dedupe import keep_first
 from ..operators.merge import action_counts, merge_rows
 from ..operators.validate import split_quality, validate_batch
@@ -135,6 +136,18 @@ def q_raw_length_check(spark, sf_dir):
     return out
 
 
+@register("raw_report")
+def q_raw_report(spark, sf_dir):
+    """Q9-Q18: the validation report over all eight raw tables, with examples
+    and statuses; the events' lineage columns are tolerated extras."""
+    tables = FX.raw_tables(spark, sf_dir)
+    out = None
+    for name, contract in C.STAR.items():
+        part = RR.table_report(name, tables[name], contract, tables, tolerated=tuple(FX.LINEAGE3))
+        out = part if out is None else out.unionByName(part)
+    return RR.with_status(out).withColumn("examples", F.array_join("examples", "; "))
+
+
 @register("dq_not_null")
 def q_dq_not_null(spark, sf_dir):
     return Q.row_checks(FX.dirty(spark, sf_dir), "fact_transactions",

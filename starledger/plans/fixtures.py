@@ -121,3 +121,13 @@ def account_files(spark: SparkSession, sf_dir: str) -> str:
     (accounts.where(key % 3 == 2).select(cut.alias(",".join(short)))
      .write.options(header=True, sep="\u0001", quote="\u0002").csv(f"{root}/c"))
     return f"{root}/*"
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All eight tables as raw text: the events with their faults, every tenth
+    merchant key turned into one that no merchant has."""
+    raw = {name: df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+           for name, df in star_tables(spark, sf_dir).items() if name != "fact_transactions"}
+    key = F.col("merchant_key")
+    lost = F.when(key.try_cast("int") % 10 == 0, F.concat(F.lit("-"), key)).otherwise(key)
+    return {**raw, "fact_transactions": dirty(spark, sf_dir).withColumn("merchant_key", lost)}

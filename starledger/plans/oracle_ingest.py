@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from .. import contracts as C
 from ..operators.quality import DATE_PATTERN, DECIMAL_PATTERN, INT_RANGES
 from .oracle import with_adapter
@@ -259,6 +261,55 @@ ORACLE["raw_decimal_check"] = P(_union(_raw_type_sql("fact_transactions", FACT,
 ORACLE["raw_length_check"] = P(_union(
     _length_sql("fact_transactions", FACT, "dirty")
     + [s for n in ("dim_account", "dim_merchant", "dim_time") for s in _length_sql(n, C.STAR[n], _strings(n))]))
+def _rows_sql(metric: str, pk: str) -> str:
+    """The offending rows of a count: check, column, example, weight."""
+    found = re.fullmatch(r"SELECT '(\w+)' AS table_name, '(\w+)' AS check_name, '(\w+)' AS column_name, 'error' AS severity, "
+                         r"count\(\*\) FILTER \(WHERE coalesce\((.*), false\)\) AS violations FROM (.*)", metric, re.S)
+    table, check, column, rule, src = found.groups()
+    return (f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{column}' AS column_name, "
+            f"concat_ws(': ', {pk}, coalesce({column}, '')) AS example, 1 AS w FROM {src} WHERE coalesce({rule}, false)")
+
+
+def _plain_sql(c: str) -> str:
+    return rf"NULLIF(regexp_replace(trim(CAST({c} AS VARCHAR)), '^\+?0*(\d)', '\1'), '')"
+
+
+def _raw_report_sql() -> str:
+    parts = []
+    for name, contract in C.STAR.items():
+        src = "raw_fact" if name == "fact_transactions" else _strings(name)
+        pk = contract.primary_key[0]
+        rules = [*_not_null_sql(name, contract, src, True), *_raw_type_sql(name, contract, src, None),
+                 *_length_sql(name, contract, src)]
+        nulls = [("primary_key_null", pk)] + [("foreign_key_null", fk.column) for fk in contract.foreign_keys
+                                              if fk.column in contract.required]
+        rules += [_metric(name, check, c, f"{c} IS NULL OR {c} = ''", src) for check, c in nulls]
+        parts += [_rows_sql(r, pk) for r in rules]
+        parts.append(f"SELECT '{name}', 'primary_key_duplicate', '{pk}', {pk}, count(*) - 1 FROM {src} "
+                     f"WHERE {pk} <> '' GROUP BY {pk} HAVING count(*) > 1")
+        parts += [f"SELECT '{name}', 'foreign_key_orphan', '{fk.column}', k, count(*) FROM (SELECT {_plain_sql(fk.column)} AS k "
+                  f"FROM {src}) WHERE k IS NOT NULL AND k NOT IN (SELECT {_plain_sql(fk.parent_column)} FROM {fk.parent}) GROUP BY k"
+                  for fk in contract.foreign_keys]
+    tables = _union([f"SELECT '{n}', 'rows', '*', 'info', count(*), '' FROM {'raw_fact' if n == 'fact_transactions' else n}"
+                     for n in C.STAR])
+    notes = _union([f"SELECT 'fact_transactions', 'header_tolerated', '{c}', 'note', 1, ''"
+                    for c in ("_kafka_topic", "_kafka_partition", "_kafka_offset")])
+    lost = ("CASE WHEN TRY_CAST(merchant_key AS INTEGER) % 10 = 0 THEN '-' || merchant_key ELSE merchant_key END AS merchant_key")
+    return P(f"""SELECT *, CASE WHEN count(*) FILTER (WHERE severity = 'error') OVER (PARTITION BY table_name) > 0
+                   THEN 'FAIL' ELSE 'PASS' END AS status
+FROM (
+  WITH raw_fact AS (SELECT * REPLACE ({lost}) FROM dirty),
+  found AS ({_union(parts)}),
+  summed AS (SELECT table_name, check_name, column_name, example, sum(w) AS w FROM found GROUP BY ALL),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY table_name, check_name, column_name ORDER BY example) AS nth FROM summed)
+  SELECT table_name, check_name, column_name, 'error' AS severity, CAST(sum(w) AS BIGINT) AS violations,
+         coalesce(string_agg(example, '; ' ORDER BY example) FILTER (WHERE nth <= 5), '') AS examples
+  FROM ranked GROUP BY ALL
+  UNION ALL {notes}
+  UNION ALL {tables})""")
+
+
+ORACLE["raw_report"] = _raw_report_sql()
 ORACLE["dq_not_null"] = P(_union(_not_null_sql("fact_transactions", FACT, "dirty", blank=True)))
 ORACLE["dq_domain"] = with_adapter(_union(
     [s for n in ("dim_date", "dim_time", "dim_account", "dim_merchant", "fact_transactions")
