@@ -370,7 +370,7 @@ def q_merge_summary(spark, sf_dir):
     the valid rows merged into the target (one tagged aggregate)."""
     v = _validated(spark, sf_dir)
     valid = v.where(F.col("reject_reason").isNull()).select(*C.FACT_TRANSACTIONS.names)
-    merged = merge_rows(FX.merge_target(spark, sf_dir), valid, "transaction_id", COMPARE_COLS)
+    merged = merge_rows(FX.merge_target(spark, sf_dir), FX.new_ids(valid), "transaction_id", COMPARE_COLS)
     tags = (v.select(F.when(F.col("reject_reason").isNull(), "valid").otherwise("rejected").alias("k"))
              .unionByName(merged.select(F.col("_action").alias("k"))))
     return tags.agg(

@@ -63,24 +63,27 @@ def staged_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphaned(silver_candidates(spark, sf_dir)).withColumn("_silver_processed_at_utc", F.lit(PROCESSED_AT))
 
 
+def new_ids(df: DataFrame) -> DataFrame:
+    """Ids ending in 3 become ids that no table has: transactions of their own."""
+    key = F.col("transaction_id")
+    return df.withColumn("transaction_id", F.when(F.substring(key, -1, 1) == "3", F.concat(key, F.lit("N"))).otherwise(key))
+
+
 def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = star_tables(spark, sf_dir)["fact_transactions"]
-    return f.where(F.col("transaction_type_key") <= 3).select(*FACT_TRANSACTIONS.names)
+    """The whole fact."""
+    return star_tables(spark, sf_dir)["fact_transactions"].select(*FACT_TRANSACTIONS.names)
 
 
 def merge_batch_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Types 3-5: type 3 overlaps the target; ids ending in 1 carry an amount
-    correction, ids ending in 2 of type 3 get an ACH id (NULL -> value)."""
-    f = star_tables(spark, sf_dir)["fact_transactions"].where(F.col("transaction_type_key") >= 3)
+    """The whole fact again: ids ending in 1 carry an amount correction, ids
+    ending in 2 of type 3 get an ACH id (NULL -> value), ids ending in 3 are new
+    (so the target's own stay untouched), all others are replays."""
     last = F.substring("transaction_id", -1, 1)
-    return f.select(*[
-        (F.when(last == "1", F.col("amount_egp") + 1).otherwise(F.col("amount_egp")).cast("decimal(18,2)")
-         .alias(c)) if c == "amount_egp" else
-        (F.when(last == "1", F.col("amount_minor") + 100).otherwise(F.col("amount_minor")).alias(c))
-        if c == "amount_minor" else
-        (F.when((last == "2") & (F.col("transaction_type_key") == 3), F.lit("ACH-FIX"))
-         .otherwise(F.col("ach_transfer_id")).alias(c)) if c == "ach_transfer_id" else F.col(c)
-        for c in FACT_TRANSACTIONS.names])
+    changed = {"amount_egp": F.when(last == "1", F.col("amount_egp") + 1).otherwise(F.col("amount_egp")).cast("decimal(18,2)"),
+               "amount_minor": F.when(last == "1", F.col("amount_minor") + 100).otherwise(F.col("amount_minor")),
+               "ach_transfer_id": F.when((last == "2") & (F.col("transaction_type_key") == 3), F.lit("ACH-FIX"))
+               .otherwise(F.col("ach_transfer_id"))}
+    return new_ids(merge_target(spark, sf_dir).withColumns(changed))
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,8 @@ _TOTAL_DESC = ", ".join(f"{c} DESC NULLS LAST" for c in _ORDER)
 _ORPHANS = ", ".join(f"CASE WHEN {c} % {n} = 0 THEN -{c} ELSE {c} END AS {c}"
                      for c, n in (("account_key", 50), ("peer_account_key", 50), ("merchant_key", 10)))
 
+_NEW_ID = "CASE WHEN right(transaction_id, 1) = '3' THEN transaction_id || 'N' ELSE transaction_id END AS transaction_id"
+
 PIPE_CTES = f"""
 dirty AS (SELECT {', '.join(_dirty_cols)} FROM raw_txn),
 conf AS (SELECT {', '.join(_conf_cols)},
@@ -84,7 +86,7 @@ validated AS (
     WHEN s.merchant_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_merchant m WHERE m.merchant_key = s.merchant_key)
       THEN 'fk_merchant_not_found'
   END AS reject_reason FROM staged s),
-mtarget AS (SELECT {', '.join(FACT_COLS)} FROM fact_transactions WHERE transaction_type_key <= 3),
+mtarget AS (SELECT {', '.join(FACT_COLS)} FROM fact_transactions),
 mbatch AS (
   SELECT {', '.join(
       "CAST(CASE WHEN right(transaction_id, 1) = '1' THEN amount_egp + 1 ELSE amount_egp END AS DECIMAL(18,2)) AS amount_egp"
@@ -92,9 +94,9 @@ mbatch AS (
       "CASE WHEN right(transaction_id, 1) = '1' THEN amount_minor + 100 ELSE amount_minor END AS amount_minor"
       if c == 'amount_minor' else
       "CASE WHEN right(transaction_id, 1) = '2' AND transaction_type_key = 3 THEN 'ACH-FIX' ELSE ach_transfer_id END "
-      "AS ach_transfer_id" if c == 'ach_transfer_id' else c
+      "AS ach_transfer_id" if c == 'ach_transfer_id' else _NEW_ID if c == 'transaction_id' else c
       for c in FACT_COLS)}
-  FROM fact_transactions WHERE transaction_type_key >= 3)"""
+  FROM fact_transactions)"""
 
 
 def _merge_sql(target: str, batch: str) -> str:
@@ -413,9 +415,10 @@ ORACLE["merge_result"] = P(f"SELECT {', '.join(FACT_COLS)} FROM {_merge_sql('mta
 ORACLE["merge_actions"] = P(
     f"SELECT _action AS action, count(*) AS rows FROM {_merge_sql('mtarget', 'mbatch')} WHERE _action <> 'KEEP' "
     f"GROUP BY 1")
+_VALID_COLS = ", ".join(_NEW_ID if c == "transaction_id" else c for c in FACT_COLS)
 ORACLE["merge_summary"] = P(f"""
 SELECT (SELECT count(*) FROM validated) AS rows_staged,
        (SELECT count(*) FROM validated WHERE reject_reason IS NULL) AS rows_valid,
        (SELECT count(*) FROM validated WHERE reject_reason IS NOT NULL) AS rows_rejected,
-       (SELECT count(*) FROM {_merge_sql('mtarget', f"(SELECT {', '.join(FACT_COLS)} FROM validated WHERE reject_reason IS NULL)")} WHERE _action = 'INSERT') AS rows_inserted,
-       (SELECT count(*) FROM {_merge_sql('mtarget', f"(SELECT {', '.join(FACT_COLS)} FROM validated WHERE reject_reason IS NULL)")} WHERE _action = 'UPDATE') AS rows_updated""")
+       (SELECT count(*) FROM {_merge_sql('mtarget', f"(SELECT {_VALID_COLS} FROM validated WHERE reject_reason IS NULL)")} WHERE _action = 'INSERT') AS rows_inserted,
+       (SELECT count(*) FROM {_merge_sql('mtarget', f"(SELECT {_VALID_COLS} FROM validated WHERE reject_reason IS NULL)")} WHERE _action = 'UPDATE') AS rows_updated""")
