@@ -364,6 +364,27 @@ def q_merge_actions(spark, sf_dir):
     return action_counts(_merged(spark, sf_dir)).withColumnRenamed("_action", "action")
 
 
+@register("key_index_lookup")
+def q_key_index_lookup(spark, sf_dir):
+    """Months of a batch's keys from the index: a first segment of the whole
+    fact, a second with the ids ending in 1 moved to the next year."""
+    import uuid
+
+    from ..operators import keyindex as KX
+    from ..session import work_path
+    from ..sources.store import VersionedStore
+
+    fact = star_tables(spark, sf_dir)["fact_transactions"].select("transaction_id", K.month_key("date_key").alias(KX.MONTH))
+    store = VersionedStore(spark, work_path(spark, "key-index", uuid.uuid4().hex))
+    last = F.substring("transaction_id", -1, 1)
+    none, moved = fact.limit(0), fact.where(last == "1").withColumn(KX.MONTH, F.col(KX.MONTH) + 100)
+    for changed in (none, moved):
+        v = store.current_version()
+        store.commit({KX.KEYS: KX.kept(store, v, changed, "transaction_id", "fact", fact)})
+    batch = FX.new_ids(fact.where(last.isin("1", "2", "3")).select("transaction_id"))
+    return KX.months_of(store, store.current_version(), batch, "transaction_id", fact)
+
+
 @register("merge_summary")
 def q_merge_summary(spark, sf_dir):
     """Staged / valid / rejected / inserted / updated for one batch, with

@@ -415,6 +415,9 @@ ORACLE["merge_result"] = P(f"SELECT {', '.join(FACT_COLS)} FROM {_merge_sql('mta
 ORACLE["merge_actions"] = P(
     f"SELECT _action AS action, count(*) AS rows FROM {_merge_sql('mtarget', 'mbatch')} WHERE _action <> 'KEEP' "
     f"GROUP BY 1")
+ORACLE["key_index_lookup"] = with_adapter("""
+SELECT transaction_id, CAST(date_key // 100 + CASE WHEN right(transaction_id, 1) = '1' THEN 100 ELSE 0 END AS INTEGER) AS month
+FROM fact_transactions WHERE right(transaction_id, 1) IN ('1', '2')""")
 _VALID_COLS = ", ".join(_NEW_ID if c == "transaction_id" else c for c in FACT_COLS)
 ORACLE["merge_summary"] = P(f"""
 SELECT (SELECT count(*) FROM validated) AS rows_staged,

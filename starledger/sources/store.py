@@ -45,6 +45,8 @@ class Partitioned:
     positional: dict | None = None   # {"column", "pid", "pos", "start"}: key derived from row positions
     max_key: int | None = None       # largest surrogate key after this write (kept in the commit record)
     bloom: tuple = ()                # columns looked up by value: Parquet Bloom filters per row group
+    index_of: str | None = None      # table this one indexes: dropped when that one is written without it
+    options: dict | None = None      # further write options
 
 
 class CommitConflict(RuntimeError):
@@ -119,9 +121,11 @@ class VersionedStore:
         df = spec.df
         if spec.sort_by:
             # range clustering: several tasks per partition value, few files each
-            df = df.repartitionByRange(*spec.sort_by).sortWithinPartitions(*spec.sort_by)
+            # (led by the partition column, the order is the writer's own: it
+            # sorts no second time, which would also lose the order inside)
+            df = df.repartitionByRange(*spec.sort_by).sortWithinPartitions(spec.column, *spec.sort_by)
         filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in spec.bloom if c in df.columns}
-        df.write.mode("overwrite").options(**filters).partitionBy(spec.column).parquet(path)
+        df.write.mode("overwrite").options(**filters, **(spec.options or {})).partitionBy(spec.column).parquet(path)
         prefix = f"{spec.column}="
         written = {d[len(prefix):]: f"{path}/{d}" for d in fs.list_dirs(self.spark, path) if d.startswith(prefix)}
         parts = {}
@@ -131,6 +135,8 @@ class VersionedStore:
         parts.update(written)
         schema = T.StructType([f for f in spec.df.schema.fields if f.name != spec.column])
         entry = {"partition_column": spec.column, "parts": parts, "schema": schema.json()}
+        if spec.index_of:
+            entry["index_of"] = spec.index_of
         if spec.positional:
             from ..operators.surrogate import offsets_of
             p = spec.positional
@@ -161,7 +167,8 @@ class VersionedStore:
             raise CommitConflict(f"store moved from {expected_version} to {base}")
         new = base + 1
         parent = self.manifest(base)
-        paths = dict(parent["tables"])
+        paths = {name: e for name, e in parent["tables"].items()
+                 if name in frames or isinstance(e, str) or e.get("index_of") not in frames}
         folder = f"{self.root}/v{new:06d}-{uuid.uuid4().hex}"
 
         def write(item):

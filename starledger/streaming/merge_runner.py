@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import FACT_LOOKUPS, FACT_TRANSACTIONS
 from ..functions.keys import month_key
+from ..operators import keyindex as KX
 from ..operators.merge import merge_fact, merge_rows
 from ..operators.star import broadcast_if_small
 from ..operators.surrogate import assign_surrogate
@@ -36,18 +37,22 @@ def _now() -> dt.datetime:
 KEY, SK, OLD_MONTH = "transaction_id", "transaction_sk", "_old_month"
 
 
+def _key_months(fact: DataFrame) -> DataFrame:
+    return fact.select(KEY, month_key("date_key").alias(KX.MONTH))
+
+
 def upsert_partitions(store: VersionedStore, version: int, valid: DataFrame, part_col: str = "date_month"):
     """I13 with a partition-scoped rewrite of a month-partitioned fact.
 
-    The batch's keys are looked up in the fact's key and date columns alone;
-    whole rows are read from the months that hold one of them.  Only months
-    with the old or the new version of an inserted/updated row are rewritten,
-    every other month folder is carried by reference.  Returns (Partitioned
-    spec, merged batch rows)."""
+    The batch's keys are looked up in the key index (without one, in the fact's
+    key and date columns); whole rows are read from the months that hold one of
+    them.  Only months with the old or the new version of an inserted/updated row
+    are rewritten, every other month folder is carried by reference.  Returns
+    (Partitioned spec, merged batch rows)."""
     target = store.read("fact_transactions", version)
     keys = broadcast_if_small(valid.select(KEY).distinct())
-    found = target.select(KEY, month_key("date_key").alias("m")).join(keys, KEY, "left_semi").select("m").distinct()
-    months = sorted(r["m"] for r in found.collect())                     # <= number of months
+    found = KX.months_of(store, version, keys, KEY, _key_months(target)).select(KX.MONTH).distinct()
+    months = sorted(r[KX.MONTH] for r in found.collect())                # <= number of months
     existing = (store.read("fact_transactions", version, parts=months).join(keys, KEY, "left_semi")
                 .withColumn(OLD_MONTH, month_key("date_key")))
     merged = merge_rows(existing, valid, KEY, COMPARE_COLS, [SK, OLD_MONTH]).persist()
@@ -69,6 +74,18 @@ def upsert_partitions(store: VersionedStore, version: int, valid: DataFrame, par
                        bloom=FACT_LOOKUPS), merged
 
 
+def upsert_tables(store: VersionedStore, version: int, valid: DataFrame) -> tuple[dict[str, Partitioned], DataFrame]:
+    """The fact after a batch and its key index, to be committed together, and
+    the merged batch rows.  A key gets an index entry when its row is new or has
+    moved to another month."""
+    fact, merged = upsert_partitions(store, version, valid)
+    month = month_key("date_key")
+    moved = merged.where((F.col("_action") == "INSERT") | ((F.col("_action") == "UPDATE") & (F.col(OLD_MONTH) != month)))
+    index = KX.kept(store, version, moved.select(KEY, month.alias(KX.MONTH)), KEY, "fact_transactions",
+                    _key_months(store.read("fact_transactions", version)))
+    return {"fact_transactions": fact, KX.KEYS: index}, merged
+
+
 def loaded_batches(store: VersionedStore) -> set[str]:
     """Batches with a SUCCESS commit; the newest commit lists them."""
     newest = store.manifest()
@@ -100,9 +117,10 @@ def merge_batch(spark: SparkSession, store: VersionedStore, silver_root: str, ba
         write_batch_partition(rejects, reject_root, batch_id)
         valid = validated.where(F.col("reject_reason").isNull()).select(*FACT_TRANSACTIONS.names)
         if store.partitions("fact_transactions", base_version):
-            new_fact, merged = upsert_partitions(store, base_version, valid)
+            frames, merged = upsert_tables(store, base_version, valid)
         else:  # an unpartitioned fact is rewritten whole
             new_fact, merged = merge_fact(tables["fact_transactions"], valid, KEY, COMPARE_COLS)
+            frames = {"fact_transactions": new_fact}
         counts = (validated.select(F.when(F.col("reject_reason").isNull(), "valid").otherwise("rejected").alias("k"))
                   .unionByName(merged.select(F.col("_action").alias("k")))
                   .groupBy("k").count().collect())      # <= 6 rows: one per category
@@ -118,7 +136,7 @@ def merge_batch(spark: SparkSession, store: VersionedStore, silver_root: str, ba
             audit.update(finished_at_utc=_now().isoformat(), duration_ms=int((time.time() - t0) * 1000))
             return {"audit": audit}
 
-        store.commit({"fact_transactions": new_fact}, meta=finished, expected_version=base_version)
+        store.commit(frames, meta=finished, expected_version=base_version)
         return audit
     except Exception as e:
         store.record_failure({"silver_batch_id": batch_id, "status": "FAILED", "error_message": str(e),
