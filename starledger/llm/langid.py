@@ -10,9 +10,10 @@ are fitted on rows left out of training and on short random draws from them:
 ``rejected`` marks scores below the level that keeps ``KEEP`` of the rightly
 named ones.
 
-Training takes at most ``PER_LABEL`` rows of each label, chosen by hashed id,
-in one distributed pass that counts their subwords; only those counts come to
-the driver.  Prediction reads every whole text once, in Arrow batches: averaging
+Training takes at most ``PER_LABEL`` rows of each label and about ``TOTAL`` in all
+(one of each label at least), chosen by hashed id and text, in one distributed
+pass that counts their subwords; only those counts come to the driver, where
+they stay sparse.  Every label is learned.  Prediction reads every whole text once, in Arrow batches: averaging
 embeddings and the linear layer fold into one score row per bucket.
 
 Cases: a null or empty text, or one without a letter, is ``und`` with score 0;
@@ -36,8 +37,8 @@ from starledger.llm.common import mix64, ship_package, slices, utf8_buffers
 
 BITS, DIM = 14, 16
 PER_LABEL = 400
-#: most labels that are learned, the most frequent ones
-LABELS = 1000
+#: rows of all labels together: beyond TOTAL / PER_LABEL labels each has fewer
+TOTAL = 100_000
 KEEP = 0.99
 NONE = "und"
 _SIZES = (2, 3, 4)
@@ -117,12 +118,12 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(x: np.ndarray, y: np.ndarray, classes: int, *, epochs: int = 8, rate: float = 0.5, batch: int = 32,
-          seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def train(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, classes: int, *, epochs: int = 8, rate: float = 0.5,
+          batch: int = 32, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Folded (bucket scores, bias) of an embedding table and a linear softmax;
-    ``x`` has a row of bucket shares per text."""
+    ``x`` has the (buckets, shares) of each text, one bucket at least."""
     draw = np.random.default_rng(seed)
-    embed = draw.normal(0, 1 / DIM, (x.shape[1], DIM)).astype(np.float32)
+    embed = draw.normal(0, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     linear, bias = np.zeros((DIM, classes), np.float32), np.zeros(classes, np.float32)
     linear[:] = draw.normal(0, 1 / DIM, linear.shape)
     weight = (len(y) / (classes * np.maximum(np.bincount(y, minlength=classes), 1))).astype(np.float32)
@@ -133,14 +134,16 @@ def train(x: np.ndarray, y: np.ndarray, classes: int, *, epochs: int = 8, rate:
         order = draw.permutation(len(y))
         for s in range(0, len(y), batch):
             i = order[s:s + batch]
-            mean = x[i] @ embed
+            n = [len(x[j][0]) for j in i]
+            f, v = np.concatenate([x[j][0] for j in i]), np.concatenate([x[j][1] for j in i])[:, None]
+            mean = np.add.reduceat(embed[f] * v, np.r_[0, np.cumsum(n)[:-1]])
             g = softmax(mean @ linear + bias)
             g[np.arange(len(i)), y[i]] -= 1
             g *= weight[y[i]][:, None] / len(i)
             back = g @ linear.T
             linear -= step * mean.T @ g
             bias -= step * g.sum(axis=0)
-            embed -= step * scale * (x[i].T @ back)
+            np.subtract.at(embed, f, np.float32(step * scale) * v * np.repeat(back, n, axis=0))
     return (embed @ linear).astype(np.float64), bias.astype(np.float64)
 
 
@@ -191,14 +194,17 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     rows = (docs.where(fold(id_col) != 2).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.xxhash64(id_col).alias("nth"), F.col(id_col).cast("string").alias("id"),
                     F.col(lang_col).alias("label"), F.col(text_col).alias("text")))
-    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(LABELS).collect()
+    # rows without an id are told apart by their texts, so that they aren't chosen all or none
+    named = ["id", F.when(F.col("id").isNull(), F.xxhash64("text"))]
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()      # a row per label, as the model has
     if not counts:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0))
+    per_label = max(1, min(per_label, TOTAL // len(counts)))
     # a hashed share of twice the wanted rows, so the ranking below sees few rows of any label
     share = docs.sparkSession.createDataFrame(
         [(r["label"], min(1.0, 2 * per_label / r["n"])) for r in counts], "label string, share double")
     some = rows.join(F.broadcast(share), "label").where(
-        F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) < F.col("share") * 1_000_000)
+        F.pmod(F.xxhash64(*named, F.lit("sample")), F.lit(1_000_000)) < F.col("share") * 1_000_000)
     order = Window.partitionBy("label").orderBy("nth", "id", "text")
     got = (some.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label)
            .select("nth", "label", "text").mapInArrow(_collect, "nth long, label string, buckets array<int>, counts array<int>")
@@ -206,14 +212,13 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     got.sort(key=lambda r: (r["nth"], r["label"], r["buckets"], r["counts"]))
     labels = sorted({r["label"] for r in counts}, key=lambda s: s.encode())
     got = [r for r in got if r["buckets"]]
-    x = np.zeros((len(got), 1 << BITS), np.float32)
-    for i, r in enumerate(got):
-        x[i, r["buckets"]] = np.asarray(r["counts"], np.float32) / sum(r["counts"])
-    y = np.array([labels.index(r["label"]) for r in got], np.int64)
+    x = [(np.asarray(r["buckets"], np.int64), np.asarray(r["counts"], np.float32) / np.float32(sum(r["counts"]))) for r in got]
+    place = {label: i for i, label in enumerate(labels)}
+    y = np.array([place[r["label"]] for r in got], np.int64)
     kept = np.arange(len(got)) % 5 == 4
     if not got:
         return Model(labels, np.zeros((1 << BITS, len(labels))), np.zeros(len(labels)))
-    table, bias = train(x[~kept], y[~kept], len(labels))
+    table, bias = train([v for v, k in zip(x, kept, strict=True) if not k], y[~kept], len(labels))
     model = Model(labels, table, bias)
     calibrate(model, [np.repeat(r["buckets"], r["counts"]) for r, k in zip(got, kept, strict=True) if k], y[kept])
     return model
