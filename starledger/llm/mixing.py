@@ -16,7 +16,8 @@ spread over thousands of window groups, and the cells' sums place each of them.
 
 DataFrame functions only.  Cases: a null text has size 0; the null source is a
 source of its own and comes last; a null id sorts as the text "null"; a source
-of size 0 has target 0 and takes nothing; identical rows are interchangeable;
+of size 0 has target 0 and takes nothing, and a document of size 0 is never
+taken to fill up (it is repeated as often as its whole source); identical rows are interchangeable;
 an empty table gives no rows; other columns are ignored.
 """
 
@@ -82,7 +83,8 @@ def mixed(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: float =
     inside = Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size", "same").rowsBetween(
         Window.unboundedPreceding, -1)
     ranked = rows.withColumn("words_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    more = (F.col("cells_before") + F.col("words_before") + F.col("size") / 2 <= F.col("rest")).cast("long")
+    fits = F.col("cells_before") + F.col("words_before") + F.col("size") / 2 <= F.col("rest")
+    more = (fits & (F.col("size") > 0) & (F.col("rest") > 0)).cast("long")
     return (ranked.join(cut, F.col("source").eqNullSafe(F.col("cut_source")) & (F.col("cell") == F.col("cut_cell")))
             .withColumn("repetitions", F.col("whole") + more)
             .select("doc_id", "source", "size", "source_size", "target", "repetitions",

@@ -69,3 +69,11 @@ def test_odd_and_empty_tables(spark):
     assert [totals[n][1] for n in names] == pytest.approx(poured([totals[n][0] for n in names]))
     assert mix(docs_of(spark, ODD).limit(0)).count() == 0
     assert [r["taken"] for r in mix(docs_of(spark, [(1, None), (2, "")])).collect()] == [0, 0]
+
+
+def test_empty_documents_fill_nothing_up(spark):
+    """A capped source repeats every document twice, empty ones no more often."""
+    rows = [(i, "" if i % 3 == 0 else "one two three", "en", "src0") for i in range(30)]
+    rows += [(100 + i, "word " * 500, "en", "src1") for i in range(30)]
+    got = {r["doc_id"]: (r["repetitions"], r["target"] / r["source_size"]) for r in mix(docs_of(spark, rows)).collect()}
+    assert {got[i] for i in range(30)} == {(2, 2.0)} and max(r for r, _ in got.values()) == 2
