@@ -195,14 +195,16 @@ def held_out(id_col, folds: int = 5):
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` labelled rows outside the held-out fold."""
+    """Fit on at most ``sample`` labelled rows outside the held-out fold: the
+    first by a hash of id and label, then of the text, so that an id that many
+    documents share brings no more rows than the others leave room for."""
     ship_package(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
     chosen = (known.where(~held_out("_id"))
               .withColumn("nth", F.xxhash64("_id", "label")).orderBy("nth", "_id", "label").limit(sample))
     rows = (docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
-            .join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))     # at most ``sample`` rows
-            .select("_doc", "label", "text"))
+            .join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))     # at most ``sample`` labels
+            .orderBy("nth", "_id", "label", F.xxhash64("text"), "text").limit(sample).repartition("nth", "text"))
     got = rows.select("label", "text").mapInArrow(_collect, "label int, feats array<int>").collect()
     got.sort(key=lambda r: (len(r["feats"]), r["label"], list(r["feats"])))
     mixed = np.random.default_rng(1).permutation(len(got))

@@ -72,3 +72,13 @@ def test_odd_and_empty_tables(spark):
     one = quality.scorer(quality.fit(docs, labels.where("quality = 1")))
     assert min(r["s"] for r in docs.select(one("text").alias("s")).collect()) > 0.99
     assert docs.limit(0).select(score("text")).count() == 0
+
+
+def test_rows_under_one_id_stay_within_the_sample(spark, monkeypatch):
+    docs = docs_of(spark, [(7, f"text number {i}") for i in range(500)] + [(i, f"other {i}") for i in range(8, 40)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(7, 40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit_sets", lambda sets, y: seen.append(len(sets)))
+    quality.fit(docs, labels, sample=10)
+    quality.fit(docs, labels, sample=1000)
+    assert seen[0] == 10 and 500 < seen[1] <= 532
