@@ -19,7 +19,9 @@ is sent to the executors; a larger benchmark takes more scans.
 Where k * Q + Q > m the budget is lowered to what the lemma can prove,
 floor((m - Q) / Q); an item shorter than Q is looked up as a plain substring.
 
-Cases: null or blank items match nothing; repeated items each report; null and
+Cases: periodic texts (rules, dotted lines) share each q-gram with many places of
+an item: beyond ``HITS`` such hits of a slice they are counted in pieces, so memory
+is bounded whatever a text's length; null or blank items match nothing; repeated items each report; null and
 empty texts match nothing; ties between bands go to the smallest start; a null
 doc_id or item_id is carried as null; empty tables give no rows; other columns
 are ignored.
@@ -44,6 +46,8 @@ BLOCK_CHARS = 4_000_000
 _FILTER_BITS = 22
 #: pairs of text and item counted at once
 _CELLS = 1 << 22
+#: shared q-grams (text position, item position) held at once
+HITS = 1 << 22
 
 
 #: white space of ``str.isspace``, and NUL
@@ -137,6 +141,22 @@ def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) ->
     return distance, end - int(cost.argmin()), end
 
 
+class _Counts:
+    """How often each key was added; what is held grows with distinct keys."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray) -> None:
+        self.parts.append(np.unique(keys, return_counts=True))
+        if len(self.parts) > 8:
+            self.parts = [self.all()]
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, where = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
+        return keys, np.bincount(where, np.concatenate([n for _, n in self.parts]), len(keys)).astype(np.int64)
+
+
 class Index:
     """The q-grams of one block of items, with a bit filter in front."""
 
@@ -158,22 +178,64 @@ class Index:
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[self.hash >> np.uint32(32 - _FILTER_BITS)] = True
 
-    def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text position, item, item position) of every shared q-gram."""
+    def ranges(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text positions whose q-gram some item holds: (position, first place
+        among the items' q-grams, number of places)."""
         p = np.flatnonzero(self.filter[h >> np.uint32(32 - _FILTER_BITS)])
         lo = np.searchsorted(self.hash, h[p], "left")
         found = self.hash[np.minimum(lo, len(self.hash) - 1)] == h[p] if len(self.hash) else np.zeros(0, bool)
         p, lo = p[found], lo[found]
-        n = np.searchsorted(self.hash, h[p], "right") - lo
+        return p, lo, np.searchsorted(self.hash, h[p], "right") - lo
+
+    def hits(self, p: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text position, item, item position) of every shared q-gram."""
         k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
         return np.repeat(p, n), self.item[k], self.at[k]
 
+    def bands_by_pieces(self, p: np.ndarray, lo: np.ndarray, n: np.ndarray, ends: np.ndarray, begin: np.ndarray,
+                        size: int) -> np.ndarray:
+        """(text, item, band) that reach the bound, for texts so periodic that
+        their hits don't fit: each piece of them is reduced to counts, first per
+        (text, item), then per band of the pairs that can reach it."""
+        upto, cuts = np.cumsum(n), [0]
+        while cuts[-1] < len(p):
+            done = upto[cuts[-1] - 1] if cuts[-1] else 0
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(upto, done + HITS, side="right"))))
+        items, pairs, bands = len(self.ids), _Counts(), _Counts()
+        for a, b in pairwise(cuts):
+            pos, item, _ = self.hits(p[a:b], lo[a:b], n[a:b])
+            pairs.add(np.searchsorted(ends, pos) * items + item)
+        pair, count = pairs.all()
+        pair = pair[count >= self.least[pair % items]]
+        if not len(pair):
+            return np.zeros((3, 0), np.int64)
+        # a band's number lies within the texts' length and the longest item's on either side
+        shift = max(map(len, self.codes)) + 2
+        most = 2 * (size + shift) + 4
+        for a, b in pairwise(cuts):
+            pos, item, at = self.hits(p[a:b], lo[a:b], n[a:b])
+            text = np.searchsorted(ends, pos)
+            place = np.minimum(np.searchsorted(pair, text * items + item), len(pair) - 1)
+            ok = pair[place] == text * items + item
+            band = ((pos - begin[text] - at + size + 1) // (self.budgets[item] + 1))[ok]
+            bands.add(place[ok] * most + band + shift)
+            bands.add(place[ok] * most + band + shift - 1)
+        key, count = bands.all()
+        place, band = key // most, key % most - shift
+        keep = count >= self.least[pair[place] % items]
+        return np.stack([pair[place] // items, pair[place] % items, band])[:, keep]
+
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(text number, item number, distance, start, end), one per pair."""
         found = []
         ends, joined = normal_codes(texts)
         begin = np.r_[0, ends[:-1] + 1]
-        pos, item, at = self.hits(grams(joined))
+        p, lo, n = self.ranges(grams(joined))
+        bands = np.zeros((3, 0), np.int64)
+        if n.sum() > HITS:
+            bands = self.bands_by_pieces(p, lo, n, ends, begin, len(joined))
+            p, lo, n = p[:0], lo[:0], n[:0]
+        pos, item, at = self.hits(p, lo, n)
         if len(pos):
             text = np.searchsorted(ends, pos)
             # pairs with too few hits on all diagonals together can't reach the bound on one band
@@ -194,8 +256,9 @@ class Index:
             first = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
             count = np.diff(np.r_[first, keys.shape[1]])
             kept = count >= self.least[keys[1, first]]
-            best: dict[tuple[int, int], tuple[int, int, int]] = {}
             bands = keys[:, first[kept]]
+        if bands.shape[1]:
+            best: dict[tuple[int, int], tuple[int, int, int]] = {}
             # neighbouring bands of a pair are aligned as one
             new = np.r_[True, (bands[:2, 1:] != bands[:2, :-1]).any(axis=0) | (np.diff(bands[2]) > 1)]
             cuts = [*np.flatnonzero(new[:bands.shape[1]]), bands.shape[1]]

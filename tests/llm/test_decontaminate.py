@@ -111,3 +111,30 @@ def test_hits_scattered_over_the_text_reach_no_band():
     words = item.split(" ")
     pieces = [" ".join(words[i:i + 3]) + " " + "#" * 300 for i in range(0, 28, 3)]
     assert Index([(1, item)]).matches([" ".join(reversed(pieces))]) == []
+
+
+def test_pieces_give_what_all_hits_at_once_give(monkeypatch):
+    r = random.Random(4)
+    items = [(0, "-" * 60), (1, "ab" * 40), (2, prose(20, 1)), (3, "-" * 30 + "x" + "-" * 30), (4, "=-" * 25)]
+    rows = ["-" * 300, "ab" * 100 + "-" * 100, prose(30, 2) + " " + prose(20, 1), "", "".join(r.choice("-=x") for _ in range(400)),
+            "-" * 40 + "y" + "-" * 40, "=-" * 60 + prose(10, 3)]
+    index = Index([(i, normal(t)) for i, t in items])
+    whole = sorted(index.matches(rows))
+    for hits in (1, 50, 1000):
+        monkeypatch.setattr(decontaminate, "HITS", hits)
+        assert sorted(index.matches(rows)) == whole
+    for t, i, distance, _, _ in whole:
+        assert edit_distance_inside(normal(items[i][1]), normal(rows[t])) == distance
+    missing = {(t, i) for t in range(len(rows)) for i in range(len(items))} - {m[:2] for m in whole}
+    assert all(edit_distance_inside(normal(items[i][1]), normal(rows[t])) > budget(len(normal(items[i][1]))) for t, i in missing)
+
+
+def test_a_megabyte_of_one_sign_stays_in_bounded_memory():
+    import tracemalloc
+    index = Index([(0, "-" * 400), (1, "-" * 200 + "x" + "-" * 199)])
+    tracemalloc.start()
+    found = index.matches(["-" * 1_000_000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [m[:3] for m in sorted(found)] == [(0, 0, 0), (0, 1, 1)] and found[0][3:] == (0, 400)
+    assert peak < 500 << 20, peak
