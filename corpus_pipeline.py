@@ -4,6 +4,11 @@ decontamination, source mixing, sharding.
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; each result is
 written as Parquet in the shared checkpoint folder and read back as the next
 stage's input.  All stages but the last return the columns of ``documents``.
+
+Cases, in every stage: rows are judged by their id and text, so a null or
+repeated id joins no unlike texts; columns beyond these are carried along,
+whatever their names; whole texts are read, however long; an empty table gives no
+rows.  What a null or empty text and a tie mean is said at each stage.
 """
 
 from __future__ import annotations
@@ -17,7 +22,8 @@ from starledger.llm.common import table, written
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on this input and the
-    labels, doesn't reject (8)."""
+    labels, doesn't reject (8).  A null or empty text has the score of the bias
+    alone; a score equal to the threshold stays."""
     score = quality.scorer(quality.fit(docs, table(spark, sf_dir, "labels")))
     return docs.where(score(F.col("text")) >= quality.THRESHOLD)
 
@@ -33,7 +39,9 @@ def _others(docs: DataFrame) -> list[str]:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each near-duplicate group (10); of
-    rows equal in id and text one stays, unlike texts under one id all do."""
+    rows equal in id and text one stays (the first by the other columns), unlike
+    texts under one id all do.  Null and wordless texts are linked with nothing
+    and stay."""
     kept = (minhash.judged(docs).where("kept")
             .select(F.col("doc_id").alias("_kept"), F.col("same").alias("_kept_same")).distinct())
     first = Window.partitionBy("doc_id", "_same").orderBy(*_others(docs))
@@ -43,7 +51,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage (9)."""
+    """Documents without a benchmark passage (9).  Null and empty texts hold none
+    and stay; one passage within its edit budget is enough to go."""
     rows = docs.select(F.struct("doc_id", _same().alias("same")).alias("doc_id"), "text")
     # written first: its size is then known, and a small list is broadcast without moving any text
     found = written(decontaminate.leaks(rows, table(spark, sf_dir, "benchmark"))
@@ -52,7 +61,10 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row as often as the mix takes it (6)."""
+    """Every row as often as the mix takes it (6), twice at most.  A text without
+    words has size 0: it is repeated as its whole source is, and never taken to
+    fill a target up.  Equal rows share their repetitions in order of the other
+    columns."""
     taken = written(mixing.mixed(docs).groupBy(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), "same")
                     .agg(F.count(F.lit(1)).alias("_mix_rows"), F.sum("repetitions").alias("_mix_all"))
                     .where("_mix_all > 0").withColumnRenamed("same", "_mix_same"), "taken")
@@ -69,7 +81,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of every row (3)."""
+    """The shard and slot of every row (3).  A null text has size 1, an empty one
+    too; equal rows are interchangeable."""
     return sharding.shard(docs).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
