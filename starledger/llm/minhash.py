@@ -7,7 +7,11 @@ densification, banded buckets and star-shaped candidate edges.
    smallest hash of a bin is its value.  An empty bin copies the bin that a
    hash sequence of its own number reaches first (optimal densification).
    ``BANDS`` bands of ``ROWS`` bins give the bucket keys: a pair of similarity
-   0.75 shares none with a probability of (1 - 0.75**4)**28 = 2.4e-5.
+   0.75 shares none with a probability of (1 - 0.75**4)**28 = 2.4e-5, which
+   densification raises for small sets.  So sets of up to ``SHORT`` shingles have
+   further bucket keys: two sets that link share at least 0.75 of either, hence
+   one of the n - ceil(0.75 * n) + 1 smallest hashes of each.  Every link of a set
+   of up to 64 shingles shares a bucket for certain.
 3. Candidate edges are stars: every bucket member meets the bucket's smallest
    id, so a bucket of n members gives n - 1 edges, never n * (n - 1) / 2.
    First each document is compared with the centre it meets in most buckets,
@@ -32,7 +36,7 @@ A vertex is an (id, text hash), numbered in the order of the ids.  Cases: a null
 id counts as the largest id and is returned as null; rows that share an id are
 judged by their own texts, of which each is a vertex; a null or empty text, or
 one of white space, has an empty set and links with nothing; a text of fewer than five words is one
-shingle; an empty table gives no rows; other columns are ignored.
+shingle; a very long text is one set in one task, of 8 bytes a shingle; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,6 +57,8 @@ ROWS, BANDS = 4, 28
 BINS = ROWS * BANDS
 PERCENT = 75
 NEXT = 6
+#: sets of up to so many shingles (64 / 0.75) have their smallest hashes as bucket keys too
+SHORT = 85
 #: further band keys that order a bucket's members
 DEPTH = 4
 #: members of a bucket that are put in order together
@@ -96,6 +102,15 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return keys
 
 
+def short_keys(s: np.ndarray) -> np.ndarray:
+    """The smallest hashes of a small set as bucket keys.  Sets of one or two
+    shingles link with none but equal sets."""
+    n = len(s)
+    if not 3 <= n <= SHORT:
+        return np.zeros(0, np.uint64)
+    return mix64(s[:n + PERCENT * -n // 100 + 1] ^ np.uint64(0x9E6C63D0876A9A47))
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     salt = np.uint64(0x632BE59BD9B4E019)
     for batch in batches:
@@ -103,9 +118,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = shingle_sets(*utf8_buffers(part.column("text")))
             keys = band_keys(densified(sets)).view(np.int64)
             n = np.fromiter(map(len, sets), np.int64, len(sets))
-            held = np.where(n > 0, BANDS, 0)
-            bands = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(held)].astype(np.int32)),
-                                             pa.array(keys[n > 0].reshape(-1)))
+            held = [np.r_[k, short_keys(s).view(np.int64)] if len(s) else k[:0] for k, s in zip(keys, sets, strict=True)]
+            bands = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, held)]).astype(np.int32)),
+                                             pa.array(np.concatenate([*held, np.zeros(0, np.int64)])))
             a = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             b = np.array([mix64(s ^ salt).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(

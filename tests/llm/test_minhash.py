@@ -151,3 +151,30 @@ def test_unlike_texts_under_one_id_are_judged_apart(spark):
     out = near_duplicates(docs_of(spark, rows)).collect()
     assert Counter((r["doc_id"], r["component_id"], r["kept"]) for r in out) == Counter(
         [(1, 1, True), (None, 1, False), (None, 2, False), (2, 2, True), (3, 3, True), (3, 3, True)])
+
+
+def test_small_sets_that_link_share_a_bucket():
+    """Of every size up to 64 and every partner that just links, whatever the hashes."""
+    r = np.random.default_rng(5)
+    for n in range(3, 65):
+        for m in range(n, 100 * n // 75 + 1):
+            shared = -(-75 * (n + m) // 175)
+            if shared > n:
+                continue
+            for _ in range(12):
+                h = r.integers(0, 2**64, n + m - shared, np.uint64)
+                a, b = np.sort(h[:n]), np.sort(np.r_[h[:shared], h[n:]])
+                assert len(b) == m and np.intersect1d(minhash.short_keys(a), minhash.short_keys(b)).size
+
+
+def test_links_that_no_band_holds(spark):
+    """Pairs of 3 and 4 shingles that share no band (found by trial) are linked."""
+    r, rows = random.Random(11), []
+    while len(rows) < 8:
+        w = [f"w{r.randrange(10**6)}" for _ in range(4 * 4000 * 2)]
+        pair = [(" ".join(w[8 * i:8 * i + 7]), " ".join(w[8 * i:8 * i + 8])) for i in range(4000)]
+        flat = pa.array([t for p in pair for t in p])
+        keys = band_keys(densified(shingle_sets(*utf8_buffers(flat))))
+        none = ~(keys[0::2] == keys[1::2]).any(axis=1)
+        rows += [(len(rows) + i, t) for i, t in enumerate(t for p, x in zip(pair, none, strict=True) if x for t in p)]
+    assert got(near_duplicates(docs_of(spark, rows))) == near_duplicate_classes(rows)
