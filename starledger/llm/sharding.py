@@ -7,12 +7,14 @@ shard has room.  With ``slack`` 0 the capacities add up to the number of rows,
 so shard sizes differ by one at most; a larger slack moves fewer rows when a
 shard is added.
 
-The work is three narrow passes: counts by arc (``shards * vnodes`` numbers,
-the only thing the driver sees), a plan over those counts, and one ranking of
-the rows by arc.  Text never leaves the scan.
+The work is three narrow passes: counts by arc and stretch (``shards * vnodes *
+STRETCHES`` numbers at most, the only thing the driver sees), a plan over the
+counts by arc, and one ranking of the rows by stretch.  A stretch is a share of
+an arc by the hash of the whole row, so rows that all have one id, or none, are
+ranked by many tasks.  Text never leaves the scan.
 
 Cases: a null id hashes like any other value; a null text has size 1 and
-checksum 0; ties on the ring are ordered by id, size and checksum, so only
+checksum 0; the rows of an arc are ordered by stretch, place on the ring, id, size and checksum, so only
 identical rows are interchangeable; repeated rows each get a slot; an empty
 table gives no rows; other columns are ignored.
 """
@@ -30,6 +32,8 @@ from starledger.llm.common import written
 
 SHARDS = 8
 VNODES = 128
+#: shares of an arc that are ranked apart
+STRETCHES = 32
 
 
 def ring(shards: int, vnodes: int = VNODES) -> tuple[np.ndarray, np.ndarray]:
@@ -86,14 +90,22 @@ def shard(docs: DataFrame, shards: int = SHARDS, *, id_col: str = "doc_id", text
         F.col(id_col).alias("doc_id"),
         (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(F.col(text_col).cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
-        at.alias("at"), arc_of(at).alias("arc")), "shard-rows")
-    counts = {r["arc"]: r["n"] for r in rows.groupBy("arc").agg(F.count(F.lit(1)).alias("n")).collect()}
+        at.alias("at"), arc_of(at).alias("arc"))
+        .withColumn("stretch", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(STRETCHES)).cast("int")),
+        "shard-rows")
+    counts: dict[int, int] = {}
+    starts = []
+    for r in sorted(rows.groupBy("arc", "stretch").agg(F.count(F.lit(1)).alias("n")).collect()):
+        starts.append((r["arc"], r["stretch"], counts.get(r["arc"], 0)))
+        counts[r["arc"]] = counts.get(r["arc"], 0) + r["n"]
     pieces = plan(counts, owner, capacities(sum(counts.values()), shards, slack))
     placed = spark.createDataFrame(pieces, "arc int, first_rank long, end_rank long, shard int, first_slot long")
-    order = Window.partitionBy("arc").orderBy("at", "doc_id", "size", "text_crc32")
+    begun = spark.createDataFrame(starts, "arc int, stretch int, before long")
+    order = Window.partitionBy("arc", "stretch").orderBy("at", "doc_id", "size", "text_crc32")
     owners = spark.createDataFrame(list(enumerate(owner.tolist())), "arc int, home int")
-    ranked = rows.withColumn("rank", F.row_number().over(order).cast("long") - 1)
-    # both sides below are bounded by shards * vnodes * shards rows
+    # the small sides are bounded: shards * vnodes * STRETCHES rows here, shards * vnodes * shards below
+    ranked = (rows.withColumn("nth", F.row_number().over(order)).join(F.broadcast(begun), ["arc", "stretch"])
+              .withColumn("rank", F.col("before") + F.col("nth") - 1))
     return (ranked.join(F.broadcast(placed), "arc")
             .where("rank >= first_rank AND rank < end_rank")
             .join(F.broadcast(owners), "arc")

@@ -83,3 +83,13 @@ def test_odd_and_empty_tables(spark):
     assert {(r["size"], r["text_crc32"]) for r in rows if r["doc_id"] in (1, 2)} == {(1, 0)}
     assert shard(docs_of(spark, ODD).limit(0)).count() == 0
     assert sorted(r["slot"] for r in shard(docs_of(spark, ODD[:3]), 8).collect()) == [0, 0, 0]
+
+
+def test_a_third_of_the_rows_without_an_id(spark):
+    """One arc holds them; the rows are placed as before, in parts."""
+    docs = spark.range(6_000).selectExpr("CASE WHEN id % 3 > 0 THEN id END AS doc_id", "repeat('t', int(id % 997)) AS text")
+    rows = shard(docs).collect()
+    count = Counter(r["shard"] for r in rows)
+    assert len(rows) == 6_000 and max(count.values()) - min(count.values()) <= 1
+    for s in range(8):
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(count[s]))
