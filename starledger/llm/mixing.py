@@ -13,6 +13,8 @@ rest of the target is filled (a document at the edge is taken when at least
 half of it fits).  The order is that of md5(seed, id); its first digits deal
 every source into ``CELLS`` cells, so a source with a third of all rows is
 spread over thousands of window groups, and the cells' sums place each of them.
+Rows without an id share one place in that order, where they follow by size:
+each size of theirs is a cell of its own.
 
 DataFrame functions only.  Cases: a null text has size 0; the null source is a
 source of its own and comes last; a null id sorts as the text "null"; a source
@@ -69,7 +71,12 @@ def mixed(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: float =
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     rows = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"),
-                               key.alias("key"), F.xxhash64(F.col(text_col)).alias("same")), "mix-rows").withColumn("cell", F.substring("key", 1, CELL_DIGITS))
+                               key.alias("key"), F.xxhash64(F.col(text_col)).alias("same")), "mix-rows")
+    unnamed = F.md5(F.lit(f"{seed}|null"))
+    rows = rows.withColumn("cell", F.concat(
+        F.substring("key", 1, CELL_DIGITS),
+        F.when(F.col("key") < unnamed, "0").when(F.col("doc_id").isNull(), F.concat(F.lit("1"), F.lpad(F.col("size").cast("string"), 19, "0")))
+        .otherwise("2")))
     cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     aims = targets(cells.groupBy("source").agg(F.sum("cell_size").alias("source_size")), weights, share, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")

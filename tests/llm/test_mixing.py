@@ -1,3 +1,4 @@
+import hashlib
 from collections import defaultdict
 
 import pytest
@@ -77,3 +78,21 @@ def test_empty_documents_fill_nothing_up(spark):
     rows += [(100 + i, "word " * 500, "en", "src1") for i in range(30)]
     got = {r["doc_id"]: (r["repetitions"], r["target"] / r["source_size"]) for r in mix(docs_of(spark, rows)).collect()}
     assert {got[i] for i in range(30)} == {(2, 2.0)} and max(r for r, _ in got.values()) == 2
+
+
+def test_a_third_of_the_rows_without_an_id(spark):
+    """They follow by size where their common key stands; no cell holds all of them."""
+    rows = [(None if i % 3 == 0 else i, "w " * (i % 50), "en", f"src{i % 2}") for i in range(3000)]
+    by = defaultdict(list)
+    for r in mix(docs_of(spark, rows)).collect():
+        by[r["source"]].append(r)
+    for s, got in by.items():
+        rest = got[0]["target"] - got[0]["target"] // got[0]["source_size"] * got[0]["source_size"]
+        whole = int(got[0]["target"] // got[0]["source_size"])
+        order = sorted(got, key=lambda r: (hashlib.md5(f"17|{'null' if r['doc_id'] is None else r['doc_id']}".encode()).hexdigest(),
+                                           r["doc_id"] or -1, r["size"]))
+        before = 0
+        for r in order:
+            more = r["size"] > 0 and rest > 0 and before + r["size"] / 2 <= rest
+            assert r["repetitions"] == whole + more, (s, r)
+            before += r["size"]
