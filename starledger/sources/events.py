@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import FACT_TRANSACTIONS, KAFKA_LINEAGE, TableContract
+from . import offsetlog
+
 
 def _lineage() -> list:
     return [F.col("topic").alias("_kafka_topic"), F.col("partition").cast("int").alias("_kafka_partition"),
@@ -78,8 +80,9 @@ def read_bronze_events(spark: SparkSession, path: str, contract: TableContract =
 
 def read_events(spark: SparkSession, fmt: str = "kafka", options: dict | None = None, streaming: bool = True,
                 path: str | None = None) -> DataFrame:
-    """Subscribe from the earliest offset (Kafka), or read a file source of
-    message records ``key, value, topic, partition, offset`` offline."""
+    """Subscribe from the earliest offset (Kafka), follow a log of Parquet
+    files by offset (``offset_log``), or read a file source of message records
+    ``key, value, topic, partition, offset``."""
     opts = {"startingOffsets": "earliest", **(options or {})} if fmt == "kafka" else dict(options or {})
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
@@ -87,6 +90,9 @@ def read_events(spark: SparkSession, fmt: str = "kafka", options: dict | None =
         for k, v in opts.items():
             r = r.option(k, v)
         return r.load()
+    if fmt == offsetlog.FORMAT:
+        offsetlog.register(spark)
+        return reader.format(fmt).options(**opts).load(path)
     schema = "key string, value string, topic string, partition int, offset bigint"
     r = reader.format(fmt).schema(schema)
     for k, v in opts.items():

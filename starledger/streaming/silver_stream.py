@@ -11,6 +11,8 @@ One Structured Streaming query with ``foreachBatch``:
 * the batch id names the offset ranges of the batch, so a replay of the same
   offsets overwrites the same ``silver_batch_id`` partitions, and after a lost
   checkpoint new ranges never land on old batches (I3, I4, X5);
+* with ``remember``, ids that an earlier micro-batch passed on are known from
+  the state store and go to quarantine (I22);
 * ``trigger(availableNow=True)`` processes what is there and stops (I5).
 """
 
@@ -29,6 +31,7 @@ from ..operators.incremental import batch_bounds
 from ..operators.validate import flag_quality, split_flagged
 from ..sources.events import flatten_envelope, read_events, split_dead_letters
 from ..sources.batches import publish, write_attempt
+from .seen import SEEN, flag_seen, quarantine_seen
 
 
 @dataclass
@@ -78,6 +81,8 @@ def process_batch(batch: DataFrame, batch_id: str | None, roots: dict[str, str])
         events = with_batch_metadata(events, batch_id, consumed_at)
         flagged = flag_quality(events).persist()        # one dedupe per batch, two sinks
         clean, quarantine = split_flagged(flagged)
+        if SEEN in batch.columns:
+            clean, quarantine = quarantine_seen(clean, quarantine, batch)
         # all sinks are written before any is published, silver last: the loader
         # starts from it, so it never meets a batch whose other sinks are older
         written |= {"quarantine": quarantine, "silver": clean}
@@ -94,10 +99,15 @@ def process_batch(batch: DataFrame, batch_id: str | None, roots: dict[str, str])
 
 
 def run_silver_stream(spark: SparkSession, source_path: str | None, roots: dict[str, str], checkpoint: str,
-                      fmt: str = "json", options: dict | None = None) -> list[BatchSummary]:
+                      fmt: str = "json", options: dict | None = None,
+                      remember: dt.timedelta | None = None) -> list[BatchSummary]:
     """Process all available messages, then stop; returns per-batch summaries.
-    ``roots`` needs ``silver``, ``quarantine``, ``dlq`` (and optional ``bronze``)."""
+    ``roots`` needs ``silver``, ``quarantine``, ``dlq`` (and optional ``bronze``).
+    ``remember``: how long an id is known after it was last seen; unset, copies
+    in later batches are left to the upsert."""
     messages = read_events(spark, fmt=fmt, options=options, streaming=True, path=source_path)
+    if remember is not None:
+        messages = flag_seen(messages, remember)
     summaries: list[BatchSummary] = []
 
     def body(df: DataFrame, epoch_id: int) -> None:
