@@ -333,6 +333,33 @@ def q_published_batches(spark, sf_dir):
     return out
 
 
+@register("offset_resume")
+def q_offset_resume(spark, sf_dir):
+    """The event messages as a log in two instalments, the second with
+    late lower offsets; what the stream reads of each, before and after a restart."""
+    import uuid
+
+    from ..session import work_path
+    from ..sources.events import read_events
+    from ..sources.offsetlog import write_log
+
+    messages = FX.event_messages(spark, sf_dir)
+    cut = messages.agg(F.max("offset")).first()[0] or 0
+    early = (F.col("offset") <= F.lit(cut) * 6 / 10) & (F.col("offset") % 50 != 7)
+    root = work_path(spark, "offset-log", uuid.uuid4().hex)
+
+    def read_on(run: int) -> DataFrame:
+        (read_events(spark, "offset_log", path=f"{root}/log").writeStream
+         .foreachBatch(lambda df, _: df.write.mode("append").parquet(f"{root}/run{run}"))
+         .option("checkpointLocation", f"{root}/marks").trigger(availableNow=True).start().awaitTermination())
+        return spark.read.schema(messages.drop("event_id").schema).parquet(f"{root}/run{run}").withColumn("run", F.lit(run))
+
+    write_log(messages.where(early), f"{root}/log")
+    first = read_on(1)
+    write_log(messages.where(~early), f"{root}/log")
+    return first.unionByName(read_on(2)).select("run", "key", "topic", "partition", "offset")
+
+
 # -- validation and merge (I11, I13, I19) ------------------------------------------
 def _validated(spark, sf_dir) -> DataFrame:
     return validate_batch(FX.staged_batch(spark, sf_dir), star_tables(spark, sf_dir))

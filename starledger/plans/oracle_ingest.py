@@ -407,6 +407,14 @@ SELECT n AS new_rows, s AS silver_rows, q AS quarantine_rows, CAST(s + q = n AS
 ORACLE["published_batches"] = P("""
 SELECT transaction_id, _kafka_partition, _kafka_offset, 'p' || _kafka_partition AS silver_batch_id FROM conf""")
 
+ORACLE["offset_resume"] = """
+WITH m AS (SELECT event_id AS o, CAST(event_id % 3 AS INTEGER) AS p FROM events),
+early AS (SELECT o, p, o <= (SELECT max(o) FROM m) * 6 / 10 AND o % 50 <> 7 AS early FROM m),
+marks AS (SELECT p, max(o) AS mark FROM early WHERE early GROUP BY p)
+SELECT CAST(CASE WHEN early THEN 1 ELSE 2 END AS INTEGER) AS run, CAST(o AS VARCHAR) AS key, 'transactions_raw' AS topic,
+       p AS partition, o AS "offset"
+FROM early LEFT JOIN marks USING (p) WHERE early OR o > coalesce(mark, -1)"""
+
 # -- validation and merge ------------------------------------------------------------
 ORACLE["fk_reject"] = P("SELECT _kafka_partition, _kafka_offset, transaction_id, reject_reason FROM validated")
 ORACLE["reject_counts"] = P(
