@@ -204,8 +204,9 @@ def _first_shingles(texts: DataFrame) -> DataFrame:
     """texts (rid, label, text) -> key (shingle and both size classes), rid,
     label, n, place, side (the own class is the smaller, the same, the larger)."""
     counts = np.zeros(1 << COUNT_BITS, np.int64)
-    for r in texts.mapInArrow(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
-        counts[r["slot"]] = r["n"]  # at most 2**COUNT_BITS rows
+    # at most 2**COUNT_BITS rows of two numbers, which never become Python objects
+    got = texts.mapInArrow(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts[got["slot"].to_numpy()] = got["n"].to_numpy()
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
