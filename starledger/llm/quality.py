@@ -205,10 +205,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     rows = (docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
             .join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))     # at most ``sample`` labels
             .orderBy("nth", "_id", "label", F.xxhash64("text"), "text").limit(sample).repartition("nth", "text"))
-    got = rows.select("label", "text").mapInArrow(_collect, "label int, feats array<int>").collect()
-    got.sort(key=lambda r: (len(r["feats"]), r["label"], list(r["feats"])))
-    mixed = np.random.default_rng(1).permutation(len(got))
-    return fit_sets([np.asarray(got[i]["feats"], np.int64) for i in mixed], np.array([got[i]["label"] for i in mixed], np.int64))
+    # at most ``sample`` rows; their numbers never become Python objects
+    got = rows.select("label", "text").mapInArrow(_collect, "label int, feats array<int>").toArrow().combine_chunks()
+    label = got["label"].to_numpy().astype(np.int64)
+    sets = [f.values.to_numpy() for f in got["feats"]]
+    order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), label[i], sets[i].astype(">i4").tobytes()))
+    mixed = [order[i] for i in np.random.default_rng(1).permutation(len(order))]
+    return fit_sets([sets[i].astype(np.int64) for i in mixed], label[mixed])
 
 
 def scorer(model: Model):
