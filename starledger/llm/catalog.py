@@ -162,21 +162,42 @@ vocabulary AS (
   FROM (SELECT DISTINCT term FROM ttf) v LEFT JOIN df USING (term), n),
 tvec AS (SELECT template, license, term, tf * weight AS part FROM ttf JOIN vocabulary USING (term)),
 tsquare AS (SELECT template, sum(part * part)::BIGINT AS square FROM tvec GROUP BY template),
+pieces AS (SELECT DISTINCT path, text FROM files WHERE text IS NOT NULL),
+-- templates of whose norm a text covers enough for any of its windows
+ptemplates AS (
+  SELECT path, text, template FROM (
+    SELECT DISTINCT path, text, unnest(regexp_extract_all(lower(text), '{TERM}')) AS term FROM pieces)
+  JOIN tvec USING (term) JOIN tsquare USING (template)
+  GROUP BY path, text, template, square HAVING sum(part * part) >= 0.99 * {LEAST} * {LEAST} * square),
+tlist AS (SELECT template, list(term) AS held, sum(tf) AS n FROM ttf GROUP BY template),
+split AS (SELECT path, text, string_split(text, chr(10)) AS ls FROM pieces SEMI JOIN ptemplates USING (path, text)),
+rawlines AS (SELECT path, text, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM split),
+lines AS (
+  SELECT *, sum(size) OVER (PARTITION BY path, text ORDER BY pos) - size AS at
+  FROM (SELECT *, regexp_extract_all(lower(line), '{TERM}') AS lterms, len(lterms) AS size FROM rawlines) WHERE size > 0),
+windows AS (
+  SELECT s.path, p.template, string_agg(l.line, ' ' ORDER BY l.at) AS until,
+         string_agg(l.line, ' ' ORDER BY l.at) FILTER (l.at + l.size <= s.at + n OR l.at = s.at) AS within
+  FROM lines s JOIN ptemplates p USING (path, text) JOIN tlist t ON t.template = p.template AND list_has_any(s.lterms, held)
+  JOIN lines l ON l.path = s.path AND l.text = s.text AND l.at >= s.at AND l.at < s.at + n
+  GROUP BY s.path, s.text, p.template, s.at),
 units AS (
-  SELECT DISTINCT path, unnest(string_split(text, chr(10))) AS notice FROM files
-  UNION SELECT path, text FROM files WHERE text IS NOT NULL
-    AND regexp_matches(path, '(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([-._][^/]*)?$')),
-utf AS (SELECT path, notice, term, count(*) AS tf FROM (
-          SELECT path, notice, unnest(regexp_extract_all(lower(notice), '{TERM}')) AS term FROM units) GROUP BY ALL),
+  SELECT DISTINCT path, -1 AS "of", unnest(string_split(text, chr(10))) AS notice FROM files
+  UNION SELECT path, -1, text FROM files WHERE text IS NOT NULL
+    AND regexp_matches(path, '(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([-._][^/]*)?$')
+  UNION SELECT path, template, until FROM windows UNION SELECT path, template, within FROM windows),
+utf AS (SELECT path, "of", notice, term, count(*) AS tf FROM (
+          SELECT path, "of", notice, unnest(regexp_extract_all(lower(notice), '{TERM}')) AS term FROM units) GROUP BY ALL),
 uvec AS (
-  SELECT path, notice, term,
+  SELECT path, "of", notice, term,
          tf * coalesce(weight, floor(1000 * (ln((1 + files)::DOUBLE) + 1) + 0.5)::BIGINT) AS w
   FROM utf LEFT JOIN vocabulary USING (term), n),
-usquare AS (SELECT path, notice, sum(w * w)::BIGINT AS square FROM uvec GROUP BY ALL),
+usquare AS (SELECT path, "of", notice, sum(w * w)::BIGINT AS square FROM uvec GROUP BY ALL),
 scored AS (
   SELECT path, license, dot::DOUBLE / (sqrt(u.square::DOUBLE) * sqrt(t.square::DOUBLE)) AS score
-  FROM (SELECT path, notice, template, license, sum(w * part)::BIGINT AS dot FROM uvec JOIN tvec USING (term) GROUP BY ALL)
-  JOIN usquare u USING (path, notice) JOIN tsquare t USING (template)),
+  FROM (SELECT path, "of", notice, template, license, sum(w * part)::BIGINT AS dot FROM uvec JOIN tvec USING (term)
+        WHERE "of" IN (-1, template) GROUP BY ALL)
+  JOIN usquare u USING (path, "of", notice) JOIN tsquare t USING (template)),
 own AS (SELECT path, license AS own_license, score AS own_score FROM scored WHERE score >= {LEAST}
         QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, license) = 1),
 placed AS (SELECT path, CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '' END AS dir
