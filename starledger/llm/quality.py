@@ -22,6 +22,7 @@ the share of label 1 (0.5 without labels); extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cmp_to_key
 
 import numpy as np
 import pandas as pd
@@ -123,20 +124,22 @@ def _fit_linear(sets: list[np.ndarray], y: np.ndarray, cost: float = 1.0, passes
     # ratios of the shares of each class's rows that have the indicator
     n_plus, n_minus = (y > 0).sum() + 2 * alpha, (y < 0).sum() + 2 * alpha
     ratio = np.log((plus / n_plus) / (minus / n_minus))
-    rows = [r / max(np.sqrt((r * r).sum()), 1e-9) for r in (ratio[s] for s in sets)]
+    # a row's scaled indicators are made when it is visited: only its length is kept
+    length = [max(np.sqrt((r * r).sum()), 1e-9) for r in (ratio[s] for s in sets)]
     w, bias = np.zeros(SIZE), 0.0
     dual = np.zeros(len(sets))
     # both classes weigh the same
     most = np.where(y > 0, cost * len(y) / (2 * max(1, (y > 0).sum())), cost * len(y) / (2 * max(1, (y < 0).sum())))
-    norm = np.array([float(r @ r) + 1 for r in rows])
+    norm = np.array([float(r @ r) + 1 for r in (ratio[s] / n for s, n in zip(sets, length, strict=True))])
     draw = np.random.default_rng(seed)
     for _ in range(passes):
         moved = 0.0
         for i in draw.permutation(len(sets)):
-            gradient = y[i] * (w[sets[i]] @ rows[i] + bias) - 1
+            row = ratio[sets[i]] / length[i]
+            gradient = y[i] * (w[sets[i]] @ row + bias) - 1
             new = min(max(dual[i] - gradient / norm[i], 0.0), most[i])
             if step := (new - dual[i]) * y[i]:
-                w[sets[i]] += step * rows[i]
+                w[sets[i]] += step * row
                 bias += step
                 moved = max(moved, abs(step))
                 dual[i] = new
@@ -193,6 +196,14 @@ def held_out(id_col, folds: int = 5):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary")) % folds == 0
 
 
+def _compare(a: np.ndarray, label_a: int, b: np.ndarray, label_b: int) -> int:
+    """By size, then label, then the indicators in order; no row is copied."""
+    if len(a) != len(b) or label_a != label_b:
+        return -1 if (len(a), label_a) < (len(b), label_b) else 1
+    apart = np.flatnonzero(a != b)
+    return 0 if not len(apart) else -1 if a[apart[0]] < b[apart[0]] else 1
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` labelled rows outside the held-out fold: the
@@ -209,9 +220,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     got = rows.select("label", "text").mapInArrow(_collect, "label int, feats array<int>").toArrow().combine_chunks()
     label = got["label"].to_numpy().astype(np.int64)
     sets = [f.values.to_numpy() for f in got["feats"]]
-    order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), label[i], sets[i].astype(">i4").tobytes()))
+    order = sorted(range(len(sets)), key=cmp_to_key(lambda i, j: _compare(sets[i], label[i], sets[j], label[j])))
     mixed = [order[i] for i in np.random.default_rng(1).permutation(len(order))]
-    return fit_sets([sets[i].astype(np.int64) for i in mixed], label[mixed])
+    # views of the collected column, which is held once
+    return fit_sets([sets[i] for i in mixed], label[mixed])
 
 
 def scorer(model: Model):
