@@ -24,6 +24,22 @@ def test_versioned_commit_and_conflict(spark, scratch):
         st.commit({"a": spark.range(1)}, expected_version=1)
 
 
+def test_derived_tables_are_made_of_the_written_ones(spark, scratch):
+    """The layers' events are joined once: the second layer reads the first."""
+    st = VersionedStore(spark, f"{scratch}/derived")
+    st.commit({"old": spark.range(4)})
+    files = []
+
+    def half(written):
+        files.extend(written["a"].inputFiles())
+        return written["a"].where("id % 2 = 0")
+
+    st.commit({"a": spark.range(6)}, derived={"b": half})
+    assert files and all("/a/" in f for f in files)
+    assert sorted(r.id for r in st.read("b").collect()) == [0, 2, 4]
+    assert set(st.tables()) == {"a", "b", "old"}
+
+
 def test_gate_blocks_commit(spark, scratch):
     st = VersionedStore(spark, f"{scratch}/store")
 
