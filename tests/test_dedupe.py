@@ -26,6 +26,17 @@ def test_keep_first_latest_and_fast_path(spark):
                                                                                                   ("B", 7)]
 
 
+def test_keep_first_carries_an_order_column_once(spark):
+    kept = keep_first(frame(spark), ["k"], ["o"])
+    text = kept._jdf.queryExecution().analyzed().toString()
+    assert "struct(_o0" in text and "struct(p, p#" in text
+    inner = text[text.index("struct(p, p#"):]
+    assert " o, o#" not in inner[:inner.index(")")]
+    latest = {r.k: (r.p, r.o, r.v) for r in keep_first(frame(spark), ["k"], ["o", F.col("p")], latest=True).collect()}
+    assert latest == {"A": (0, 5, "x"), "B": (0, 1, "q")}
+    assert [tuple(r) for r in keep_first(spark.createDataFrame([(1, 2), (1, 1)], "k int, o int"), ["k"], ["o"]).collect()] == [(1, 1)]
+
+
 def test_null_keys_not_collapsed(spark):
     df = frame(spark)
     assert keep_first(df, ["k"], ["o"]).where(F.col("k").isNull()).count() == 0

@@ -44,3 +44,9 @@ def test_register_views(spark):
     names = register_views(spark, star_tables(spark, SF), "gold_")
     assert "gold_rpt_daily_transactions" in names
     assert spark.sql("SELECT count(*) AS n FROM gold_rpt_warehouse_health").collect()[0].n == 1
+
+
+def test_fact_carries_no_lineage_through_its_dedupe(spark):
+    from starledger.plans import adapter
+    p = adapter.fact(adapter.DriverTables(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_kafka_partition" not in p and "_kafka_topic" not in p
