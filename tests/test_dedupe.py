@@ -1,7 +1,7 @@
 """Deterministic de-duplication."""
 from pyspark.sql import functions as F
 
-from starledger.operators.dedupe import flag_duplicates, keep_first
+from starledger.operators.dedupe import _may_hold, flag_duplicates, keep_first
 
 
 def frame(spark):
@@ -76,3 +76,34 @@ def test_long_numbers_keep_all_digits(spark):
     df = spark.createDataFrame([(7,), (1234567,), (60000000011,), (60000000012,), (None,)], "n long")
     assert [r[0] for r in df.select(padded_id("MER", F.col("n"), 6)).collect()] == [
         "MER000007", "MER1234567", "MER60000000011", "MER60000000012", None]
+
+
+def test_keys_without_a_tie_are_not_moved_to_be_compared(spark):
+    df = spark.range(20000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"))
+    few = df.where("k IN ('k5', 'k77', 'k19999')")
+    left = {r.k for r in df.where(_may_hold(few, ["k"])).collect()}
+    assert {"k5", "k77", "k19999"} <= left and len(left) < 40
+    assert df.where(_may_hold(few.limit(0), ["k"])).count() == 0
+    assert df.where(_may_hold(df, ["k"])).count() == 20000
+
+
+def test_flags_are_right_for_ties_among_many_keys(spark):
+    """Only keys with rows of one rank have their other columns compared; the
+    answer is that of a full comparison."""
+    import itertools
+    rows = [(f"k{i % 40}", i % 2, i % 5, f"v{i % 7}") for i in range(400)] + [(f"s{i}", 0, i, "x") for i in range(300)]
+    rows += [("N", None, None, "b"), ("N", None, None, "a"), ("N", None, 1, "c"), (None, 0, 1, "x"), (None, 0, 1, "x")]
+    df = spark.createDataFrame(rows, "k string, p int, o long, v string").repartition(6)
+    for latest in (False, True):
+        kept = sorted((r.k, r.p, r.o, r.v) for r in flag_duplicates(df, ["k"], ["o"], ["p", "o"], latest=latest)
+                      .where("NOT _is_duplicate AND k IS NOT NULL").select("k", "p", "o", "v").collect() if r.k != "N")
+
+        def rank(r):
+            return r[2], r[1], r[3]
+        want = []
+        for _, group in itertools.groupby(sorted((r for r in rows if r[0] not in (None, "N"))), key=lambda r: r[0]):
+            want.append((max if latest else min)(group, key=rank))
+        assert kept == sorted(want)
+        f = flag_duplicates(df, ["k"], ["o"], ["p", "o"], latest=latest)
+        assert f.count() == len(rows) and f.where("k IS NULL AND NOT _is_duplicate").count() == 2
+        assert [r.v for r in f.where("k = 'N' AND NOT _is_duplicate").collect()] == (["c"] if latest else ["a"])
