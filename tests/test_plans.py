@@ -46,6 +46,11 @@ def test_register_views(spark):
     assert spark.sql("SELECT count(*) AS n FROM gold_rpt_warehouse_health").collect()[0].n == 1
 
 
+def test_merge_summary_validates_the_batch_once(spark):
+    p = E.queries()["merge_summary"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("Window [row_number") == 1
+
+
 def test_fact_carries_no_lineage_through_its_dedupe(spark):
     from starledger.plans import adapter
     p = adapter.fact(adapter.DriverTables(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
