@@ -22,7 +22,10 @@ densification, banded buckets and star-shaped candidate edges.
    band and round, which brings the likest together, and meet the next ``NEXT``
    of other components, until a round finds no link.  Buckets of up to NEXT + 1
    members are thus compared completely; buckets of more than CELL members are
-   sorted in cells of equal first keys.
+   sorted in cells of equal first keys.  A pair meets on its texts only when
+   its signatures allow a link: of each remainder of the hashes a signature
+   tells whether the set has an odd number, so two sets differ in at least as
+   many shingles as their signatures in bits, and no link is lost.
 5. The members of larger buckets that are still in several components go through
    an exact set-similarity join.  Shingles are ordered from rare to common; two
    sets of a and b shingles that link share at least o = 3 / 7 * (a + b) of them,
@@ -63,6 +66,8 @@ SHORT = 85
 DEPTH = 4
 #: members of a bucket that are put in order together
 CELL = 1000
+#: 64-bit words of a set's signature
+SIGN = 16
 #: shingle counts are kept in 2**COUNT_BITS slots; any order of the shingles is exact, this one puts common ones last
 COUNT_BITS = 18
 #: sizes from here on share a class with those up to STEP times as large
@@ -111,6 +116,13 @@ def short_keys(s: np.ndarray) -> np.ndarray:
     return mix64(s[:n + PERCENT * -n // 100 + 1] ^ np.uint64(0x9E6C63D0876A9A47))
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    """SIGN words of parity bits.  A shingle changes one bit, so two sets have
+    signatures that differ in no more bits than the sets in shingles."""
+    odd = np.bincount((s % np.uint64(64 * SIGN)).astype(np.int64), minlength=64 * SIGN) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     salt = np.uint64(0x632BE59BD9B4E019)
     for batch in batches:
@@ -123,9 +135,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              pa.array(np.concatenate([*held, np.zeros(0, np.int64)])))
             a = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             b = np.array([mix64(s ^ salt).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
+            sign = pa.ListArray.from_arrays(pa.array(np.arange(0, SIGN * len(sets) + 1, SIGN, np.int32)),
+                                            pa.array(np.concatenate([signature(s) for s in sets])))
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in ROW), pa.array(n), pa.array(a), pa.array(b), bands],
-                [*ROW, "n_shingles", "set_a", "set_b", "bands"])
+                [*(part.column(c) for c in ROW), pa.array(n), pa.array(a), pa.array(b), bands, sign],
+                [*ROW, "n_shingles", "set_a", "set_b", "bands", "sign"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,6 +181,12 @@ def _alike_in_size(a: str, b: str):
     return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
 
 
+def _can_link(p: str, q: str):
+    """False only for sets that differ in too many shingles for a link."""
+    apart = sum(F.bit_count(F.col(f"{p}.sign")[i].bitwiseXOR(F.col(f"{q}.sign")[i])) for i in range(SIGN))
+    return (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col(f"{p}.n_shingles") + F.col(f"{q}.n_shingles"))
+
+
 def _needed(a, b):
     """Shingles that sets of a and b of them share at least when they link."""
     return -(-PERCENT * (a + b) // (100 + PERCENT))
@@ -261,7 +281,8 @@ def judged(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("none"),
                        F.xxhash64(F.col(text_col)).alias("same"), F.col(text_col).alias("text"))
     sketch = written(rows.mapInArrow(
-        _sketch, "id long, none boolean, same long, n_shingles long, set_a long, set_b long, bands array<long>"), "sketch")
+        _sketch, "id long, none boolean, same long, n_shingles long, set_a long, set_b long, "
+        "bands array<long>, sign array<long>"), "sketch")
     key = ["n_shingles", "set_a", "set_b"]
     # ascending numbers in the order of the ids, null last
     vertices = written(sketch.select(*ROW).distinct().sort("none", "id", "same")
@@ -272,7 +293,7 @@ def judged(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     heads = written(heads, "heads")
     of_head = F.expr(" AND ".join(f"{c} = head_{c}" for c in ROW))
     sets = written(sketch.where("n_shingles > 0").join(heads, key).where(of_head)
-                   .select(F.col("head").alias("rid"), *ROW, "n_shingles", "bands").dropDuplicates(["rid"]), "sets")
+                   .select(F.col("head").alias("rid"), *ROW, "n_shingles", "bands", "sign").dropDuplicates(["rid"]), "sets")
     shared = (sets.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("bucket"))
     members = written(sets.select("rid", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
@@ -301,13 +322,13 @@ def judged(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
         # the keys of other bands, another choice each round
         other = [F.element_at("bands", F.pmod(F.col("band") + 1 + i + nth * DEPTH, F.lit(BANDS)) + 1) for i in range(DEPTH)]
         order = Window.partitionBy("bucket", "cell").orderBy("deal", "rid")
-        me = F.struct("rid", "label", "n_shingles")
-        ahead = (at.join(split, "bucket").join(sets.select("rid", "bands"), "rid").withColumn("deal", F.array(*other))
+        me = F.struct("rid", "label", "n_shingles", "sign")
+        ahead = (at.join(split, "bucket").join(sets.select("rid", "bands", "sign"), "rid").withColumn("deal", F.array(*other))
                  .withColumn("cell", F.pmod(F.xxhash64(F.col("deal")[0]), F.col("cells")))
                  .select(me.alias("p"), F.array(*[F.lead(me, i).over(order) for i in range(1, NEXT + 1)]).alias("next"))
                  .select("p", F.explode("next").alias("q")))
         pairs = (ahead.where("q IS NOT NULL AND p.label <> q.label")
-                 .where(_alike_in_size("p.n_shingles", "q.n_shingles"))
+                 .where(_alike_in_size("p.n_shingles", "q.n_shingles")).where(_can_link("p", "q"))
                  .select(F.least("p.rid", "q.rid").alias("u"), F.greatest("p.rid", "q.rid").alias("v")).distinct())
         pairs = written(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
         links = written(_links(pairs, texts), "links")

@@ -178,3 +178,24 @@ def test_links_that_no_band_holds(spark):
         none = ~(keys[0::2] == keys[1::2]).any(axis=1)
         rows += [(len(rows) + i, t) for i, t in enumerate(t for p, x in zip(pair, none, strict=True) if x for t in p)]
     assert got(near_duplicates(docs_of(spark, rows))) == near_duplicate_classes(rows)
+
+
+def test_signatures_differ_in_no_more_bits_than_sets_in_shingles():
+    r = np.random.default_rng(3)
+    for n in (0, 1, 40, 300, 5000):
+        for d in (0, 1, 17, 400):
+            pool = np.unique(r.integers(0, 2**64, n + 2 * d, np.uint64))
+            a, b = pool[:n + d], np.r_[pool[:n], pool[n + d:]]
+            x, y = minhash.signature(a), minhash.signature(b)
+            bits = int(np.unpackbits((x ^ y).view(np.uint8)).sum())
+            assert len(x) == minhash.SIGN and bits <= len(np.setxor1d(a, b)) and bits % 2 == len(np.setxor1d(a, b)) % 2
+
+
+def test_rounds_compare_no_texts_that_cannot_link(spark, monkeypatch):
+    """A group whose members are all unlike each other but share buckets: only
+    the stars' pairs reach the texts."""
+    seen, whole = [], minhash._links
+    monkeypatch.setattr(minhash, "_links", lambda pairs, texts: (seen.append(pairs.count()), whole(pairs, texts))[1])
+    rows, want = form_letters(300, 40)
+    assert got(near_duplicates(docs_of(spark, rows, extra=False))) == want
+    assert sum(seen[2:]) <= 40
