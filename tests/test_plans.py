@@ -55,3 +55,52 @@ def test_fact_carries_no_lineage_through_its_dedupe(spark):
     from starledger.plans import adapter
     p = adapter.fact(adapter.DriverTables(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
     assert "_kafka_partition" not in p and "_kafka_topic" not in p
+
+
+def test_the_reload_runs_in_tasks_sized_to_its_input(spark):
+    from pyspark.sql import SparkSession
+
+    from starledger.session import SHARE, build_session
+    before = dict(spark.conf.getAll)
+    own = build_session(spark, 1000 * SHARE + 1)
+    assert own.conf.get("spark.sql.shuffle.partitions") == "1001"
+    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8m"
+    assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert build_session(spark, 1).conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert dict(spark.conf.getAll) == before and SparkSession.getActiveSession()._jsparkSession.equals(spark._jsparkSession)
+
+
+def test_star_tables_reload_in_a_build_session(spark, tmp_path, monkeypatch):
+    import shutil
+
+    from pyspark.sql import SparkSession
+
+    from starledger.plans import gold
+    shutil.copytree(SF, tmp_path / "sf")
+    sessions, whole = [], gold.reload_gold
+    monkeypatch.setattr(gold, "reload_gold", lambda s, tables, *a, **k: (sessions.append((s, tables)), whole(s, tables, *a, **k))[1])
+    got = gold.star_tables(spark, str(tmp_path / "sf"))
+    own, tables = sessions[0]
+    assert own is not spark and all(t.sparkSession is own for t in tables.values())
+    assert own.conf.get("spark.sql.files.maxPartitionBytes") == "8m"
+    assert all(t.sparkSession is spark for t in got.values())
+    assert SparkSession.getActiveSession()._jsparkSession.equals(spark._jsparkSession)
+
+
+def test_fact_orders_ties_by_the_absolute_amount(spark, tmp_path):
+    """Rows of one id and offset whose amounts are equal but for their sign."""
+    from starledger.plans import adapter
+    d = tmp_path / "sf"
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, " \
+           "l_discount double, l_returnflag string, l_linestatus string"
+    rows = [(1, 2, 3, 1, 1.0, 5.25, 0.0, "A", "O"), (1, 2, 3, 1, 1.0, -5.25, 0.0, "A", "F"),
+            (2, 2, 3, 1, 1.0, 5.25, 0.0, "A", "O"), (3, 2, 3, 1, 1.0, -7.5, 0.0, "A", "O"), (4, 2, 3, 1, 1.0, None, 0.0, "A", "F")]
+    spark.createDataFrame(rows, line).write.parquet(f"{d}/lineitem.parquet")
+    spark.sql("SELECT id AS o_orderkey, 1L AS o_custkey, timestamp'2024-01-01' AS o_orderdate, '1-URGENT' AS o_orderpriority "
+              "FROM range(1, 5)").write.parquet(f"{d}/orders.parquet")
+    got = {r.transaction_id[-2:]: (r.amount_egp, r.abs_amount_egp, r.is_outbound)
+           for r in adapter.fact(adapter.DriverTables(spark, str(d))).collect()}
+    plain = {k: (v if v is None else float(v), w if w is None else float(w), o) for k, (v, w, o) in got.items()}
+    assert plain == {"11": (-5.25, -5.25, 0), "21": (-5.25, 5.25, 1), "31": (7.5, -7.5, 1), "41": (None, None, 0)}
+    shuffled = adapter.fact(adapter.DriverTables(spark, str(d)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "SIGNUM" in shuffled.upper()

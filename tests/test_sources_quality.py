@@ -111,3 +111,14 @@ def test_measures_resolve_by_name(spark):
     for name in [*MEASURES, *DERIVED]:
         assert measure(name) is not None
         assert name in evaluate(t, name).columns
+
+
+def test_unique_keys_are_stacked_by_number(spark):
+    from starledger.operators.quality import check_unique_many
+    df = spark.sql("SELECT * FROM VALUES (1, 'x'), (1, 'y'), (2, 'y'), (NULL, NULL), (NULL, NULL) AS t(a, b)")
+    out = check_unique_many([(df, "t", "a"), (df, "t", "b"), (df.where("a = 2"), "u", "a")])
+    assert {(r.table_name, r.column_name): r.violations for r in out.collect()} == {("t", "a"): 1, ("t", "b"): 1, ("u", "a"): 0}
+    assert out.columns == ["table_name", "check_name", "column_name", "severity", "violations"]
+    # no names are shuffled with every key
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [__i#" in plan and "Aggregate [table_name" not in plan
