@@ -46,6 +46,8 @@ BLOCK_CHARS = 4_000_000
 _FILTER_BITS = 22
 #: pairs of text and item counted at once
 _CELLS = 1 << 22
+#: bytes of text searched at once
+PART = 1 << 18
 #: shared q-grams (text position, item position) held at once
 HITS = 1 << 22
 
@@ -307,7 +309,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     kind = rows.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema[item_col].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, distance int, start long, end long"
-    arrow_item = spark.createDataFrame([], f"i {item_kind}").toArrow().schema.field("i").type
+    arrow_item = benchmark.select(F.col(item_col).alias("i")).limit(0).toArrow().schema.field("i").type
     out = None
     for block in blocks(benchmark, item_col, item_text_col):
         sent = spark.sparkContext.broadcast(block)
@@ -315,7 +317,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = Index(sent.value)
             for batch in batches:
-                for part in slices(batch, "text"):
+                for part in slices(batch, "text", PART):
                     got = index.matches([t or "" for t in part.column("text").to_pylist()])
                     cols = list(zip(*got, strict=True)) if got else [[]] * 5
                     yield pa.RecordBatch.from_arrays(
@@ -326,4 +328,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
 
         part = rows.mapInArrow(search, schema)
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+    if out is not None:
+        return out
+    return rows.limit(0).select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (
+        ("item_id", item_kind), ("distance", "int"), ("start", "long"), ("end", "long"))])

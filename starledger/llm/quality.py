@@ -25,7 +25,6 @@ from collections.abc import Iterator
 from functools import cmp_to_key
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +36,8 @@ THRESHOLD = 0.3
 FOLDS = 4
 _BITS = 15
 _TRAITS = 9
+#: bytes of text whose features are made at once: their arrays take some 50 times that
+PART = 1 << 18
 #: features: words, shape n-grams, profile bins, length bins
 SIZE = (2 << _BITS) + 16 * _TRAITS + 32
 
@@ -185,7 +186,7 @@ def fit_sets(sets: list[np.ndarray], labels: np.ndarray) -> Model:
 
 def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", PART):
             rows, feats = features(*utf8_buffers(part.column("text")))
             ends = np.searchsorted(rows, np.arange(part.num_rows + 1))
             sets = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(feats.astype(np.int32)))
@@ -227,14 +228,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
 
 def scorer(model: Model):
-    """A pandas UDF text -> score."""
+    """An Arrow UDF text -> score: a worker holds a batch's texts once, not as
+    Python strings and a copy of these, and what it has held it keeps for all
+    later stages."""
 
-    @F.pandas_udf("double")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for text in texts:
-            column = pa.Array.from_pandas(text, type=pa.large_string())
-            batch = pa.RecordBatch.from_arrays([column], ["text"])
-            parts = [model.scores(*features(*utf8_buffers(p.column(0))), p.num_rows) for p in slices(batch, "text")]
-            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+            batch = pa.RecordBatch.from_arrays([text], ["text"])
+            parts = [model.scores(*features(*utf8_buffers(p.column(0))), p.num_rows) for p in slices(batch, "text", PART)]
+            yield pa.array(np.concatenate([*parts, np.zeros(0)]))
 
     return score

@@ -24,11 +24,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starledger.llm.common import written
+from starledger.llm.common import few_rows, written
 
 SHARDS = 8
 VNODES = 128
@@ -81,9 +81,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, *, id_col: str = "doc_id", text
     spark = docs.sparkSession
     positions, owner = ring(shards, vnodes)
 
-    @F.pandas_udf("int")
-    def arc_of(h: pd.Series) -> pd.Series:
-        return pd.Series((np.searchsorted(positions, h.to_numpy(np.int64)) % len(positions)).astype(np.int32))
+    @F.arrow_udf("int")
+    def arc_of(h: pa.Array) -> pa.Array:
+        return pa.array((np.searchsorted(positions, h.to_numpy(zero_copy_only=False)) % len(positions)).astype(np.int32))
 
     at = F.xxhash64(F.col(id_col))
     rows = written(docs.select(
@@ -99,10 +99,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, *, id_col: str = "doc_id", text
         starts.append((r["arc"], r["stretch"], counts.get(r["arc"], 0)))
         counts[r["arc"]] = counts.get(r["arc"], 0) + r["n"]
     pieces = plan(counts, owner, capacities(sum(counts.values()), shards, slack))
-    placed = spark.createDataFrame(pieces, "arc int, first_rank long, end_rank long, shard int, first_slot long")
-    begun = spark.createDataFrame(starts, "arc int, stretch int, before long")
+    placed = few_rows(spark, pieces, "arc int, first_rank long, end_rank long, shard int, first_slot long")
+    begun = few_rows(spark, starts, "arc int, stretch int, before long")
     order = Window.partitionBy("arc", "stretch").orderBy("at", "doc_id", "size", "text_crc32")
-    owners = spark.createDataFrame(list(enumerate(owner.tolist())), "arc int, home int")
+    owners = few_rows(spark, list(enumerate(owner.tolist())), "arc int, home int")
     # the small sides are bounded: shards * vnodes * STRETCHES rows here, shards * vnodes * shards below
     ranked = (rows.withColumn("nth", F.row_number().over(order)).join(F.broadcast(begun), ["arc", "stretch"])
               .withColumn("rank", F.col("before") + F.col("nth") - 1))

@@ -138,3 +138,54 @@ def test_a_megabyte_of_one_sign_stays_in_bounded_memory():
     tracemalloc.stop()
     assert [m[:3] for m in sorted(found)] == [(0, 0, 0), (0, 1, 1)] and found[0][3:] == (0, 400)
     assert peak < 500 << 20, peak
+
+
+def test_search_needs_no_second_kind_of_python_workers(spark, monkeypatch):
+    from pyspark import SparkContext
+
+    item = prose(12, 3)
+    docs = docs_of(spark, [(1, f"{prose(5, 4)} {item} {prose(5, 5)}"), (2, prose(30, 6)), (None, item), (3, None)])
+    items, none = items_of(spark, [(5, item)]), items_of(spark, [])
+
+    def refused(*_, **__):
+        raise AssertionError("rows made by an RDD of Python objects")
+
+    monkeypatch.setattr(SparkContext, "parallelize", refused)
+    got = leaks(docs, items)
+    assert {(r["doc_id"], r["item_id"], r["distance"]) for r in got.collect()} == {(1, 5, 0), (None, 5, 0)}
+    empty = leaks(docs, none)
+    assert empty.collect() == [] and empty.dtypes == got.dtypes
+
+
+def test_a_worker_holds_few_arrays_of_a_batch(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    held = {}
+
+    class Rows:
+        """What leaks gives to mapInArrow, kept."""
+
+        def __init__(self, real):
+            self.real = real
+
+        def __getattr__(self, name):
+            return getattr(self.real, name)
+
+        def mapInArrow(self, search, schema):
+            held["search"] = search
+            return self.real.mapInArrow(search, schema)
+
+    docs = docs_of(spark, [(1, "x")])
+    real = type(docs).select
+    monkeypatch.setattr(type(docs), "select", lambda self, *c: Rows(real(self, *c)))
+    leaks(docs, items_of(spark, [(5, prose(12, 3))]))
+    monkeypatch.undo()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000), pa.int64()), pa.array([prose(150, 7)] * 4000)], ["doc_id", "text"])
+    tracemalloc.start()
+    for _ in held["search"](iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6, peak

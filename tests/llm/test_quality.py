@@ -82,3 +82,16 @@ def test_rows_under_one_id_stay_within_the_sample(spark, monkeypatch):
     quality.fit(docs, labels, sample=10)
     quality.fit(docs, labels, sample=1000)
     assert seen[0] == 10 and 500 < seen[1] <= 532
+
+
+def test_scoring_holds_a_batch_of_texts_once():
+    import tracemalloc
+
+    score = quality.scorer(quality.Model(np.ones((2, quality.SIZE)), 0.0))
+    texts = pa.array([f"{i} Some words, with marks! And NUMBERS {i * 7} again again. " * 20 for i in range(4000)] + [None, ""])
+    tracemalloc.start()
+    got = [s for a in score.func(iter([texts, texts[:0]])) for s in a.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == len(texts) and all(0 <= s <= 1 for s in got) and got[-1] == got[-2]
+    assert peak < 60e6, peak     # of a piece's arrays, not of the 4.5 MB of text

@@ -93,3 +93,19 @@ def test_a_third_of_the_rows_without_an_id(spark):
     assert len(rows) == 6_000 and max(count.values()) - min(count.values()) <= 1
     for s in range(8):
         assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(count[s]))
+
+
+def test_small_tables_need_no_second_kind_of_python_workers(spark, monkeypatch):
+    from pyspark import SparkContext
+
+    docs = docs_of(spark, [(i, f"text {i}") for i in range(50)])
+    none = docs_of(spark, [])
+
+    def refused(*_, **__):
+        raise AssertionError("rows made by an RDD of Python objects")
+
+    monkeypatch.setattr(SparkContext, "parallelize", refused)
+    got = shard(docs).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(50))
+    assert {(r["shard"], r["slot"]) for r in got} == {(s, k) for s in range(8) for k in range(6 + (s < 2))}
+    assert shard(none).collect() == []
