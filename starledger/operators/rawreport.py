@@ -2,7 +2,8 @@
 every check, up to ``n`` examples of each, and a status.
 
 The rules read a raw table once: a row that breaks any gives a (check, column,
-example) each.  Keys and foreign keys are read as columns of their own, counted
+example) each.  One pattern over the typed columns passes the plain rows, so the
+costly checks run on few.  Keys and foreign keys are read as columns of their own, counted
 per value, and weigh as many rows as they stand for.  The examples of a check are
 dealt into ``SHARES`` shares, so a check that a third of all rows break is summed
 and sorted in many tasks; a share passes on its sum and its first ``n`` examples.
@@ -16,8 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..contracts import TableContract
-from .quality import RowCheck, column_set_check, length_checks, not_null_checks, raw_type_checks
+from ..contracts import FK, TableContract
+from .quality import (RowCheck, _is_small, column_set_check, length_checks, not_null_checks, raw_type_checks,
+                      raw_types_plain)
 
 #: examples of a check, and the columns that a load generates itself
 EXAMPLES = 5
@@ -33,14 +35,29 @@ def _blank(c: str) -> Column:
 
 def _plain(c: str) -> Column:
     """The text forms of one number agree: trimmed, no plus sign, no leading zeros."""
-    return F.nullif(F.regexp_replace(F.trim(F.col(c).cast("string")), r"^\+?0*(?=\d)", ""), F.lit(""))
+    text = F.trim(F.col(c).cast("string"))
+    cut = F.when(F.substring(text, 1, 1).isin("+", "0"), F.regexp_replace(text, r"^\+?0*(?=\d)", "")).otherwise(text)
+    return F.nullif(cut, F.lit(""))
 
 
-def row_rules(contract: TableContract) -> list[RowCheck]:
+def _plain_rules(contract: TableContract) -> list[RowCheck]:
+    """The rules that compare lengths and blanks only."""
     keys = [RowCheck("primary_key_null", c, _blank(c)) for c in contract.primary_key]
     keys += [RowCheck("foreign_key_null", fk.column, _blank(fk.column)) for fk in contract.foreign_keys
              if fk.column in contract.required]
-    return [*not_null_checks(contract.required, blank_is_null=True), *raw_type_checks(contract), *length_checks(contract), *keys]
+    return [*not_null_checks(contract.required, blank_is_null=True), *length_checks(contract), *keys]
+
+
+def row_rules(contract: TableContract) -> list[RowCheck]:
+    return [*_plain_rules(contract), *raw_type_checks(contract)]
+
+
+def _suspects(df: DataFrame, contract: TableContract) -> DataFrame:
+    """The rows that may break a rule: all that break one, and few others."""
+    suspect = F.lit(False) if (plain := raw_types_plain(contract)) is None else ~plain
+    for r in _plain_rules(contract):
+        suspect = suspect | F.coalesce(r.violation, F.lit(False))
+    return df.where(suspect)
 
 
 def _broken_rows(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -50,10 +67,7 @@ def _broken_rows(df: DataFrame, contract: TableContract) -> DataFrame:
     hits = [F.when(b, F.struct(F.lit(r.check).alias("check_name"), F.lit(r.column).alias("column_name"),
                                F.concat_ws(": ", which, F.coalesce(r.column, F.lit(""))).alias("example")))
             for r, b in zip(rules, bad, strict=True)]
-    any_bad = bad[0]
-    for b in bad[1:]:
-        any_bad = any_bad | b
-    return (df.where(any_bad).select(F.inline(F.array_compact(F.array(*hits))))
+    return (_suspects(df, contract).select(F.inline(F.array_compact(F.array(*hits))))
             .groupBy("check_name", "column_name", "example").agg(F.count(F.lit(1)).alias("weight")))
 
 
@@ -69,16 +83,22 @@ def _repeated_keys(df: DataFrame, contract: TableContract) -> DataFrame:
 
 def _orphans(df: DataFrame, contract: TableContract, tables: dict[str, DataFrame]) -> DataFrame | None:
     fks = [fk for fk in contract.foreign_keys if fk.parent in tables]
-    if not fks:
-        return None
-    values = F.inline(F.array(*[F.struct(F.lit(fk.column).alias("column_name"), _plain(fk.column).alias("k")) for fk in fks]))
-    counted = (df.select(values).where(F.col("k").isNotNull()).groupBy("column_name", "k").agg(F.count(F.lit(1)).alias("weight")))
+    # keys of small parents are met where the rows are; those of large ones are counted first
+    small = [fk for fk in fks if _is_small(tables[fk.parent].select(_plain(fk.parent_column).alias("k")))]
+    parts = [_lost(df, some, tables) for some in (small, [fk for fk in fks if fk not in small]) if some]
+    return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _lost(df: DataFrame, fks: list[FK], tables: dict[str, DataFrame]) -> DataFrame:
+    values = F.inline(F.array(*[F.struct(F.lit(i).alias("i"), _plain(fk.column).alias("k")) for i, fk in enumerate(fks)]))
+    counted = df.select(values).where(F.col("k").isNotNull()).groupBy("i", "k").agg(F.count(F.lit(1)).alias("weight"))
     known = None
-    for fk in fks:
-        part = tables[fk.parent].select(F.lit(fk.column).alias("column_name"), _plain(fk.parent_column).alias("k"))
+    for i, fk in enumerate(fks):
+        part = tables[fk.parent].select(F.lit(i).alias("i"), _plain(fk.parent_column).alias("k"))
         known = part if known is None else known.unionByName(part)
-    return (counted.join(known, ["column_name", "k"], "left_anti")
-            .select(F.lit("foreign_key_orphan").alias("check_name"), "column_name", F.col("k").alias("example"), "weight"))
+    column = F.element_at(F.array(*[F.lit(fk.column) for fk in fks]), F.col("i") + 1)
+    return (counted.join(known, ["i", "k"], "left_anti")
+            .select(F.lit("foreign_key_orphan").alias("check_name"), column.alias("column_name"), F.col("k").alias("example"), "weight"))
 
 
 def table_report(name: str, df: DataFrame, contract: TableContract, tables: dict[str, DataFrame], n: int = EXAMPLES,

@@ -1,4 +1,6 @@
 """Q9-Q18: the raw validation report."""
+from pyspark.sql import functions as F
+
 from starledger import contracts as C
 from starledger.operators import rawreport as RR
 
@@ -76,3 +78,57 @@ def test_a_check_is_dealt_into_shares_and_the_rules_scan_once(spark, scratch):
     # the rules, the key column, the number of rows
     assert p.count("FileScan") == 3 and p.count("country:string") == 1 and "SinglePartition" not in p.split("HashAggregate(keys=[], functions=[count(1)")[0]
     assert "hashpartitioning(check_name" in p and "pmod(xxhash64(example" in p
+
+
+def odd_typed():
+    """One column of each typed kind, nullable, and values on both sides of every rule."""
+    ints = ["7", "-7", "+7", " 7 ", "7\n", "007", "99", "100", "255", "256", "-1", "9999", "32767", "32768", "-32768", "-32769", "999999999",
+            "2147483647", "2147483648", "-2147483648", "-2147483649", "9223372036854775807", "9223372036854775808", "99999999999999999999999999999999999999999",
+            "", None, " ", "x", "1|2", "|", "1.5", "\u0661", "--1"]
+    bits = ["0", "1", "", None, "2", "01", " 1", "1\n", "0|1"]
+    dates = ["2024-01-28", "2024-02-29", "2023-02-29", "2024-04-31", "2024-12-31", "0000-01-01", "0001-01-01", "2024-13-01", "2024-00-10", "2024-1-1",
+             "2024-01-01\n", "", None, "2024-01-01|", "x"]
+    decimals = ["1.00", "-1.00", "+1.00", "1.0", "1", ".50", "0000000000000000000001.00", "9999999999999999.99", "99999999999999999.99",
+                "-9999999999999999.99", "-99999999999999999.99", "1.00\n", "", None, "1|.00", "N/A"]
+    kinds = {"tinyint": ints, "smallint": ints, "int": ints, "bigint": ints, "bit": bits, "date": dates, "decimal(18,2)": decimals}
+    cols = tuple(C.Col(f"c{i}", C.STR, wt) for i, wt in enumerate(kinds))
+    contract = C.TableContract("odd", (C.Col("id", C.STR, "varchar(9)", False), *cols), primary_key=("id",))
+    plain = ["1", "1", "1", "1", "1", "2024-01-01", "1.00"]
+    rows = [(f"r{i}.{j}", *plain[:i], v, *plain[i + 1:]) for i, vs in enumerate(kinds.values()) for j, v in enumerate(vs)]
+    return contract, [*rows, ("all", *["x|x"] * 7), ("none", *[None] * 7), ("blank", *[""] * 7), ("", *plain), (None, *plain), ("0123456789", *plain)]
+
+
+def test_no_row_that_breaks_a_rule_passes_as_plain(spark):
+    contract, rows = odd_typed()
+    df = text(spark, contract, rows)
+    broken = None
+    for r in RR.row_rules(contract):
+        broken = r.violation if broken is None else broken | F.coalesce(r.violation, F.lit(False))
+    bad = {r.id for r in df.where(broken).collect()}
+    suspects = {r.id for r in RR._suspects(df, contract).collect()}
+    assert bad <= suspects and {"", None, "0123456789", "all"} <= bad and len(bad) > 50
+    assert not {"none", "blank", "r2.0", "r2.1", "r5.0", "r6.0", "r6.1"} & suspects       # the usual forms cost one pattern
+    # the counts are those of the rules, one by one
+    got = {(r["check_name"], r["column_name"]): r["violations"] for r in RR.table_report("odd", df, contract, {}).collect()
+           if r["severity"] == "error" and r["check_name"] != "primary_key_duplicate"}
+    each = [(r.check, r.column, df.where(F.coalesce(r.violation, F.lit(False))).count()) for r in RR.row_rules(contract)]
+    assert got == {(c, k): n for c, k, n in each if n}
+
+
+def test_costly_rules_run_on_suspects_only(spark):
+    p = RR._broken_rows(text(spark, C.DIM_DATE, DATES), C.DIM_DATE)._jdf.queryExecution().optimizedPlan().toString()
+    kept = [line for line in p.splitlines() if "Filter" in line]
+    assert len(kept) == 1 and kept[0].count("RLIKE") == 1 and "decimal(38,0)" not in kept[0]
+
+
+def test_orphans_of_large_parents_are_counted_before_they_move(spark):
+    rows = accounts(("1", "+01", "20240101", "EGP"), ("2", "7", "020240101", "EGP"), ("3", "007", "20240102", "EGP"), ("4", "-7", " ", "EGP"))
+    want = {("foreign_key_orphan", "location_key"): (3, ["-7", "7"]), ("foreign_key_orphan", "signup_date_key"): (1, ["20240102"])}
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in ("-1", "10m"):
+            spark.conf.set(key, limit)
+            got = found(report(spark, text(spark, C.DIM_ACCOUNT, rows)))
+            assert {k: v for k, v in got.items() if k[0] == "foreign_key_orphan"} == want
+    finally:
+        spark.conf.set(key, before)
