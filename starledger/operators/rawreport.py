@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import FK, TableContract
-from .quality import (RowCheck, _is_small, column_set_check, length_checks, not_null_checks, raw_type_checks,
-                      raw_types_plain)
+from .quality import RowCheck, column_set_check, length_checks, not_null_checks, raw_type_checks, raw_types_plain
+from .star import is_small
 
 #: examples of a check, and the columns that a load generates itself
 EXAMPLES = 5
@@ -84,7 +84,7 @@ def _repeated_keys(df: DataFrame, contract: TableContract) -> DataFrame:
 def _orphans(df: DataFrame, contract: TableContract, tables: dict[str, DataFrame]) -> DataFrame | None:
     fks = [fk for fk in contract.foreign_keys if fk.parent in tables]
     # keys of small parents are met where the rows are; those of large ones are counted first
-    small = [fk for fk in fks if _is_small(tables[fk.parent].select(_plain(fk.parent_column).alias("k")))]
+    small = [fk for fk in fks if is_small(tables[fk.parent].select(_plain(fk.parent_column).alias("k")))]
     parts = [_lost(df, some, tables) for some in (small, [fk for fk in fks if fk not in small]) if some]
     return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 

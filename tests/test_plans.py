@@ -104,3 +104,58 @@ def test_fact_orders_ties_by_the_absolute_amount(spark, tmp_path):
     assert plain == {"11": (-5.25, -5.25, 0), "21": (-5.25, 5.25, 1), "31": (7.5, -7.5, 1), "41": (None, None, 0)}
     shuffled = adapter.fact(adapter.DriverTables(spark, str(d)))._jdf.queryExecution().optimizedPlan().toString()
     assert "SIGNUM" in shuffled.upper()
+
+
+def test_a_build_drops_its_shuffles_and_keeps_what_the_caller_set(spark):
+    from starledger.session import BUILD_CONF, build_session
+    own = build_session(spark, 1)
+    held = spark.conf.getAll
+    assert {k: own.conf.get(k) for k in BUILD_CONF} == {**BUILD_CONF, **{k: held[k] for k in BUILD_CONF if k in held}}
+    key = "spark.sql.parquet.compression.codec"
+    spark.conf.set(key, "snappy")
+    try:
+        assert build_session(spark, 1).conf.get(key) == "snappy"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_bronze_is_written_without_silver(spark, tmp_path):
+    import shutil
+
+    from starledger.plans import gold
+    shutil.copytree(SF, tmp_path / "sf")
+    sf = str(tmp_path / "sf")
+    n = gold.bronze_events(spark, sf).count()
+    silver = gold._store(spark, "silver_events", sf)
+    assert n and silver.current_version() == 0
+    both = gold.layer_tables(spark, sf)
+    assert silver.current_version() == 1 and gold._store(spark, "bronze_events", sf).current_version() == 1
+    assert list(both) == ["bronze_events", "silver_events"] and both["silver_events"].count() == n
+    assert all(t.sparkSession is spark for t in both.values())
+
+
+def lines_of(spark, d, rows):
+    line = "l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double"
+    (spark.createDataFrame(rows, line).selectExpr("*", "1L AS l_suppkey", "1D AS l_quantity", "0D AS l_discount", "'A' AS l_returnflag",
+                                                  "'F' AS l_linestatus").write.parquet(f"{d}/lineitem.parquet"))
+    spark.sql("SELECT id AS o_orderkey, 1L AS o_custkey, timestamp'2024-01-01' AS o_orderdate, '1-URGENT' AS o_orderpriority "
+              "FROM range(0, 5)").write.parquet(f"{d}/orders.parquet")
+    from starledger.plans import adapter
+    return adapter.fact(adapter.DriverTables(spark, str(d)))
+
+
+def test_ids_of_one_order_are_deduplicated_where_the_join_put_them(spark, tmp_path):
+    """Line numbers of one digit keep the ids of orders apart; others (11 of order 1 is 1 of order 2) don't."""
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        apart = lines_of(spark, tmp_path / "a", [(1, 1, 7, 1.0), (1, 1, 5, 2.0), (1, 9, 5, 3.0), (2, 0, 5, 4.0), (2, 1, 5, 5.0), (3, None, 5, 6.0), (None, 3, 5, 6.0)])
+        mixed = lines_of(spark, tmp_path / "m", [(1, 11, 7, 1.0), (2, 1, 5, 2.0), (2, -9, 6, 3.0), (1, 1, 5, 4.0), (3, None, 5, 5.0)])
+        none = lines_of(spark, tmp_path / "n", [])
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in (apart, mixed)]
+        assert [p.count("Exchange hashpartitioning(transaction_id") for p in plans] == [0, 1]
+        assert "hashpartitioning(l_orderkey" in plans[0]
+        got = [{(r.transaction_id[3:].lstrip("0"), float(r.amount_egp)) for r in f.collect()} for f in (apart, mixed, none)]
+        assert got == [{("11", 2.0), ("19", 3.0), ("20", 4.0), ("21", 5.0)}, {("21", 2.0), ("11", 4.0)}, set()]
+    finally:
+        spark.conf.set(key, before)

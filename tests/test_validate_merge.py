@@ -80,3 +80,63 @@ def test_merge_cases(spark):
     # replay of the same batch changes nothing
     again = merge_rows(fact.drop("transaction_sk"), b, "transaction_id", compare)
     assert {r._action for r in again.where("_action != 'KEEP'").collect()} == {"NOOP"}
+
+
+def moved(df):
+    """The names of the columns that each shuffle by the id moves."""
+    todo, out = [df._jdf.queryExecution().executedPlan().initialPlan()], []
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Exchange" and "hashpartitioning(transaction_id" in node.toString().splitlines()[0]:
+            out.append({node.output().apply(i).name() for i in range(node.output().size())})
+    return out
+
+
+def test_rows_are_judged_before_they_are_moved(spark, scratch):
+    """To find duplicates a row carries one number for what it fails by itself, not its keys and measures."""
+    rows = [row("A", 1), row("A", 2, merchant_key=9), row("B", 3, merchant_key=9), *[row(f"X{i * 7919 % 99991}", i) for i in range(100, 4100)]]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{scratch}/b")
+    batch = spark.read.parquet(f"{scratch}/b")
+    few = dims(spark)
+    for name in [n for n in few if n != "_"]:
+        few[name].coalesce(1).write.parquet(f"{scratch}/{name}")
+        few[name] = spark.read.parquet(f"{scratch}/{name}")
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    got = {}
+    try:
+        for limit in ("4k", "-1"):
+            spark.conf.set(key, limit)
+            v = validate_batch(batch, few)
+            assert v.columns == [*batch.columns, "reject_reason"]
+            got[limit] = sorted((r._kafka_offset, r.reject_reason) for r in v.where("_kafka_offset < 100 OR reject_reason IS NOT NULL").collect())
+            out = v.select("_kafka_partition", "_kafka_offset", "transaction_id", "reject_reason")
+            carried = set().union(*[names for names in moved(out) if "_salt" in names])
+            assert "_kafka_offset" in carried and not carried & {"amount_minor", "amount_egp", "abs_amount_egp"}
+            assert ("merchant_key" in carried) == (limit == "-1")
+    finally:
+        spark.conf.set(key, before)
+    assert got["4k"] == got["-1"] == [(1, "duplicate_transaction_id_in_staging"), (2, "fk_merchant_not_found"), (3, "fk_merchant_not_found")]
+
+
+def test_the_first_of_several_failing_rules_wins(spark):
+    """Whichever dimensions are small: own rules, duplicates and both kinds of parents in one order."""
+    bad = dict(date_key=20990101, account_key=9, merchant_key=9)
+    rows = [row("A", 1, **bad), row("A", 2, **bad), row(" ", 3, **bad), row(None, 4, **bad), row("C", 5, **bad, amount_egp=None),
+            row("D", 6, account_key=9, merchant_key=9, time_key=5), row("E", 7, account_key=9, merchant_key=9), row("F", 8, merchant_key=9),
+            row("G", 9), row("G", 9), row("H", 10, time_key=None, amount_minor=None)]
+    want = [(1, "duplicate_transaction_id_in_staging"), (2, "fk_date_not_found"), (3, "null_transaction_id"), (4, "null_transaction_id"),
+            (5, "null_measure"), (6, "fk_time_not_found"), (7, "fk_account_not_found"), (8, "fk_merchant_not_found"),
+            (9, "duplicate_transaction_id_in_staging"), (9, None), (10, "missing_required_key")]
+    for far in ((), ("dim_account",), ("dim_date", "dim_merchant"), ("dim_time", "dim_account", "dim_merchant")):
+        some = dims(spark)
+        key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        for name in far:
+            pk = some[name].columns[0]
+            some[name] = some[name].unionByName(some[name].crossJoin(spark.range(20000)).select(F.col(pk)).where(F.rand(1) > 2))   # no rows, a large estimate
+        try:
+            spark.conf.set(key, "50k")
+            out = validate_batch(spark.createDataFrame(rows, SCHEMA).repartition(3), some)
+            assert sorted(((r._kafka_offset, r.reject_reason) for r in out.collect()), key=str) == sorted(want, key=str)
+        finally:
+            spark.conf.set(key, before)
